@@ -1,7 +1,7 @@
 """Stand-ins for the raw inputs, derived by Spark from the star-schema and event tables.
 
-Every view is a lazy DataFrame over the whole table. Amounts are summed as decimals so that running
-sums do not depend on the order in which partitions are merged.
+Every view is a lazy DataFrame over the whole table. Amounts are summed as whole cents (or mills), so
+a sum does not depend on the order in which partitions are merged and stays a primitive long.
 """
 
 from __future__ import annotations
@@ -46,16 +46,24 @@ USERS_PER_BUILDING = 15
 LOAN_ORDER = ["snapshot_date", "l_linenumber", "l_partkey", "l_suppkey"]
 
 
+MILLS = 1000
+CENTS = 100
+
+
+def units(amount: Column | str, per_unit: int) -> Column:
+    """A money amount as a whole number of cents or mills."""
+    amount = F.col(amount) if isinstance(amount, str) else amount
+    return F.round(amount * per_unit).cast("bigint")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def loan_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per installment before any running value: lineitem columns only."""
-    due = F.col("l_extendedprice").cast("decimal(14,2)")
-    paid_share = (
-        F.when(F.col("l_returnflag") == "R", 0.0).when(F.col("l_returnflag") == "A", 0.5).otherwise(1.0)
-    ).cast("decimal(2,1)")
+    due = units("l_extendedprice", MILLS)
+    halves_paid = F.when(F.col("l_returnflag") == "R", 0).when(F.col("l_returnflag") == "A", 1).otherwise(2)
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("loan_id"),
         F.to_date("l_shipdate").alias("snapshot_date"),
@@ -63,7 +71,7 @@ def loan_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_partkey",
         "l_suppkey",
         due.alias("due"),
-        (due * paid_share).cast("decimal(14,3)").alias("paid"),
+        F.floor(due * halves_paid / 2).alias("paid"),
     )
 
 
@@ -72,7 +80,7 @@ def loan_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("loan_id"),
         F.col("o_custkey").alias("customer_id"),
         F.to_date("o_orderdate").alias("loan_start_date"),
-        F.col("o_totalprice").cast("decimal(14,2)").alias("loan_amount"),
+        units("o_totalprice", MILLS).alias("loan_amount"),
     )
 
 
@@ -86,7 +94,7 @@ def number_installments(lines: DataFrame, heads: DataFrame, slice_by: str | None
         number="_line",
         sums={"_due_to_date": F.col("due"), "_paid_to_date": F.col("paid")},
     )
-    short = F.greatest(F.col("_due_to_date") - F.col("_paid_to_date"), F.lit(0).cast("decimal(24,3)"))
+    short = F.greatest(F.col("_due_to_date") - F.col("_paid_to_date"), F.lit(0))
     joined = running.join(heads, "loan_id")
     return joined.select(
         "loan_id",
@@ -95,11 +103,11 @@ def number_installments(lines: DataFrame, heads: DataFrame, slice_by: str | None
         "snapshot_date",
         F.lit(10).alias("tenure"),
         (F.col("_line") - 1).alias("installment_num"),
-        F.col("loan_amount").cast("double").alias("loan_amt"),
-        F.col("due").cast("double").alias("due_amt"),
-        F.col("paid").cast("double").alias("paid_amt"),
-        short.cast("double").alias("overdue_amt"),
-        (F.col("loan_amount") - F.col("_paid_to_date")).cast("double").alias("balance"),
+        (F.col("loan_amount") / MILLS).alias("loan_amt"),
+        (F.col("due") / MILLS).alias("due_amt"),
+        (F.col("paid") / MILLS).alias("paid_amt"),
+        (short / MILLS).alias("overdue_amt"),
+        ((F.col("loan_amount") - F.col("_paid_to_date")) / MILLS).alias("balance"),
         *([slice_by] if slice_by else []),
     )
 
@@ -238,7 +246,7 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     A (building, meter) series is therefore bounded by the hours of the calendar (8,784 a year),
     whatever the event rate of one building.
     """
-    amount = F.when(F.col("event_type") == "error", F.lit(0)).otherwise(F.col("value")).cast("decimal(14,2)")
+    amount = F.when(F.col("event_type") == "error", 0).otherwise(units("value", CENTS))
     return (
         table(spark, sf_dir, "events")
         .select(
@@ -248,7 +256,7 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
             amount.alias("amount"),
         )
         .groupBy("building_id", "meter", "timestamp")
-        .agg(F.sum("amount").cast("double").alias("meter_reading"))
+        .agg((F.sum("amount") / CENTS).alias("meter_reading"))
     )
 
 
@@ -273,13 +281,13 @@ def buildings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly site rows with natural gaps, unique per (site, hour); site 3 never reports a pressure."""
-    value = F.col("value").cast("decimal(14,2)")
+    value = units("value", CENTS)
 
     def only(kind: str) -> Column:
         return F.when(F.col("event_type") == kind, value)
 
     def mean(c: Column) -> Column:
-        return F.try_divide(F.sum(c).cast("double"), F.count(c))
+        return F.try_divide(F.sum(c) / CENTS, F.count(c))
 
     site = (_building() % 16).alias("site_id")
     hourly = (
@@ -288,12 +296,12 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("site_id", "timestamp")
         .agg(
             mean(value).alias("air_temperature"),
-            F.max(F.when(F.col("event_type") != "click", value)).cast("double").alias("cloud_coverage"),
-            F.min(value).cast("double").alias("dew_temperature"),
-            F.sum(only("view")).cast("double").alias("precip_depth_1_hr"),
+            (F.max(F.when(F.col("event_type") != "click", value)) / CENTS).alias("cloud_coverage"),
+            (F.min(value) / CENTS).alias("dew_temperature"),
+            (F.sum(only("view")) / CENTS).alias("precip_depth_1_hr"),
             mean(only("click")).alias("sea_level_pressure"),
             F.max(F.col("user_id") % 360).cast("double").alias("wind_direction"),
-            F.min(only("purchase")).cast("double").alias("wind_speed"),
+            (F.min(only("purchase")) / CENTS).alias("wind_speed"),
         )
     )
     return hourly.withColumn(
