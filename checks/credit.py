@@ -366,13 +366,13 @@ def global_stats(spark, sf):
     "zscore",
     using(
         "click_detail",
-        "SELECT click_id, " + each("round({c}_normalized, 5) AS {c}_normalized, {c}_is_outlier", FEATURES) + " FROM click_detail",
+        "SELECT click_id, " + each("round({c}_normalized, 6) AS {c}_normalized, {c}_is_outlier", FEATURES) + " FROM click_detail",
     ),
 )
 def zscore(spark, sf):
     df = behaviour.zscore(views.clicks(spark, sf), views.FEATURES)
     made = [f"{f}_{kind}" for f in views.FEATURES for kind in ("normalized", "is_outlier")]
-    return rounded(df.select("click_id", *made), 5)
+    return rounded(df.select("click_id", *made), 6)
 
 
 _SEQUENCE = "row_num_by_customer, month, quarter, year, first_snapshot_date, months_since_first"
@@ -398,13 +398,12 @@ def join_first_seen(spark, sf):
     using(
         "click_detail",
         f"SELECT click_id, customer_id, snapshot_date, {_SEQUENCE}, "
-        + each("round({c}, 6) AS {c}, round({c}_normalized, 5) AS {c}_normalized, {c}_is_outlier", FEATURES)
+        + each("round({c}, 6) AS {c}, round({c}_normalized, 6) AS {c}_normalized, {c}_is_outlier", FEATURES)
         + " FROM click_detail",
     ),
 )
 def clickstream_detail_table(spark, sf):
-    made = [f"{f}_normalized" for f in views.FEATURES]
-    return rounded(rounded(credit.click_detail(spark, sf), 5, made), 6, views.FEATURES)
+    return rounded(credit.click_detail(spark, sf), 6)
 
 
 _AGG_ROUND = [f"{f}_{k}" for f in FEATURES for k in ("mean", "max", "min", "stddev")]

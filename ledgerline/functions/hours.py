@@ -84,9 +84,11 @@ def rebase(value: Column, base: float) -> Column:
     return value - base
 
 
-def generalized_mean(columns: Sequence[Column], weights: Sequence[float], p: float, c: float = 1.0) -> Column:
-    """Weighted power mean times ``c``; weights are scaled to sum 1, ``p=0`` is the mean in ``log1p`` space."""
-    total = math.fsum(weights)
+def generalized_mean(
+    columns: Sequence[Column], weights: Sequence[float], p: float, c: float = 1.0, normalize: bool = True
+) -> Column:
+    """Weighted power mean times ``c``; ``p=0`` is the mean in ``log1p`` space. Weights are scaled to sum 1 unless told not to."""
+    total = math.fsum(weights) if normalize else 1.0
     shares = [w / total for w in weights]
     lifted = [F.log1p(x) if p == 0 else F.pow(x, F.lit(float(p))) for x in columns]
     mixed = lifted[0] * shares[0]
