@@ -102,7 +102,10 @@ def blend_per_segment(df: DataFrame, columns: Sequence[str], actual: str, candid
 
 
 def simplex_candidates(sets: int, steps: int, powers: Sequence[float], factors: Sequence[float]) -> list[Candidate]:
-    """All weight mixes in ``1 / steps`` steps, with every power and factor."""
+    """All weight mixes in ``1 / steps`` steps, with every power and factor.
+
+    The power mean of a single set does not depend on the power, so such a mix is listed once per factor.
+    """
 
     def mixes(parts: int, left: int):
         if parts == 1:
@@ -113,4 +116,6 @@ def simplex_candidates(sets: int, steps: int, powers: Sequence[float], factors:
                 yield (first, *rest)
 
     weights = [tuple(x / steps for x in mix) for mix in mixes(sets, steps)]
-    return [Candidate(p, c, w) for p in powers for c in factors for w in weights]
+    return [
+        Candidate(p, c, w) for p in powers for c in factors for w in weights if p == powers[0] or max(w) < 1
+    ]
