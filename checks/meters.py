@@ -312,7 +312,8 @@ ZERO_RULES = {"min_interval": 2, "summer": (200, 500), "year_ends": (0, 10, 700,
 
 @query("bad_zero_flag", using("bad_zero", "SELECT building_id, meter, timestamp, is_bad_zero FROM bad_zero"))
 def bad_zero_flag(spark, sf):
-    return series.bad_zero_flag(_metered(spark, sf), **ZERO_RULES).select(*KEY, "is_bad_zero")
+    flagged = series.by_series(_metered(spark, sf), lambda rows, s: series.bad_zero_flag(rows, **ZERO_RULES, slice_by=s))
+    return flagged.select(*KEY, "is_bad_zero")
 
 
 @query(
@@ -324,7 +325,7 @@ def bad_zero_flag(spark, sf):
     ),
 )
 def drop_bad_rows(spark, sf):
-    flagged = series.bad_zero_flag(_metered(spark, sf), **ZERO_RULES)
+    flagged = series.by_series(_metered(spark, sf), lambda rows, s: series.bad_zero_flag(rows, **ZERO_RULES, slice_by=s))
     kept = series.drop_rows(flagged, F.col("is_bad_zero"), series.warmup_rule(300), series.extreme_rule(6, 100.0))
     return kept.select(*KEY, "meter_reading")
 
@@ -343,17 +344,20 @@ streaks AS (
 
 @query("zero_streak", using("streaks", "SELECT * FROM streaks"))
 def zero_streak(spark, sf):
-    return series.zero_streaks(views.readings(spark, sf))
+    return series.by_series(views.readings(spark, sf), series.zero_streak)
 
 
 @query("drop_long_zero_runs", using("streaks", "SELECT * FROM streaks WHERE zero_streak < 2"))
 def drop_long_zero_runs(spark, sf):
-    return series.drop_long_zero_runs(series.zero_streaks(views.readings(spark, sf)), 2)
+    return series.drop_long_zero_runs(series.by_series(views.readings(spark, sf), series.zero_streak), 2)
 
 
 @query("run_ids", using("bad_zero", "SELECT building_id, meter, timestamp, CAST(run_id AS BIGINT) AS run_id FROM zero_runs"))
 def run_ids(spark, sf):
-    return series.run_ids(views.readings(spark, sf), F.col("meter_reading") == 0).select(*KEY, "run_id")
+    numbered = series.by_series(
+        views.readings(spark, sf), lambda rows, s: series.run_ids(rows, F.col("meter_reading") == 0, s)
+    )
+    return numbered.select(*KEY, "run_id")
 
 
 @query(
@@ -371,7 +375,7 @@ def run_ids(spark, sf):
 def constant_runs(spark, sf):
     """Readings are coarsened to steps of 40, so runs of equal values occur."""
     coarse = views.readings(spark, sf).withColumn("meter_reading", F.floor(F.col("meter_reading") / 40).cast("double"))
-    return series.constant_runs(coarse, 2)
+    return series.by_series(coarse, lambda rows, s: series.constant_runs(rows, 2, s))
 
 
 @query(

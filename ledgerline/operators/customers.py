@@ -121,17 +121,30 @@ def attach_behaviour(profile: DataFrame, behaviour: DataFrame, key: str = "custo
 
 
 def loan_summary(silver_loans: DataFrame, key: str = "customer_id") -> DataFrame:
-    """Per customer. ``num_defaulted_loans`` counts installment rows in default, as the label does."""
-    defaulted = F.col("is_default")
-    return silver_loans.groupBy(key).agg(
-        F.count_distinct("loan_id").alias("total_loans"),
-        F.sum(F.when(defaulted, 1).otherwise(0)).alias("num_defaulted_loans"),
-        F.count_distinct(F.when(defaulted, F.col("loan_id"))).alias("num_distinct_defaulted_loans"),
-        F.avg("consecutive_missed_payments").alias("avg_missed_payments"),
-        F.max("consecutive_missed_payments").alias("max_missed_payments"),
-        F.avg("percent_paid").alias("avg_percent_paid"),
-        F.max("overdue_amt").alias("max_overdue_amt"),
-        F.min("balance").alias("min_balance"),
+    """Per customer. ``num_defaulted_loans`` counts installment rows in default, as the label does.
+
+    Loans are reduced to one row each before customers are grouped, so no distinct count has to
+    multiply the ledger rows.
+    """
+    loans = silver_loans.groupBy(key, "loan_id").agg(
+        F.count_if("is_default").alias("_bad_rows"),
+        F.sum("consecutive_missed_payments").alias("_missed"),
+        F.count("consecutive_missed_payments").alias("_missed_rows"),
+        F.max("consecutive_missed_payments").alias("_max_missed"),
+        F.sum("percent_paid").alias("_paid"),
+        F.count("percent_paid").alias("_paid_rows"),
+        F.max("overdue_amt").alias("_max_overdue"),
+        F.min("balance").alias("_min_balance"),
+    )
+    return loans.groupBy(key).agg(
+        F.count("loan_id").alias("total_loans"),
+        F.sum("_bad_rows").alias("num_defaulted_loans"),
+        F.count_if((F.col("_bad_rows") > 0) & F.col("loan_id").isNotNull()).alias("num_distinct_defaulted_loans"),
+        F.try_divide(F.sum("_missed"), F.sum("_missed_rows")).alias("avg_missed_payments"),
+        F.max("_max_missed").alias("max_missed_payments"),
+        F.try_divide(F.sum("_paid"), F.sum("_paid_rows")).alias("avg_percent_paid"),
+        F.max("_max_overdue").alias("max_overdue_amt"),
+        F.min("_min_balance").alias("min_balance"),
     )
 
 

@@ -21,13 +21,6 @@ def value_slice(value: Column, low: Column, high: Column) -> Column:
     return (magnitude * 2048 + place).cast("bigint")
 
 
-def _with_value_slices(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Add ``_slice``; the range table has one row per key combination of ``keys``."""
-    ranges = df.groupBy(*keys).agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
-    spread = match_null_safe(df, ranges, keys, "left")
-    return spread.withColumn("_slice", value_slice(F.col(value), F.col("_low"), F.col("_high"))).drop("_low", "_high")
-
-
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """Exact quantiles with linear interpolation: one row per column (and group), one column per probability.
 
@@ -43,9 +36,18 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         .groupBy(*keys, "value")
         .agg(F.count(F.lit(1)).alias("rows"))
     )
-    ranked = scan(_with_value_slices(counts, keys, "value"), keys, ["value"], "_slice", sums={"upto": F.col("rows")})
-    totals = counts.groupBy(*keys).agg(F.sum("rows").alias("n"))
-    placed = match_null_safe(ranked, totals, keys, "left")
+    # The range of every column is one row, read as a subquery: no join on a key with few values. It is
+    # taken from the same value counts, so their shuffle is shared.
+    def value_of(c: str) -> Column:
+        return F.when(F.col("column") == c, F.col("value"))
+
+    ends = counts.agg(
+        *[F.struct(F.min(value_of(c)).alias("low"), F.max(value_of(c)).alias("high")).alias(f"r{i}") for i, c in enumerate(columns)]
+    )
+    ranged = counts.withColumn("_ends", ends.select(F.struct(*ends.columns)).scalar())
+    of_column = F.coalesce(*[F.when(F.col("column") == c, F.col("_ends")[f"r{i}"]) for i, c in enumerate(columns)])
+    sliced = ranged.withColumn("_slice", value_slice(F.col("value"), of_column["low"], of_column["high"])).drop("_ends")
+    placed = scan(sliced, keys, ["value"], "_slice", sums={"upto": F.col("rows")}, totals={"n": F.col("rows")})
 
     def value_at(position: Column) -> Column:
         inside = (F.col("upto") - F.col("rows") <= position) & (position < F.col("upto"))
@@ -67,19 +69,20 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
 
 def rank_sum_auc(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
     """``by..., positives, negatives, auc``: the chance that a positive outranks a negative, ties half."""
-    counts = (
-        df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-        .groupBy(*by, F.col(score).cast("double").alias("score"))
-        .agg(
-            F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).alias("pos"),
-            F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).alias("neg"),
-        )
+    usable = df.where(F.col(score).isNotNull() & F.col(label).isNotNull()).withColumn("score", F.col(score).cast("double"))
+    counts = usable.groupBy(*by, "score").agg(
+        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")
     )
     # One constant key when there is no grouping column, so the slices still split the scan.
     keys = list(by) or ["_all"]
     if not by:
         counts = counts.withColumn("_all", F.lit(0))
-    ranked = scan(_with_value_slices(counts, keys, "score"), keys, ["score"], "_slice", sums={"below": F.col("neg")})
+    ends = counts.agg(F.min("score").alias("low"), F.max("score").alias("high")).select(F.struct("low", "high")).scalar()
+    ranged = counts.withColumn("_ends", ends)
+    slices = value_slice(F.col("score"), F.col("_ends")["low"], F.col("_ends")["high"])
+    ranked = scan(
+        ranged.withColumn("_slice", slices).drop("_ends"), keys, ["score"], "_slice", sums={"below": F.col("neg")}
+    )
     wins = F.sum(F.col("pos") * (F.col("below") - F.col("neg") / 2))
     positives, negatives = F.sum("pos"), F.sum("neg")
     return (

@@ -71,14 +71,15 @@ def scan(
     lasts: Mapping[str, Column] | None = None,
     lags: Mapping[str, Column] | None = None,
     runs: Mapping[str, Column] | None = None,
+    totals: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Add running values along ``order`` (ascending, total within a key) for each key.
 
     ``number`` row number from 1; ``sums`` running sum; ``lasts`` latest non-NULL value up to and
     including the row; ``lags`` value of the row before; ``runs`` length of the run of rows, ending
-    here, on which the condition holds (0 where it does not).
+    here, on which the condition holds (0 where it does not); ``totals`` sum over the whole key.
     """
-    sums, lasts, lags, runs = (dict(x or {}) for x in (sums, lasts, lags, runs))
+    sums, lasts, lags, runs, totals = (dict(x or {}) for x in (sums, lasts, lags, runs, totals))
     part = [*keys, slice_by] if slice_by else list(keys)
     ordered = Window.partitionBy(*part).orderBy(*order)
     so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -90,6 +91,7 @@ def scan(
     local |= {name: F.sum(c).over(so_far) for name, c in sums.items()}
     local |= {name: F.last(c, ignorenulls=True).over(so_far) for name, c in lasts.items()}
     local |= {name: F.lag(c).over(ordered) for name, c in lags.items()}
+    local |= {name: F.sum(c).over(Window.partitionBy(*part)) for name, c in totals.items()}
     # NULL counts as "does not hold", so it breaks a run.
     broken = {name: F.coalesce(~c, F.lit(True)) for name, c in runs.items()}
     local |= {f"_cut_{name}": F.when(broken[name], F.lit(1)) for name in runs}
@@ -103,7 +105,7 @@ def scan(
             }
         )
     if slice_by:
-        out = _add_carry(out, keys, order, slice_by, sums, lasts, lags, runs)
+        out = _add_carry(out, keys, order, slice_by, sums, lasts, lags, runs, totals)
     named = {name: F.col(name).cast("int") for name in runs}
     if number:
         named[number] = F.col("_pos")
@@ -119,14 +121,16 @@ def _add_carry(
     lasts: Mapping[str, Column],
     lags: Mapping[str, Column],
     runs: Mapping[str, Column],
+    totals: Mapping[str, Column],
 ) -> DataFrame:
     place = F.struct(*[F.col(c) for c in order])
-    totals = [F.count(F.lit(1)).alias("_n")]
-    totals += [F.sum(c).alias(f"_c_{name}") for name, c in sums.items()]
-    totals += [F.max_by(c, F.when(c.isNotNull(), place)).alias(f"_c_{name}") for name, c in lasts.items()]
-    totals += [F.max_by(F.struct(c.alias("v")), place).alias(f"_c_{name}") for name, c in lags.items()]
-    totals += [F.max_by(F.col(name), place).alias(f"_c_{name}") for name in runs]
-    per_slice = local.groupBy(*keys, slice_by).agg(*totals)
+    parts = [F.count(F.lit(1)).alias("_n")]
+    parts += [F.sum(c).alias(f"_c_{name}") for name, c in sums.items()]
+    parts += [F.max_by(c, F.when(c.isNotNull(), place)).alias(f"_c_{name}") for name, c in lasts.items()]
+    parts += [F.max_by(F.struct(c.alias("v")), place).alias(f"_c_{name}") for name, c in lags.items()]
+    parts += [F.max_by(F.col(name), place).alias(f"_c_{name}") for name in runs]
+    parts += [F.sum(c).alias(f"_c_{name}") for name, c in totals.items()]
+    per_slice = local.groupBy(*keys, slice_by).agg(*parts)
 
     before = Window.partitionBy(*keys).orderBy(slice_by)
     earlier = before.rowsBetween(Window.unboundedPreceding, -1)
@@ -153,6 +157,7 @@ def _add_carry(
         ).alias(f"_h_{name}")
         for name in runs
     ]
+    handed += [F.sum(f"_c_{name}").over(Window.partitionBy(*keys)).alias(f"_h_{name}") for name in totals]
     carry = per_slice.select(*keys, slice_by, *handed)
 
     joined = match_null_safe(local, carry, [*keys, slice_by], "left")
@@ -165,5 +170,7 @@ def _add_carry(
         merged[name] = F.when(F.col("_pos") == 1, F.col(f"_h_{name}")).otherwise(F.col(name))
     for name in runs:
         merged[name] = F.col(name) + F.when(F.col(name) == F.col("_pos"), F.col(f"_h_{name}")).otherwise(0)
+    for name in totals:
+        merged[name] = F.col(f"_h_{name}")
     merged["_pos"] = (F.col("_pos") + F.col("_h_pos")).cast("int")
-    return joined.withColumns(merged).drop("_h_pos", *[f"_h_{n}" for n in (*sums, *lasts, *lags, *runs)])
+    return joined.withColumns(merged).drop("_h_pos", *[f"_h_{n}" for n in (*sums, *lasts, *lags, *runs, *totals)])

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import hours as hr
 from ledgerline.operators.ranking import exact_quantiles
-from ledgerline.operators.scans import HOT_ROWS, match_null_safe, scan, split_hot
+from ledgerline.operators.scans import HOT_ROWS, Build, match_null_safe, scan, split_hot
 from ledgerline.operators.tables import attach_checked
 
 SERIES = ["building_id", "meter"]
@@ -84,9 +84,9 @@ def zero_streak(df: DataFrame, slice_by: str | None = None, out: str = "zero_str
     return scan(df, SERIES, ["timestamp"], slice_by, runs={out: F.col("meter_reading") == 0})
 
 
-def zero_streaks(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """:func:`zero_streak` with dense series cut by day."""
-    return split_hot(df, SERIES, F.to_date("timestamp"), zero_streak, hot_rows)
+def by_series(df: DataFrame, build: Build, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Run a series operator with series of more than ``hot_rows`` rows cut by day."""
+    return split_hot(df, SERIES, F.to_date("timestamp"), build, hot_rows)
 
 
 def run_ids(df: DataFrame, value: Column, slice_by: str | None = None, out: str = "run_id") -> DataFrame:

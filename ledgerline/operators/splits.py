@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.operators.ranking import range_positions
-from ledgerline.operators.scans import match_null_safe, scan
+from ledgerline.operators.scans import scan
 
 
 @dataclass(frozen=True)
@@ -63,9 +63,7 @@ def stratified_split(df: DataFrame, label: str, key: list[str], share: float = 0
     """
     mixed = F.xxhash64(*[F.col(c) for c in key], F.lit(seed))
     hashed = df.withColumn("_hash", mixed).withColumn("_slice", F.shiftright("_hash", 52))
-    ranked = scan(hashed, [label], ["_hash", *key], "_slice", number="_rank")
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_size"))
-    sized = match_null_safe(ranked, sizes, [label], "left")
+    sized = scan(hashed, [label], ["_hash", *key], "_slice", number="_rank", totals={"_size": F.lit(1)})
     train = F.col("_rank") <= F.ceil(F.col("_size") * F.lit(share))
     return sized.withColumn("split", F.when(train, "train").otherwise("test")).drop("_hash", "_slice", "_rank", "_size")
 
@@ -91,13 +89,19 @@ def group_fold(month: Column, folds: int) -> Column:
 
 
 def contiguous_folds(df: DataFrame, order: list[str], folds: int) -> DataFrame:
-    """Blocks of consecutive rows, the first ``n mod folds`` of them one row longer."""
-    placed = range_positions(df, order, out="_position")
-    total = df.agg(F.count(F.lit(1))).scalar()
-    counted = placed.withColumn("_total", total)
-    base = F.floor(F.col("_total") / folds)
-    longer = F.col("_total") % folds
-    in_longer = F.floor(F.col("_position") / (base + 1))
-    in_rest = longer + F.floor(F.try_divide(F.col("_position") - longer * (base + 1), base))
-    fold = F.when(F.col("_position") < longer * (base + 1), in_longer).otherwise(in_rest)
-    return counted.withColumn("fold", fold.cast("int")).drop("_position", "_total")
+    """Blocks of consecutive rows, the first ``n mod folds`` of them one row longer; ``order`` is unique per row.
+
+    Only the order columns are ranked. The first key of each block, ``folds`` values in all, comes back
+    as a subquery, and every row is placed by comparing its key with them: the table itself is neither
+    sorted nor joined.
+    """
+    keys = range_positions(df.select(*order), order, out="_position")
+    total = keys.agg(F.count(F.lit(1))).scalar()
+    counted = keys.withColumn("_total", total)
+    base, longer = F.floor(F.col("_total") / folds), F.col("_total") % folds
+    starts = F.array(*[F.lit(i) * base + F.least(F.lit(i), longer) for i in range(1, folds)])
+    firsts = counted.where(F.array_contains(starts, F.col("_position")))
+    bounds = firsts.agg(F.collect_list(F.struct(*order)).alias("bounds")).scalar()
+    placed = df.withColumn("_bounds", bounds)
+    row = F.struct(*order)
+    return placed.withColumn("fold", F.size(F.filter("_bounds", lambda first: first <= row))).drop("_bounds")

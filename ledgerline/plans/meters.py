@@ -42,7 +42,7 @@ def clean_readings(readings: DataFrame, buildings: DataFrame, origin: str, **zer
     """
     with_buildings = tables.attach_checked(readings, buildings, ["building_id"])
     hours = with_buildings.withColumn("hour_index", hr.hour_index(F.col("timestamp"), origin))
-    flagged = series.bad_zero_flag(hours, **zero_rules)
+    flagged = series.by_series(hours, lambda rows, slice_by: series.bad_zero_flag(rows, **zero_rules, slice_by=slice_by))
     bad = F.col("is_bad_zero") | F.coalesce(series.warmup_rule(), F.lit(False)) | F.coalesce(series.extreme_rule(), F.lit(False))
     site0 = (F.col("site_id") == 0) & (F.col("meter") == 0)
     return flagged.withColumn("is_bad", bad).drop("is_bad_zero").withColumn(
