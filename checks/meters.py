@@ -214,7 +214,7 @@ def fill_sentinel(spark, sf):
     using(
         "weather",
         """SELECT site_id, timestamp, round(coalesce(sea_level_pressure, (SELECT min(sea_level_pressure) FROM weather) - 1), 6) AS sea_level_pressure,
-             coalesce(wind_speed, (SELECT min(wind_speed) FROM weather) - 1) AS wind_speed FROM weather""",
+             round(coalesce(wind_speed, (SELECT min(wind_speed) FROM weather) - 1), 6) AS wind_speed FROM weather""",
     ),
 )
 def fill_below_min(spark, sf):
@@ -237,7 +237,7 @@ _RANGE = "min(CAST({c} AS DOUBLE)) AS low, max(CAST({c} AS DOUBLE)) AS high, coa
     "profile_types",
     using(
         "metered",
-        "SELECT \"column\", low, high, whole, nulls, CASE WHEN NOT whole THEN 'float' WHEN low > -128 AND high < 127 THEN 'tinyint'"
+        "SELECT \"column\", low, high, whole, nulls, CASE WHEN NOT whole AND low > -3.4028234663852886e38 AND high < 3.4028234663852886e38 THEN 'float' WHEN NOT whole THEN 'double' WHEN low > -128 AND high < 127 THEN 'tinyint'"
         " WHEN low > -32768 AND high < 32767 THEN 'smallint' WHEN low > -2147483648 AND high < 2147483647 THEN 'int' ELSE 'bigint' END AS type FROM ("
         + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", {_RANGE.format(c=c)} FROM metered" for c in _PROFILED)
         + ")",
@@ -807,7 +807,7 @@ _SCALED = ["meter_reading", "square_feet", "target"]
     using(
         "encode_base",
         "SELECT building_id, timestamp, meter, in_train, "
-        + ", ".join(f"round(({c} - avg({c}) OVER w) / stddev_pop({c}) OVER w + 1.3e-7, 5) + 0.0 AS {c}" for c in _SCALED)
+        + ", ".join(f"round(({c} - avg({c}) OVER w) / nullif(stddev_pop({c}) OVER w, 0) + 1.3e-7, 5) + 0.0 AS {c}" for c in _SCALED)
         + " FROM base WINDOW w AS (PARTITION BY meter)",
     ),
 )
@@ -822,7 +822,7 @@ def standardize_by_segment(spark, sf):
     using(
         "encode_base",
         "SELECT building_id, timestamp, meter, in_train, "
-        + ", ".join(f"round(({c} - (SELECT avg({c}) FROM base WHERE in_train)) / (SELECT stddev_pop({c}) FROM base WHERE in_train) + 1.3e-7, 5) + 0.0 AS {c}" for c in _SCALED)
+        + ", ".join(f"round(({c} - (SELECT avg({c}) FROM base WHERE in_train)) / (SELECT CASE WHEN stddev_pop({c}) = 0 THEN 1 ELSE stddev_pop({c}) END FROM base WHERE in_train) + 1.3e-7, 5) + 0.0 AS {c}" for c in _SCALED)
         + " FROM base",
     ),
 )
