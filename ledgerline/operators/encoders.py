@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators.ranking import range_positions
 from ledgerline.operators.scans import match_null_safe
-from ledgerline.operators.tables import attach_checked
+from ledgerline.operators.tables import BROADCAST_ROWS, attach_checked
 from ledgerline.session import pin
 
 PRIOR_PRECISION = 1e-6
+Encoding = tuple[Sequence[str], Sequence[str] | None]
 
 # Use classes that keep a group of their own; all others share the last group.
 USE_GROUPS = (
@@ -86,7 +87,7 @@ def gaussian_target_encode(
 
 
 # Encodings in fitting order, with the earlier encodings that serve as prior.
-ENCODINGS: tuple[tuple[tuple[str, ...], tuple[str, ...] | None], ...] = (
+ENCODINGS: tuple[Encoding, ...] = (
     (("hour",), None),
     (("weekday",), None),
     (("month",), None),
@@ -107,10 +108,6 @@ ENCODINGS: tuple[tuple[tuple[str, ...], tuple[str, ...] | None], ...] = (
 CELL = ["building_id", "site_id", "primary_use", "meter", "hour", "weekday", "month"]
 
 
-# Largest number of values of the keys that have a fixed domain.
-KEY_DOMAINS = {"hour": 24, "weekday": 7, "month": 12, "meter": 4, "primary_use": 16}
-
-
 def encoding_name(keys: Sequence[str]) -> str:
     return "gte_" + "_".join(keys)
 
@@ -121,16 +118,16 @@ def target_encode_stack(
     *,
     target: str = "target",
     good: Column | None = None,
-    encodings: Sequence[tuple[Sequence[str], Sequence[str] | None]] = ENCODINGS,
+    encodings: Sequence[Encoding] = ENCODINGS,
     cell: Sequence[str] = CELL,
     tau: float = PRIOR_PRECISION,
-    pin_every: int = 4,
 ) -> tuple[DataFrame, DataFrame | None]:
     """All encodings, fitted on the good training rows and attached to train and test.
 
     Every encoding depends on a row only through its cell (the combination of all key columns), so the
     rows are reduced once to cell moments, the whole chain runs on the cell table, and the rows meet it
-    in a single join instead of one join per encoding.
+    in a single join instead of one join per encoding. Encodings that do not build on each other are
+    fitted together, by one grouping-sets pass per level.
 
     A group without a usable variance falls back to the prior. The first prior is the mean of the good
     rows while fitting, and the mean of all training rows for the features; a test row uses the latter.
@@ -148,54 +145,74 @@ def target_encode_stack(
         cells = both.groupBy(*cell).agg(*[F.max(c).alias(c) for c in ("_n", "_sum", "_m2", "_low", "_high")])
     means = train.agg(F.avg(y).alias("fit"), F.avg(target).alias("row")).select(F.struct("fit", "row")).scalar()
     cells = pin(cells.fillna({"_n": 0}).withColumn("_means", means))
-
-    names: list[str] = []
-    for step, (keys, priors) in enumerate(encodings, start=1):
-        names.append(encoding_name(keys))
-        cells = _encode_cells(cells, list(keys), priors, names[-1], tau)
-        if step % pin_every == 0 and step < len(encodings):
-            cells = pin(cells)
-    table = pin(cells.select(*cell, *names))
+    for level in _levels(encodings):
+        cells = _encode_cells(cells, level, tau)
+    table = cells.select(*cell, *[encoding_name(keys) for keys, _ in encodings])
     encoded_train = match_null_safe(train, table, list(cell), "left")
     encoded_test = match_null_safe(test, table, list(cell), "left") if test is not None else None
     return encoded_train, encoded_test
 
 
-def _encode_cells(cells: DataFrame, keys: list[str], priors: Sequence[str] | None, name: str, tau: float) -> DataFrame:
-    """One encoding on the cell table: ``name`` for the features, ``_f_name`` as the fitting rows see it.
+def _levels(encodings: Sequence[Encoding]) -> list[list[Encoding]]:
+    """Encodings by depth: the first level has no priors, the others build on earlier levels."""
+    depth: dict[str, int] = {}
+    levels: list[list[Encoding]] = []
+    for keys, priors in encodings:
+        at = 0 if priors is None else 1 + max(depth[p] for p in priors)
+        depth[encoding_name(keys)] = at
+        if at == len(levels):
+            levels.append([])
+        levels[at].append((keys, priors))
+    return levels
+
+
+def _encode_cells(cells: DataFrame, level: Sequence[Encoding], tau: float) -> DataFrame:
+    """The encodings of one level: ``name`` for the features, ``_f_name`` as the fitting rows see it.
 
     Cell moments (count, sum, squared deviations) combine to the moments of the group.
     """
-    if priors is None:
-        fit_prior, row_prior = F.col("_means")["fit"], F.col("_means")["row"]
-    else:
-        fit_prior = sum((F.col(f"_f_{p}") for p in priors[1:]), F.col(f"_f_{priors[0]}")) / len(priors)
-        row_prior = sum((F.col(p) for p in priors[1:]), F.col(priors[0])) / len(priors)
+    def prior(priors: Sequence[str] | None, prefix: str, first: str) -> Column:
+        if priors is None:
+            return F.col("_means")[first]
+        return sum((F.col(prefix + p) for p in priors[1:]), F.col(prefix + priors[0])) / len(priors)
+
+    names = [encoding_name(keys) for keys, _ in level]
+    columns = list(dict.fromkeys(c for keys, _ in level for c in keys))
     n = F.col("_n")
-    groups = (
+    priors_of = {f"_prior_{name}": prior(priors, "_f_", "fit") for name, (_, priors) in zip(names, level, strict=True)}
+    groups = pin(
         cells.where(n > 0)
-        .withColumn("_prior", fit_prior)
-        .groupBy(*keys)
+        .withColumns(priors_of)
+        .groupingSets([list(keys) for keys, _ in level], *columns)
         .agg(
-            F.sum(n).alias("_gn"),
+            F.grouping_id().alias("_set"),
+            F.sum("_n").alias("_gn"),
             F.sum("_sum").alias("_gsum"),
             F.sum("_m2").alias("_within"),
             F.sum(F.col("_sum") * F.col("_sum") / n).alias("_square"),
             F.min("_low").alias("_glow"),
             F.max("_high").alias("_ghigh"),
-            (F.sum(F.col("_prior") * n) / F.sum(n)).alias("_mu0"),
+            *[(F.sum(F.col(p) * n) / F.sum("_n")).alias(p) for p in priors_of],
         )
     )
+    few = groups.count() <= BROADCAST_ROWS
     total, mean = F.col("_gn"), F.col("_gsum") / F.col("_gn")
     deviations = F.col("_within") + F.col("_square") - total * mean * mean
     variance = F.when(F.col("_glow") < F.col("_ghigh"), F.try_divide(F.greatest(deviations, F.lit(0.0)), total - 1))
-    fitted = groups.select(*keys, posterior(total, mean, variance, F.col("_mu0"), tau).alias("_fit"))
-    # Groups of calendar parts, meter kinds and use classes are few by definition; others join as their size demands.
-    side = F.broadcast(fitted) if set(keys) <= set(KEY_DOMAINS) else fitted
-    joined = cells.join(side, keys, "left")
-    return joined.withColumns(
-        {name: F.coalesce(F.col("_fit"), row_prior), f"_f_{name}": F.coalesce(F.col("_fit"), fit_prior)}
-    ).drop("_fit")
+    for name, (keys, priors) in zip(names, level, strict=True):
+        # A grouping-set id has a 1 for every column left out, the first column being the highest bit.
+        set_id = int("".join("0" if c in keys else "1" for c in columns), 2)
+        fit = posterior(total, mean, variance, F.col(f"_prior_{name}"), tau).alias("_fit")
+        fitted = groups.where(F.col("_set") == set_id).select(*keys, fit)
+        joined = cells.join(F.broadcast(fitted) if few else fitted, list(keys), "left")
+        cells = joined.withColumns(
+            {
+                name: F.coalesce(F.col("_fit"), prior(priors, "", "row")),
+                f"_f_{name}": F.coalesce(F.col("_fit"), prior(priors, "_f_", "fit")),
+            }
+        ).drop("_fit")
+    # Broadcast look-ups are cheap to repeat in the next level; shuffled joins are not.
+    return cells if few else pin(cells)
 
 
 # ---------------------------------------------------------------- category codes

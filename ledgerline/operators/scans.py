@@ -40,9 +40,9 @@ def split_hot(
 ) -> DataFrame:
     """Run ``build(rows, slice_by)`` on ordinary keys (``slice_by=None``) and on sliced hot keys.
 
-    The list of hot keys is broadcast: it holds at most ``rows / hot_rows`` entries, whatever the
-    data looks like (a million keys for 10^12 rows at the default limit). When it is empty, adaptive
-    execution drops the whole sliced branch.
+    Hot keys are counted first, reading the key columns only. Usually there are none, and the plan is
+    just ``build(df, None)``. Otherwise their list is broadcast: it holds at most ``rows / hot_rows``
+    entries, whatever the data looks like (a million keys for 10^12 rows at the default limit).
     """
     hot = (
         df.groupBy(*keys)
@@ -50,6 +50,8 @@ def split_hot(
         .where(F.col("_rows") > hot_rows)
         .select(*keys)
     )
+    if hot.count() == 0:
+        return build(df, None)
     ordinary = build(match_null_safe(df, hot, keys, "left_anti"), None)
     sliced_rows = (
         match_null_safe(df, hot, keys, "left_semi")

@@ -51,7 +51,12 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/ledgerline/{name}-{uuid.uuid4().hex}"
 
 
-def pin(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint, so later reads see one fixed copy of the rows."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def pin(df: DataFrame, name: str = "pin") -> DataFrame:
+    """Cut lineage: write the rows once to the shared folder and go on from that table.
+
+    Later readers see one fixed copy, read only the columns they need, and the planner knows its size.
+    The copy outlives the executors that wrote it.
+    """
+    path = stage_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerline.functions.cleaning import DATE_FORMATS, parse_date
-from ledgerline.session import stage_path
+from ledgerline.session import pin
 
 SNAPSHOT = "snapshot_date"
 
@@ -112,9 +112,7 @@ def write_predictions(df: DataFrame, path: str, key: str = "row_id", value: str
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a stage table to the shared folder and continue from the copy."""
-    path = stage_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return pin(df, name)
 
 
 def load_named(spark: SparkSession, registry: Mapping[str, str], name: str) -> DataFrame:
