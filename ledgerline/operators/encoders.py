@@ -146,7 +146,7 @@ def target_encode_stack(
     means = train.agg(F.avg(y).alias("fit"), F.avg(target).alias("row")).select(F.struct("fit", "row")).scalar()
     cells = pin(cells.fillna({"_n": 0}).withColumn("_means", means))
     for level in _levels(encodings):
-        cells = _encode_cells(cells, level, tau)
+        cells = pin(_encode_cells(cells, level, tau))
     table = cells.select(*cell, *[encoding_name(keys) for keys, _ in encodings])
     encoded_train = match_null_safe(train, table, list(cell), "left")
     encoded_test = match_null_safe(test, table, list(cell), "left") if test is not None else None
@@ -211,8 +211,7 @@ def _encode_cells(cells: DataFrame, level: Sequence[Encoding], tau: float) -> Da
                 f"_f_{name}": F.coalesce(F.col("_fit"), prior(priors, "_f_", "fit")),
             }
         ).drop("_fit")
-    # Broadcast look-ups are cheap to repeat in the next level; shuffled joins are not.
-    return cells if few else pin(cells)
+    return cells
 
 
 # ---------------------------------------------------------------- category codes
