@@ -36,7 +36,8 @@ def _silver_loan(bronze: DataFrame) -> DataFrame:
 
 
 def _silver_clicks(bronze: DataFrame) -> DataFrame:
-    return behaviour.clickstream_detail(bronze, FEATURES, ["fe_1"])
+    # Rows of one day have no order of their own; their values make it total.
+    return behaviour.clickstream_detail(bronze, FEATURES, FEATURES)
 
 
 SILVER: Mapping[str, Callable[[DataFrame], DataFrame]] = {
