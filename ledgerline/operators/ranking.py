@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.operators.scans import match_null_safe, scan
+from ledgerline.operators.scans import match_null_safe, scan, slice_of
 from ledgerline.session import pin
 
 
@@ -46,7 +46,8 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     )
     ranged = counts.withColumn("_ends", ends.select(F.struct(*ends.columns)).scalar())
     of_column = F.coalesce(*[F.when(F.col("column") == c, F.col("_ends")[f"r{i}"]) for i, c in enumerate(columns)])
-    sliced = ranged.withColumn("_slice", value_slice(F.col("value"), of_column["low"], of_column["high"])).drop("_ends")
+    at = value_slice(F.col("value"), of_column["low"], of_column["high"])
+    sliced = ranged.withColumn("_slice", slice_of(keys, at)).drop("_ends")
     placed = scan(sliced, keys, ["value"], "_slice", sums={"upto": F.col("rows")}, totals={"n": F.col("rows")})
 
     def value_at(position: Column) -> Column:
@@ -79,7 +80,7 @@ def rank_sum_auc(df: DataFrame, score: str, label: str, by: Sequence[str] = ())
         counts = counts.withColumn("_all", F.lit(0))
     ends = counts.agg(F.min("score").alias("low"), F.max("score").alias("high")).select(F.struct("low", "high")).scalar()
     ranged = counts.withColumn("_ends", ends)
-    slices = value_slice(F.col("score"), F.col("_ends")["low"], F.col("_ends")["high"])
+    slices = slice_of(keys, value_slice(F.col("score"), F.col("_ends")["low"], F.col("_ends")["high"]))
     ranked = scan(
         ranged.withColumn("_slice", slices).drop("_ends"), keys, ["score"], "_slice", sums={"below": F.col("neg")}
     )
@@ -107,6 +108,7 @@ def range_positions(df: DataFrame, order: Sequence[str], within: Sequence[str] =
     )
     keys = [*within, "_slice"]
     local = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1
+    # At most one row per range partition and ``within`` group: small enough to be ordered in one task.
     sizes = ranged.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*within).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))

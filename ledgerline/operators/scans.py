@@ -31,6 +31,15 @@ def match_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return joined.drop(*[f"_r_{key}" for key in keys])
 
 
+def slice_of(keys: Sequence[str], at: Column) -> Column:
+    """A slice: the key columns and the slice value in one struct.
+
+    A struct is never NULL and its NULL fields compare equal, so windows, grouping and joins on it agree
+    on one hash partitioning and the scanned rows are shuffled once.
+    """
+    return F.struct(*[F.col(k) for k in keys], at.alias("at"))
+
+
 def split_hot(
     df: DataFrame,
     keys: Sequence[str],
@@ -55,8 +64,8 @@ def split_hot(
     ordinary = build(match_null_safe(df, hot, keys, "left_anti"), None)
     sliced_rows = (
         match_null_safe(df, hot, keys, "left_semi")
-        .withColumn(SLICE, slice_expr)
-        .repartition(*keys, SLICE)
+        .withColumn(SLICE, slice_of(keys, slice_expr))
+        .repartition(SLICE)
     )
     sliced = build(sliced_rows, SLICE).drop(SLICE)
     return ordinary.unionByName(sliced)
@@ -77,12 +86,14 @@ def scan(
 ) -> DataFrame:
     """Add running values along ``order`` (ascending, total within a key) for each key.
 
+    ``slice_by`` names a column made by :func:`slice_of` for the same keys.
+
     ``number`` row number from 1; ``sums`` running sum; ``lasts`` latest non-NULL value up to and
     including the row; ``lags`` value of the row before; ``runs`` length of the run of rows, ending
     here, on which the condition holds (0 where it does not); ``totals`` sum over the whole key.
     """
     sums, lasts, lags, runs, totals = (dict(x or {}) for x in (sums, lasts, lags, runs, totals))
-    part = [*keys, slice_by] if slice_by else list(keys)
+    part = [slice_by] if slice_by else list(keys)
     ordered = Window.partitionBy(*part).orderBy(*order)
     so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
@@ -132,7 +143,8 @@ def _add_carry(
     parts += [F.max_by(F.struct(c.alias("v")), place).alias(f"_c_{name}") for name, c in lags.items()]
     parts += [F.max_by(F.col(name), place).alias(f"_c_{name}") for name in runs]
     parts += [F.sum(c).alias(f"_c_{name}") for name, c in totals.items()]
-    per_slice = local.groupBy(*keys, slice_by).agg(*parts)
+    per_slice = local.groupBy(slice_by).agg(*parts)
+    per_slice = per_slice.withColumns({k: F.col(slice_by)[k] for k in keys})
 
     before = Window.partitionBy(*keys).orderBy(slice_by)
     earlier = before.rowsBetween(Window.unboundedPreceding, -1)
@@ -160,9 +172,7 @@ def _add_carry(
         for name in runs
     ]
     handed += [F.sum(f"_c_{name}").over(Window.partitionBy(*keys)).alias(f"_h_{name}") for name in totals]
-    carry = per_slice.select(*keys, slice_by, *handed)
-
-    joined = match_null_safe(local, carry, [*keys, slice_by], "left")
+    joined = local.join(per_slice.select(slice_by, *handed), slice_by, "left")
     merged: dict[str, Column] = {}
     for name in sums:
         merged[name] = F.coalesce(F.col(name) + F.col(f"_h_{name}"), F.col(name), F.col(f"_h_{name}"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import hours as hr
 from ledgerline.operators.ranking import exact_quantiles
-from ledgerline.operators.scans import HOT_ROWS, Build, match_null_safe, scan, split_hot
+from ledgerline.operators.scans import HOT_ROWS, Build, match_null_safe, scan, slice_of, split_hot
 from ledgerline.operators.tables import attach_checked
 
 SERIES = ["building_id", "meter"]
@@ -263,7 +263,8 @@ def _fill(dated: DataFrame, mode: str | None, columns: Sequence[str], key: str)
     elif mode == "legacy":
         # One sequence over all keys, cut by key.
         whole = means.withColumn("_all", F.lit(0))
-        means = scan(whole, ["_all"], keys, key, lasts=filled).drop("_all")
+        whole = whole.withColumn("_slice", slice_of(["_all"], F.col(key)))
+        means = scan(whole, ["_all"], keys, "_slice", lasts=filled).drop("_all", "_slice")
     else:
         means = means.withColumns(filled)
     joined = attach_checked(dated, means.select(*keys, *filled), keys)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.operators.ranking import range_positions
-from ledgerline.operators.scans import scan
+from ledgerline.operators.scans import scan, slice_of
 
 
 @dataclass(frozen=True)
@@ -62,7 +62,8 @@ def stratified_split(df: DataFrame, label: str, key: list[str], share: float = 0
     even slices, so a label with half of the table is still ranked in many tasks.
     """
     mixed = F.xxhash64(*[F.col(c) for c in key], F.lit(seed))
-    hashed = df.withColumn("_hash", mixed).withColumn("_slice", F.shiftright("_hash", 52))
+    hashed = df.withColumn("_hash", mixed)
+    hashed = hashed.withColumn("_slice", slice_of([label], F.shiftright("_hash", 52)))
     sized = scan(hashed, [label], ["_hash", *key], "_slice", number="_rank", totals={"_size": F.lit(1)})
     train = F.col("_rank") <= F.ceil(F.col("_size") * F.lit(share))
     return sized.withColumn("split", F.when(train, "train").otherwise("test")).drop("_hash", "_slice", "_rank", "_size")

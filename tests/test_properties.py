@@ -11,7 +11,7 @@ from ledgerline.operators import lending, series
 from ledgerline.operators.ranking import exact_quantiles, rank_sum_auc
 from ledgerline.operators.scans import split_hot
 
-few = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+few = settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 T0 = dt.datetime(2016, 1, 1)
 
 

@@ -12,10 +12,9 @@ from run_checks import rows_of
 DATA = "/root/testdata/sf0.001"
 # One of each kind; run_checks.py runs them all.
 SAMPLE = [
-    "silver_loan_table", "consecutive_missed_legacy", "silver_attributes_table", "silver_financials_table", "zscore", "sequence_in_key",
-    "loan_summary", "gold_feature_table", "days_past_due", "training_set", "rate_by_month", "five_number_balance", "distinct_profile",
-    "rule_check", "bad_zero_flag", "fill_group_mean_ffill", "clean_weather", "rolling_centered", "target_encode_stack", "label_encode",
-    "contiguous_folds", "auc_gini", "out_of_fold_lines", "final_blend", "blend_per_segment", "ingest_snapshot", "stream_snapshots",
+    "silver_loan_table", "silver_attributes_table", "silver_financials_table", "sequence_in_key", "gold_feature_table", "training_set",
+    "rate_by_month", "five_number_balance", "rule_check", "bad_zero_flag", "clean_weather", "target_encode_stack", "label_encode",
+    "auc_gini", "final_blend", "ingest_snapshot", "stream_snapshots",
 ]
 
 
