@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import exact, toxicity
+from ledgerline.llm import exact, packing, toxicity, urls
 from ledgerline.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,11 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"))
@@ -34,6 +39,67 @@ WINDOW same AS (PARTITION BY body)
 """
 
 
+URL_RULES = [
+    urls.Rule("allow", "org", "/"),
+    urls.Rule("block", "example.org", "/es/"),
+    urls.Rule("block", "example.org", "/en/1"),
+    urls.Rule("allow", "com", "/fr/"),
+    urls.Rule("block", "com", "/de/"),
+]
+
+
+@query
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+SQL["op5_url_filter"] = """
+WITH u AS (
+  SELECT page_id, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages
+), h AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM u
+), p AS (
+  SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM h
+), rules(verdict, rhost, rpath) AS (
+  VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
+), ruled AS (
+  SELECT page_id, arg_max(rhost || rpath, length(rhost || rpath)) AS rule, arg_max(verdict, length(rhost || rpath)) AS ruled
+  FROM (SELECT DISTINCT page_id, host, path FROM p) JOIN rules ON (host = rhost OR suffix(host, '.' || rhost)) AND prefix(path, rpath)
+  GROUP BY page_id
+), seg AS (
+  SELECT p.*, CASE WHEN path = '' THEN [] ELSE string_split(substr(path, 2), '/') END AS parts FROM p
+), form AS (
+  SELECT page_id, host, path, len(parts) AS k, list_transform(parts, lambda s: CASE WHEN s = '' THEN '.' WHEN regexp_matches(s, '^[0-9A-Fa-f]{12,}$') THEN '{hex}'
+    ELSE regexp_replace(s, '[0-9]+', '{n}', 'g') END) AS f FROM seg
+), judged AS (
+  SELECT form.page_id, host, path, coalesce(f[1], '') AS s1, coalesce(f[2], '') AS s2, coalesce(f[3], '') AS s3,
+         CASE WHEN k > 3 THEN '**' ELSE '' END AS s4, rule, ruled FROM form LEFT JOIN ruled USING (page_id)
+), l1 AS (SELECT host, CASE WHEN count(DISTINCT s1) >= 8 AND count(*) < 2 * count(DISTINCT s1) THEN true ELSE false END AS v FROM judged GROUP BY host
+), j1 AS (SELECT judged.*, CASE WHEN v THEN '*' ELSE s1 END AS w1 FROM judged JOIN l1 USING (host)
+), l2 AS (SELECT host, w1, count(DISTINCT s2) >= 8 AND count(*) < 2 * count(DISTINCT s2) AS v FROM j1 GROUP BY host, w1
+), j2 AS (SELECT j1.*, CASE WHEN v THEN '*' ELSE s2 END AS w2 FROM j1 JOIN l2 USING (host, w1)
+), l3 AS (SELECT host, w1, w2, count(DISTINCT s3) >= 8 AND count(*) < 2 * count(DISTINCT s3) AS v FROM j2 GROUP BY host, w1, w2
+), j3 AS (SELECT j2.*, CASE WHEN v THEN '*' ELSE s3 END AS w3 FROM j2 JOIN l3 USING (host, w1, w2)
+), own AS (
+  SELECT host, w1, w2, w3, s4, count(ruled) AS m, count(*) FILTER (ruled = 'block') AS b FROM j3 GROUP BY ALL
+), rate AS (SELECT coalesce(sum(b) / nullif(sum(m), 0), 0.5) AS rate FROM own
+), across AS (
+  SELECT w1, w2, w3, s4, (sum(b) + 10 * any_value(rate)) / (sum(m) + 10) AS prior FROM own, rate GROUP BY w1, w2, w3, s4
+), node AS (SELECT host, w1, w2, w3, s4, b + 10 * prior AS eb, m + 10 AS em FROM own JOIN across USING (w1, w2, w3, s4)
+), pool AS (SELECT host, w2, w3, s4, sum(eb) / sum(em) AS r FROM node GROUP BY ALL
+), tested AS (
+  SELECT node.*, round((eb - em * r) * (eb - em * r) - 4 * em * r * (1 - r), 9) <= 0 AS alike FROM node JOIN pool USING (host, w2, w3, s4)
+), merged AS (SELECT host, w2, w3, s4, sum(eb) / sum(em) AS mr, count(*) AS width FROM tested WHERE alike GROUP BY ALL
+), ended AS (
+  SELECT host, w1, w2, w3, s4, round(CASE WHEN alike THEN mr ELSE eb / em END, 9) >= 0.5 AS rejected,
+         concat_ws('/', CASE WHEN alike AND width > 1 THEN '|' ELSE w1 END, nullif(w2, ''), nullif(w3, ''), nullif(s4, '')) AS template
+  FROM tested LEFT JOIN merged USING (host, w2, w3, s4)
+)
+SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN rejected THEN 'block' ELSE 'allow' END) AS verdict, template
+FROM j3 JOIN ended USING (host, w1, w2, w3, s4)
+"""
+
+
 @query
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
