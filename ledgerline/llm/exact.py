@@ -3,9 +3,8 @@
 1. Every text gets a 64-bit key. Keys are counted per prefix, and a directory is grown from these counts: while a
    bucket holds more than ``capacity`` entries, it is split by one more bit of the key, and the directory doubles when
    a split needs a bit that it doesn't have yet. A bucket is a range of keys, and one owner task at a time has it.
-2. A key that occurs once can't have a copy. The rows of all other keys become entries of the index: equal texts that
-   lie in the same batch are merged into one entry first, so that a text copied onto a third of all rows reaches its
-   owner as one entry per batch, not per row.
+2. Rows become entries of the index. Equal texts that lie in the same batch are merged into one entry first, so that a
+   text copied onto a third of all rows reaches its owner as one entry per batch, not per row.
 3. Owners read their range in key order and chain the texts of one key: an entry joins the link whose bytes equal its
    own, or adds a link. The index is written to the shared folder, one folder per bucket.
 4. Sizes and survivors are summed per link and joined back, and the entries are unfolded into one row per document.
@@ -98,25 +97,18 @@ def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def repeated_counts(keys: DataFrame, prefix) -> DataFrame:
-    return keys.where("n > 1").groupBy(prefix.alias("p")).agg(F.sum("n").alias("n"))
-
-
-def build_index(docs: DataFrame, capacity: int = CAPACITY) -> tuple[DataFrame, DataFrame]:
-    """The index of all texts whose key occurs more than once, and the rows of all other keys."""
+def build_index(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """The index: one row per entry, in one folder per bucket."""
     spark = docs.sparkSession
-    keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
-    keys = pin(keyed.groupBy("h").agg(F.count(F.lit(1)).alias("n")), "keys")
-    repeated = keys.where("n > 1").select("h")
-    prefix = F.shiftrightunsigned("h", 64 - MAX_DEPTH)
-    counts = {r["p"]: r["n"] for r in repeated_counts(keys, prefix).collect()}  # at most 2 ** MAX_DEPTH rows
+    keyed = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
+    prefixes = keyed.groupBy(F.shiftrightunsigned("h", 64 - MAX_DEPTH).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    counts = {r["p"]: r["n"] for r in prefixes.collect()}  # at most 2 ** MAX_DEPTH rows
     lows = np.array([low for low, _ in grow_directory(counts, capacity)])
-    entries = keyed.join(repeated, "h", "left_semi").mapInArrow(_entries(lows), ENTRY)
+    entries = keyed.mapInArrow(_entries(lows), ENTRY)
     owned = entries.repartition(partitions_for(spark), "bucket").sortWithinPartitions("bucket", "h")
-    chained = owned.mapInArrow(_chain, LINK)
     path = stage_path(spark, "hash-index")
-    chained.write.partitionBy("bucket").parquet(path)
-    return spark.read.schema(LINK).parquet(path), keyed.join(repeated, "h", "left_anti")
+    owned.mapInArrow(_chain, LINK).write.partitionBy("bucket").parquet(path)
+    return spark.read.schema(LINK).parquet(path)
 
 
 def exact_groups(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
@@ -124,16 +116,14 @@ def exact_groups(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
     Of equal texts the row with the largest doc_id stays; of rows with that same doc_id and text, all are marked so.
     """
-    index, single = build_index(docs, capacity)
+    index = build_index(docs, capacity)
     links = index.groupBy("h", "link").agg(F.max("top").alias("keep_id"), F.sum("n").alias("group_size"))
     groups = index.join(links, ["h", "link"]).select(F.explode("doc_ids").alias("doc_id"), "keep_id", "group_size", "text_sha256")
-    alone = single.select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"), F.sha2("text", 256).alias("text_sha256"))
-    every = groups.unionByName(alone)
-    return every.select("doc_id", "keep_id", "group_size", (F.col("doc_id") == F.col("keep_id")).alias("kept"), "text_sha256")
+    return groups.select("doc_id", "keep_id", "group_size", (F.col("doc_id") == F.col("keep_id")).alias("kept"), "text_sha256")
 
 
 def drop_exact(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """The documents whose row stays, with all their columns."""
     gone = exact_groups(docs, capacity).where(~F.col("kept")).select("doc_id", F.col("text_sha256").alias("_sha")).distinct()
     keyed = docs.withColumn("_sha", F.sha2(F.coalesce("text", F.lit("")), 256))
-    return keyed.join(pin(gone, "exact-copies"), ["doc_id", "_sha"], "left_anti").select(*docs.columns)
+    return keyed.join(pin(gone, "exact-copies").hint("merge"), ["doc_id", "_sha"], "left_anti").select(*docs.columns)
