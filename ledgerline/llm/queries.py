@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import exact, html_text, language, packing, toxicity, urls
+from ledgerline.llm import embeddings, exact, html_text, language, packing, toxicity, urls
 from ledgerline.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,6 +120,27 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
+@query
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_groups(table(spark, sf_dir, "embeddings"))
+
+
+SQL["op10_embedding_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+), unit AS (SELECT vec_id, x, sqrt(list_dot_product(x, x)) AS norm FROM v WHERE list_dot_product(x, x) > 0
+), link AS MATERIALIZED (
+  SELECT l.vec_id AS a, r.vec_id AS b FROM unit l JOIN unit r ON l.vec_id <> r.vec_id AND len(l.x) = len(r.x)
+  WHERE list_dot_product(l.x, r.x) / (l.norm * r.norm) >= 0.9
+), reach(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a
+), component AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a
+), degree AS (SELECT a AS vec_id, count(*) AS n FROM link GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN component USING (vec_id) LEFT JOIN degree USING (vec_id)
+"""
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
