@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import embeddings, exact, html_text, language, packing, toxicity, urls
+from ledgerline.llm import embeddings, exact, html_text, jaccard, language, packing, toxicity, urls
 from ledgerline.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,6 +112,32 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_groups(table(spark, sf_dir, "documents"))
+
+
+SQL["op8_jaccard_join"] = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, coalesce(text, '') AS body, list_filter(string_split_regex(lower(coalesce(text, '')), '[ \t\n\r\f\v]+'), lambda x: x <> '') AS words FROM documents
+), first AS (SELECT body, min(doc_id) AS rep, count(*) AS weight, any_value(words) AS words FROM w GROUP BY body
+), s AS (
+  SELECT rep, weight, unnest(CASE WHEN len(words) >= 5
+    THEN list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) ELSE [array_to_string(words, ' ')] END) AS shingle
+  FROM first WHERE len(words) > 0
+), size AS (SELECT rep, any_value(weight) AS weight, count(*) AS n FROM s GROUP BY rep
+), common AS (SELECT l.rep AS a, r.rep AS b, count(*) AS n FROM s l JOIN s r ON l.shingle = r.shingle AND l.rep <> r.rep GROUP BY ALL
+), link AS MATERIALIZED (
+  SELECT a, b, y.weight AS weight FROM common JOIN size x ON a = x.rep JOIN size y ON b = y.rep WHERE 5 * common.n >= 4 * (x.n + y.n - common.n)
+), reach(a, b) AS (SELECT rep, rep FROM size UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a
+), component AS (SELECT a AS rep, min(b) AS component_id FROM reach GROUP BY a
+), degree AS (SELECT a AS rep, sum(weight) AS n FROM link GROUP BY a)
+SELECT doc_id, rep AS class_id, CASE WHEN len(w.words) > 0 THEN weight - 1 + coalesce(n, 0) ELSE 0 END::BIGINT AS n_links,
+       CASE WHEN len(w.words) > 0 THEN component_id ELSE doc_id END AS component_id, doc_id = CASE WHEN len(w.words) > 0 THEN component_id ELSE doc_id END AS kept
+FROM w JOIN first USING (body) LEFT JOIN component USING (rep) LEFT JOIN degree USING (rep)
+"""
+
+
 @query
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
