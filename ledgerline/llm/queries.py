@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import embeddings, exact, html_text, jaccard, language, packing, toxicity, urls
+from ledgerline.llm import embeddings, exact, html_text, jaccard, language, mixing, packing, toxicity, urls
 from ledgerline.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,52 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def _mixing_sql(rounds: int = 20, rate_steps: int = 20, share: float = 0.8) -> str:
+    """Raking and the rate, one common table expression per step."""
+    steps = []
+    for margin, power in (("source", 0.5), ("lang", 0.7), ("topic", 0.7)):
+        steps.append(
+            f"""want_{margin} AS (
+  SELECT {margin}, sum(t) OVER () * s / nullif(sum(s) OVER (), 0) AS want_{margin}
+  FROM (SELECT {margin}, sum(tokens)::DOUBLE AS t, CASE WHEN sum(tokens) > 0 THEN pow(sum(tokens)::DOUBLE, {power}) ELSE 0 END AS s FROM cells GROUP BY {margin}))"""
+        )
+    steps.append("r0 AS MATERIALIZED (SELECT *, tokens::DOUBLE AS fitted FROM cells JOIN want_source USING (source) JOIN want_lang USING (lang) JOIN want_topic USING (topic))")
+    for k in range(3 * rounds):
+        margin = ("source", "lang", "topic")[k % 3]
+        steps.append(
+            f"r{k + 1} AS MATERIALIZED (SELECT * REPLACE (CASE WHEN sum(fitted) OVER (PARTITION BY {margin}) > 0 "
+            f"THEN fitted * want_{margin} / sum(fitted) OVER (PARTITION BY {margin}) ELSE 0 END AS fitted) FROM r{k})"
+        )
+    steps.append(f"weighed AS MATERIALIZED (SELECT *, CASE WHEN tokens > 0 THEN fitted / tokens ELSE 0 END AS weight FROM r{3 * rounds})")
+    steps.append(f"p0 AS (SELECT {share}::DOUBLE AS rate)")
+    for k in range(rate_steps):
+        steps.append(f"p{k + 1} AS MATERIALIZED (SELECT any_value(rate) * ({share} * sum(tokens)) / sum(tokens * least(1.0, weight * rate)) AS rate FROM weighed, p{k})")
+    return f"""
+WITH body AS (
+  SELECT doc_id, coalesce(source, 'unknown') AS source, coalesce(lang, 'unknown') AS lang, coalesce(text, '') AS x FROM documents
+), marks AS (
+  SELECT *, length(x) AS n, length(x) - length(replace(x, '|', '')) AS bars, length(regexp_replace(x, '[^%#*&$={{}}<>;]', '', 'g')) AS signs,
+         length(regexp_replace(x, '[^A-Z]', '', 'g')) AS capitals, length(regexp_replace(x, '[^a-z]', '', 'g')) AS small,
+         length(regexp_replace(x, '[^0-9]', '', 'g')) AS digits, len(regexp_extract_all(x, '[^ \t\n\r\f]+')) AS tokens FROM body
+), told AS (
+  SELECT doc_id, source, lang, tokens, CASE WHEN bars * 40 > n THEN 'table' WHEN signs * 12 > n THEN 'signs' WHEN capitals > small THEN 'capitals'
+    WHEN digits * 10 > n THEN 'numbers' ELSE 'prose' END AS topic FROM marks
+), cells AS MATERIALIZED (SELECT source, lang, topic, sum(tokens)::BIGINT AS tokens FROM told GROUP BY ALL
+), {", ".join(steps)}
+SELECT doc_id, source, lang, topic, told.tokens, round(weight, 6) AS weight, round(round(least(1.0, weight * rate), 9), 6) AS probability,
+       ('0x' || substr(md5(doc_id::VARCHAR || 'mix'), 1, 8))::BIGINT / 4294967296.0 < round(least(1.0, weight * rate), 9) AS sampled
+FROM told JOIN weighed USING (source, lang, topic), p{rate_steps}
+"""
+
+
+SQL["op1_mixing"] = _mixing_sql()
+
+
 @query
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("bigint"))
