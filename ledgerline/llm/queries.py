@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import embeddings, exact, html_text, jaccard, language, mixing, packing, toxicity, urls
+from ledgerline.llm import embeddings, exact, html_text, jaccard, language, mixing, packing, repeats, toxicity, urls
 from ledgerline.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -158,6 +158,11 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.drop_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 @query
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_groups(table(spark, sf_dir, "documents"))
