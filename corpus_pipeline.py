@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import exact, toxicity
+from ledgerline.llm import exact, jaccard, mixing, packing, toxicity
 from ledgerline.llm.common import table
 from ledgerline.session import pin
 
@@ -23,7 +23,28 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return exact.drop_exact(docs)
 
 
-STAGES = [("toxicity", without_toxic), ("exact_dedup", without_copies)]
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the smallest doc_id of documents that links of similarity 0.8 and more connect."""
+    return jaccard.drop_near(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Draw documents so that tokens meet the target shares of sources, languages and topics."""
+    return mixing.sample(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of ids whose lengths are powers of two."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("toxicity", without_toxic),
+    ("exact_dedup", without_copies),
+    ("jaccard_join", without_near_copies),
+    ("mixing", mixed),
+    ("packing", packed),
+]
 
 #: The stages learn models and search by hashes; SQL can't express them.
 ORACLE_SQL = None
