@@ -93,7 +93,7 @@ def consecutive_missed(spark, sf):
         "silver",
         """SELECT loan_id, installment_num,
              CAST(misses - sum(CASE WHEN monthly_overdue_flag = 0 AND installment_num > 0 THEN misses ELSE 0 END)
-               OVER (PARTITION BY loan_id ORDER BY installment_num ROWS UNBOUNDED PRECEDING) AS INTEGER) AS consecutive_missed_payments
+               OVER (PARTITION BY loan_id ORDER BY installment_num ROWS UNBOUNDED PRECEDING) AS BIGINT) AS consecutive_missed_payments
            FROM counted""",
     ),
 )
@@ -635,7 +635,7 @@ def dpd_label(spark, sf):
 extend(
     "click_features",
     "\nclick_features AS (SELECT CAST(customer_id AS VARCHAR) AS customer_id, date_trunc('month', snapshot_date) + INTERVAL 0 DAY AS month_start, "
-    + each("avg({c}) AS {c}", FEATURES[:3])
+    + each("avg({c}) AS {c}", FEATURES)
     + " FROM clicks GROUP BY 1, 2)",
     ("clicks",),
 )
@@ -647,7 +647,7 @@ def _monthly_features(spark, sf):
     return clicks.groupBy(
         (F.col("customer_id")).cast("string").alias("customer_id"),
         F.trunc(F.add_months("snapshot_date", -300), "month").alias("snapshot_date"),
-    ).agg(*[F.avg(f).alias(f) for f in views.FEATURES[:3]])
+    ).agg(*[F.avg(f).alias(f) for f in views.FEATURES])
 
 
 def _monthly_labels(spark, sf):
@@ -663,7 +663,7 @@ def _monthly_labels(spark, sf):
 _TRAINING = """
 month_features AS (
   SELECT CAST(customer_id AS VARCHAR) AS customer_id, CAST(date_trunc('month', snapshot_date - INTERVAL 300 MONTH) AS DATE) AS snapshot_date,
-    avg(fe_1) AS fe_1, avg(fe_2) AS fe_2, avg(fe_3) AS fe_3
+    """ + each("avg({c}) AS {c}", FEATURES) + """
   FROM clicks GROUP BY 1, 2),
 month_labels AS (
   SELECT loan_id, CAST(CAST(customer_id AS BIGINT) % 50 AS VARCHAR) AS customer_id, label, label_def,
@@ -677,13 +677,13 @@ extend("training", _TRAINING, ("labels_store", "clicks"))
     "label_feature_join",
     using(
         "training",
-        """SELECT l.loan_id, l.customer_id, l.snapshot_date, l.label, round(f.fe_1, 6) AS fe_1, round(f.fe_2, 6) AS fe_2, round(f.fe_3, 6) AS fe_3
+        "SELECT l.loan_id, l.customer_id, l.snapshot_date, l.label, " + each("round(f.{c}, 6) AS {c}", FEATURES) + """
            FROM month_labels l LEFT JOIN month_features f ON f.customer_id = l.customer_id AND f.snapshot_date = l.snapshot_date""",
     ),
 )
 def label_feature_join(spark, sf):
     df = customers.label_feature_join(_monthly_labels(spark, sf), _monthly_features(spark, sf))
-    return rounded(df.select("loan_id", "customer_id", "snapshot_date", "label", "fe_1", "fe_2", "fe_3"), 6)
+    return rounded(df.select("loan_id", "customer_id", "snapshot_date", "label", *FEATURES), 6)
 
 
 TRAIN_DATE = date(1999, 1, 1)
@@ -693,8 +693,7 @@ TRAIN_DATE = date(1999, 1, 1)
     "training_set",
     using(
         "training",
-        """SELECT l.loan_id, l.customer_id, l.snapshot_date, l.label, l.label_def, round(f.fe_1, 6) AS fe_1, round(f.fe_2, 6) AS fe_2,
-                  round(f.fe_3, 6) AS fe_3, CASE WHEN l.snapshot_date >= DATE '1998-11-01' THEN 'oot' ELSE 'train_test' END AS split
+        "SELECT l.loan_id, l.customer_id, l.snapshot_date, l.label, l.label_def, " + each("round(f.{c}, 6) AS {c}", FEATURES) + """, CASE WHEN l.snapshot_date >= DATE '1998-11-01' THEN 'oot' ELSE 'train_test' END AS split
            FROM month_labels l LEFT JOIN month_features f ON f.customer_id = l.customer_id AND f.snapshot_date = l.snapshot_date
            WHERE l.snapshot_date BETWEEN DATE '1997-11-01' AND DATE '1998-12-31'""",
     ),

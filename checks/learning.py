@@ -14,6 +14,7 @@ from checks.views_sql import extend, using
 from ledgerline.operators import blending, metrics, models, splits
 from ledgerline.operators.customers import label_feature_join
 from ledgerline.operators.ranking import rank_sum_auc
+from ledgerline.plans import scoring
 from ledgerline.sources import views
 
 PREDS = ["pred0", "pred1", "pred2"]
@@ -263,25 +264,99 @@ def out_of_fold_lines(spark, sf):
     return rounded(out.select(*KEY, "fold", "prediction"), 6)
 
 
-@query("boosted_by_segment")
-def boosted_by_segment(spark, sf):
+METER_FEATURES = ["clock", "square_feet", "year_built", "floor_count"]
+
+
+def _boosted(spark, sf):
+    """Out-of-fold predictions per meter; meter 3 is left to the rows without a model."""
     from checks.meters import KEY, _metered
     from ledgerline.session import pin
 
-    df = pin(_metered(spark, sf).withColumns({"y": F.log1p("meter_reading"), "clock": F.hour("timestamp")}))
-    fitted = models.fit_by_segment(df, "meter", [0, 1, 2, 3], ["clock", "square_feet"], "y", maxIter=2, maxDepth=2)
-    return models.predict_by_segment(df, fitted, "meter", ["clock", "square_feet"]).select(*KEY, "prediction")
+    hours = _metered(spark, sf).withColumns({"y": F.log1p("meter_reading"), "clock": F.hour("timestamp"), "fold": F.dayofmonth("timestamp") % 3})
+    return models.out_of_fold_by_segment(pin(hours), "meter", [0, 1, 2], [0, 1, 2], METER_FEATURES, "y").select(*KEY, "fold", "prediction")
 
 
-@query("classify")
-def classify(spark, sf):
+@query("boosted_by_segment")
+def boosted_by_segment(spark, sf):
+    return _boosted(spark, sf)
+
+
+@query(
+    "boosted_by_segment_rows",
+    using(
+        "metered",
+        """SELECT meter, count(*) AS rows, count(DISTINCT (building_id, timestamp)) AS keys, CAST(sum(CASE WHEN meter < 3 THEN 1 ELSE 0 END) AS BIGINT) AS predicted
+           FROM metered GROUP BY 1""",
+    ),
+)
+def boosted_by_segment_rows(spark, sf):
+    """No row is lost: NULL features take part, and a meter without a model has NULL predictions."""
+    return _boosted(spark, sf).groupBy("meter").agg(
+        F.count("*").alias("rows"), F.countDistinct("building_id", "timestamp").alias("keys"), F.count("prediction").alias("predicted")
+    )
+
+
+def _classified(spark, sf):
+    from checks.credit import FEATURES
     from ledgerline.session import pin
 
     joined = label_feature_join(_monthly_labels(spark, sf), _monthly_features(spark, sf))
-    data = pin(joined.fillna(0.0).select("loan_id", "label", "fe_1", "fe_2", "fe_3"))
+    data = pin(joined.select("loan_id", "label", *FEATURES))
     tagged = pin(splits.stratified_split(data, "label", ["loan_id"]))
     train = tagged.where(F.col("split") == "train")
-    return models.classify(train, tagged, ["fe_1", "fe_2", "fe_3"], folds=2).select("loan_id", "label", "split", "score")
+    return models.classify(train, tagged, FEATURES).select("loan_id", "label", "split", "score")
+
+
+@query("classify")
+def classify(spark, sf):
+    return _classified(spark, sf)
+
+
+@query(
+    "classify_rows",
+    using("training", "SELECT label, count(*) AS rows, count(DISTINCT loan_id) AS loans, count(*) AS scored FROM month_labels GROUP BY 1"),
+)
+def classify_rows(spark, sf):
+    """Every label row is scored, with or without features."""
+    return _classified(spark, sf).groupBy("label").agg(
+        F.count("*").alias("rows"), F.countDistinct("loan_id").alias("loans"), F.count("score").alias("scored")
+    )
+
+
+SCORECARD_DATE = date(1998, 9, 1)
+
+
+def _scorecard(spark, sf):
+    from checks.credit import FEATURES
+
+    return scoring.score_sets(_monthly_labels(spark, sf), _monthly_features(spark, sf), FEATURES, SCORECARD_DATE, trees=(25,))
+
+
+@query(
+    "model_scorecard",
+    using(
+        "training",
+        """WITH w AS (SELECT loan_id, label, CASE WHEN snapshot_date >= DATE '1998-07-01' THEN 'oot' ELSE 'fit' END AS part FROM month_labels
+                      WHERE snapshot_date BETWEEN DATE '1997-07-01' AND DATE '1998-08-31')
+           SELECT part, count(*) AS row_count, round(avg(label), 6) AS label_rate, TRUE AS auc_agrees FROM w GROUP BY 1""",
+    ),
+)
+def model_scorecard(spark, sf):
+    """Rows and label rates of the fitted and the out-of-time part, and AUC recomputed from the stored scores by ranks."""
+    from pyspark.sql import Window
+
+    from ledgerline.session import pin
+
+    scored = pin(_scorecard(spark, sf))
+    row = pin(scoring.metrics_row(scored))
+    pairs = scored.groupBy("split", "score").agg(F.count_if(F.col("label") == 1).alias("p"), F.count_if(F.col("label") == 0).alias("n"))
+    below = F.coalesce(F.sum("n").over(Window.partitionBy("split").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    wins = pairs.withColumn("wins", F.col("p") * (below + F.col("n") / 2)).groupBy("split").agg((F.sum("wins") / (F.sum("p") * F.sum("n"))).alias("again"))
+    told = row.select(F.explode(F.create_map(*[x for s in ("train", "test", "oot") for x in (F.lit(s), F.col(f"{s}_auc"))])).alias("split", "auc"))
+    agrees = wins.join(told, "split", "left").agg(F.min(F.coalesce(F.abs(F.col("auc") - F.col("again")) < 1e-9, F.col("again").isNull())).alias("auc_agrees"))
+    part = F.when(F.col("split") == "oot", "oot").otherwise("fit").alias("part")
+    rows = scored.groupBy(part).agg(F.count("*").alias("row_count"), F.round(F.avg("label"), 6).alias("label_rate"))
+    return rows.withColumn("auc_agrees", agrees.scalar())
 
 
 # ---------------------------------------------------------------- blends

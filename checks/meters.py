@@ -140,6 +140,28 @@ def holiday(spark, sf):
     )
 
 
+@query(
+    "holiday_orders",
+    using(
+        "ledger",
+        """WITH years AS (SELECT unnest(generate_series(1990, 2030)) AS y),
+           fixed AS (SELECT make_date(CAST(y AS INTEGER), m, d) AS day FROM years, (VALUES (1, 1), (6, 19), (7, 4), (11, 11), (12, 25)) f(m, d) WHERE m <> 6 OR y >= 2021),
+           observed AS (SELECT CASE isodow(day) WHEN 6 THEN day - 1 WHEN 7 THEN day + 1 ELSE day END AS day FROM fixed),
+           firsts AS (SELECT make_date(CAST(y AS INTEGER), m, 1) AS f, w, n FROM years, (VALUES (1, 1, 3), (2, 1, 3), (9, 1, 1), (10, 1, 2), (11, 4, 4)) f(m, w, n)),
+           nth AS (SELECT CAST(f + ((w - isodow(f) + 7) % 7 + 7 * (n - 1)) * INTERVAL 1 DAY AS DATE) AS day FROM firsts),
+           lasts AS (SELECT CAST(make_date(CAST(y AS INTEGER), 5, 31) - (isodow(make_date(CAST(y AS INTEGER), 5, 31)) - 1) * INTERVAL 1 DAY AS DATE) AS day FROM years),
+           days AS (SELECT day FROM observed UNION SELECT day FROM nth UNION SELECT day FROM lasts),
+           o AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) + INTERVAL 25 YEAR AS day FROM orders)
+           SELECT o_orderkey, CAST(CAST(o.day AS DATE) IN (SELECT day FROM days) AS INTEGER) AS is_holiday FROM o""",
+    ),
+)
+def holiday_orders(spark, sf):
+    """Order dates moved 25 years on, flagged by the calendar of the years that occur, 19 June among them."""
+    orders = views.table(spark, sf, "orders").select("o_orderkey", F.add_months(F.to_date("o_orderdate"), 300).alias("day"))
+    first, last = orders.agg(F.min(F.year("day")), F.max(F.year("day"))).first()
+    return orders.select("o_orderkey", holiday_flag(F.col("day").cast("timestamp_ntz"), us_federal_holidays(first, last)).alias("is_holiday"))
+
+
 @query(
     "site_holiday_flag",
     using(
@@ -337,7 +359,7 @@ streak_groups AS (SELECT *, sum(CASE WHEN meter_reading = 0 THEN 0 ELSE 1 END) O
 streaks AS (
   SELECT building_id, meter, timestamp, meter_reading,
     CAST(CASE WHEN meter_reading = 0 THEN sum(CASE WHEN meter_reading = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY building_id, meter, g ORDER BY timestamp ROWS UNBOUNDED PRECEDING)
-         ELSE 0 END AS INTEGER) AS zero_streak FROM streak_groups)""",
+         ELSE 0 END AS BIGINT) AS zero_streak FROM streak_groups)""",
     ("readings",),
 )
 
@@ -710,7 +732,7 @@ def _fit_sql(keys, prior, where, tau=_TAU):
     using(
         "encode_base",
         f"""WITH fits AS ({_fit_sql('meter, hour', '(SELECT avg(target) FROM base WHERE in_train)', 'in_train', 0.5).format(src='base')}),
-            spread AS (SELECT meter, hour, CASE WHEN min(target) < max(target) THEN 1.0::DOUBLE / (0.5 + count(target) / var_samp(target)) END AS v FROM base WHERE in_train GROUP BY 1, 2)
+            spread AS (SELECT meter, hour, CASE WHEN min(target) < max(target) THEN 1.0::DOUBLE / (0.5 + count(target) / var_samp(target)) WHEN count(target) > 1 THEN 0.0 END AS v FROM base WHERE in_train GROUP BY 1, 2)
             SELECT building_id, meter, timestamp, round(coalesce(f.fit, (SELECT avg(target) FROM base WHERE NOT in_train)), 6) AS gte_mean,
               round(coalesce(s.v, (SELECT avg(target) FROM base WHERE NOT in_train)), 6) AS gte_var
             FROM base LEFT JOIN fits f USING (meter, hour) LEFT JOIN spread s USING (meter, hour) WHERE NOT in_train""",

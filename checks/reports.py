@@ -12,7 +12,7 @@ from ledgerline.functions import lending as fx
 from ledgerline.operators import aggregates as ag
 from ledgerline.operators import customers, quality, sampling
 from ledgerline.operators import lending as ops
-from ledgerline.plans import credit
+from ledgerline.plans import credit, layers
 from ledgerline.sources import views
 
 RATE = "round(sum(CASE WHEN {f} THEN 1 ELSE 0 END) * 100.0::DOUBLE / count(*), 4) AS default_rate"
@@ -486,7 +486,7 @@ def condition_counts(spark, sf):
 
 # ---------------------------------------------------------------- quality
 
-_FIN_COLUMNS = ["annual_income", "num_of_delayed_payment", "type_of_loan", "snapshot_date", "credit_mix"]
+_FIN_COLUMNS = [c.split()[0] for c in layers.SCHEMAS["financials"].split(", ")]
 
 
 @query(
@@ -505,7 +505,7 @@ def null_profile(spark, sf):
     return rounded(quality.null_profile(views.financials(spark, sf).select(*_FIN_COLUMNS)))
 
 
-_LEDGER_COLUMNS = ["loan_id", "customer_id", "snapshot_date", "installment_num", "due_amt"]
+_LEDGER_COLUMNS = [c.split()[0] for c in layers.SCHEMAS["loan_daily"].split(", ")]
 
 
 @query(
@@ -646,7 +646,7 @@ def rule_check(spark, sf):
     )
 
 
-_DIRTY = ["annual_income", "outstanding_debt", "monthly_balance", "num_of_loan"]
+_DIRTY = ["annual_income", "outstanding_debt", "amount_invested_monthly", "changed_credit_limit", "monthly_balance", "num_of_loan", "num_of_delayed_payment"]
 
 
 @query(

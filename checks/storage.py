@@ -39,23 +39,24 @@ def read_bronze_csv(spark, sf):
 )
 def month_starts(spark, sf):
     """Calendar up to the last order."""
-    last = views.table(spark, sf, "orders").agg(F.max(F.to_date("o_orderdate")).alias("last"))
-    months = F.sequence(F.trunc(F.lit("1995-01-15").cast("date"), "month"), F.col("last"), F.expr("interval 1 month"))
-    return last.select(F.explode(months).alias("snapshot_date"))
+    last = views.table(spark, sf, "orders").agg(F.max(F.to_date("o_orderdate"))).first()[0]
+    return files.month_starts(spark, date(1995, 1, 15), last)
 
 
 @query(
     "ingest_snapshot",
-    using("ledger", "SELECT CAST(date_trunc('month', snapshot_date) AS DATE) AS snapshot_date, loan_id, installment_num FROM ledger WHERE snapshot_date BETWEEN DATE '1997-01-01' AND DATE '1997-03-31'"),
+    using("ledger", "SELECT CAST(date_trunc('month', snapshot_date) AS DATE) AS snapshot_date, loan_id, installment_num FROM ledger"),
 )
 def ingest_snapshot(spark, sf):
-    """Three monthly snapshots; the middle one is written twice and stays single."""
+    """All monthly snapshots; one is written twice and stays single, and one that the source lost is removed."""
     path = stage_path(spark, "snapshots")
     rows = views.ledger(spark, sf).select(
         F.trunc("snapshot_date", "month").alias("snapshot_date"), "loan_id", "installment_num"
     )
-    files.ingest_snapshots(rows.where(F.col("snapshot_date").between("1997-01-01", "1997-03-31")), path)
+    lost = rows.limit(1).withColumn("snapshot_date", F.lit(date(1990, 1, 1)))
+    files.ingest_snapshots(rows.unionByName(lost), path)
     files.ingest_snapshot(rows, date(1997, 2, 1), path)
+    files.ingest_snapshot(rows, date(1990, 1, 1), path)
     return files.read_partitions(spark, path)
 
 
@@ -116,14 +117,14 @@ def require_non_empty(spark, sf):
 
 @query(
     "stream_snapshots",
-    using("ledger", "SELECT CAST(date_trunc('month', snapshot_date) AS DATE) AS snapshot_date, count(*) AS row_count FROM ledger WHERE snapshot_date < DATE '1997-01-01' GROUP BY 1"),
+    using("ledger", "SELECT CAST(date_trunc('month', snapshot_date) AS DATE) AS snapshot_date, count(*) AS row_count FROM ledger GROUP BY 1"),
 )
 def streamed(spark, sf):
-    """Files of two years arrive in two batches; each is taken once."""
+    """Files of all years arrive in two batches; each is taken once."""
     landing, target, marks = (stage_path(spark, n) for n in ("landing", "streamed", "marks"))
     rows = views.ledger(spark, sf).select(F.trunc("snapshot_date", "month").alias("snapshot_date"), "loan_id", "installment_num")
-    for year in (1995, 1996):
-        rows.where(F.year("snapshot_date") == year).write.mode("append").option("header", True).csv(landing)
+    for early in (True, False):
+        rows.where((F.year("snapshot_date") < 1997) == early).write.mode("append").option("header", True).csv(landing)
         schema = "snapshot_date date, loan_id bigint, installment_num int"
         stream_snapshots(spark, landing, schema, target, marks).awaitTermination()
     return files.read_partitions(spark, target).groupBy("snapshot_date").agg(F.count("*").alias("row_count"))

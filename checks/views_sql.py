@@ -51,7 +51,7 @@ silver AS (
          CASE WHEN installment_num = 0 THEN 'LOAN_INITIATED' WHEN monthly_overdue_flag = 0 THEN 'PAID_ON_TIME'
               WHEN overdue_amt <= due_amt THEN 'MISSED_PAYMENT' WHEN overdue_amt <= due_amt * 3 THEN 'OVERDUE'
               ELSE 'SEVERELY_OVERDUE' END AS payment_status,
-         CAST(misses - base AS INTEGER) AS consecutive_missed_payments,
+         CAST(misses - base AS BIGINT) AS consecutive_missed_payments,
          datediff('day', loan_start_date, snapshot_date) / 30.0 AS loan_age_months,
          tenure - installment_num AS remaining_tenure,
          CAST(loan_start_date + INTERVAL 1 DAY * (tenure * 30) AS DATE) AS expected_end_date,
@@ -193,7 +193,7 @@ _CLICK_STATS = (
         f" abs((c.{f} - s.m_{f}) / nullif(s.s_{f}, 0)) > 3 AS {f}_is_outlier"
         for f in FEATURES
     )
-    + ", CAST(row_number() OVER (PARTITION BY c.customer_id ORDER BY c.snapshot_date, c.click_id) AS INTEGER) AS row_num_by_customer,"
+    + ", CAST(row_number() OVER (PARTITION BY c.customer_id ORDER BY c.snapshot_date, c.click_id) AS BIGINT) AS row_num_by_customer,"
     + " CAST(month(c.snapshot_date) AS INTEGER) AS month, CAST(quarter(c.snapshot_date) AS INTEGER) AS quarter,"
     + " CAST(year(c.snapshot_date) AS INTEGER) AS year, f.first_snapshot_date,"
     + " CAST((year(c.snapshot_date) - year(f.first_snapshot_date)) * 12 + month(c.snapshot_date)"

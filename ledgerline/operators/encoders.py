@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators.ranking import range_positions
 from ledgerline.operators.scans import match_null_safe
-from ledgerline.operators.tables import BROADCAST_ROWS, attach_checked
+from ledgerline.operators.tables import attach_checked
 from ledgerline.session import pin
 
 PRIOR_PRECISION = 1e-6
@@ -39,13 +39,16 @@ def group_categories(value: Column, groups: Sequence[Sequence[str]] = USE_GROUPS
 
 
 def posterior(n: Column, mean: Column, variance: Column, prior: Column, tau: float = PRIOR_PRECISION, stat: str = "mean") -> Column:
-    """Normal posterior of a group mean; NULL when the sample variance is missing or 0."""
+    """Normal posterior of a group mean; NULL when the sample variance is missing.
+
+    Where it is 0 (equal targets) the precision is infinite: its inverse is 0, mean and precision are NULL.
+    """
     weight = F.try_divide(n, variance)
     precision = weight + F.lit(tau)
     if stat == "mean":
         return (prior * tau + weight * mean) / precision
     if stat == "var":
-        return F.lit(1.0) / precision
+        return F.when(variance == 0, F.lit(0.0)).otherwise(F.lit(1.0) / precision)
     if stat == "precision":
         return precision
     raise ValueError(f"unknown statistic {stat!r}")
@@ -146,7 +149,7 @@ def target_encode_stack(
     means = train.agg(F.avg(y).alias("fit"), F.avg(target).alias("row")).select(F.struct("fit", "row")).scalar()
     cells = pin(cells.fillna({"_n": 0}).withColumn("_means", means))
     for level in _levels(encodings):
-        cells = pin(_encode_cells(cells, level, tau))
+        cells = _encode_cells(cells, level, tau)
     table = cells.select(*cell, *[encoding_name(keys) for keys, _ in encodings])
     encoded_train = match_null_safe(train, table, list(cell), "left")
     encoded_test = match_null_safe(test, table, list(cell), "left") if test is not None else None
@@ -195,7 +198,6 @@ def _encode_cells(cells: DataFrame, level: Sequence[Encoding], tau: float) -> Da
             *[(F.sum(F.col(p) * n) / F.sum("_n")).alias(p) for p in priors_of],
         )
     )
-    few = groups.count() <= BROADCAST_ROWS
     total, mean = F.col("_gn"), F.col("_gsum") / F.col("_gn")
     deviations = F.col("_within") + F.col("_square") - total * mean * mean
     variance = F.when(F.col("_glow") < F.col("_ghigh"), F.try_divide(F.greatest(deviations, F.lit(0.0)), total - 1))
@@ -204,7 +206,7 @@ def _encode_cells(cells: DataFrame, level: Sequence[Encoding], tau: float) -> Da
         set_id = int("".join("0" if c in keys else "1" for c in columns), 2)
         fit = posterior(total, mean, variance, F.col(f"_prior_{name}"), tau).alias("_fit")
         fitted = groups.where(F.col("_set") == set_id).select(*keys, fit)
-        joined = cells.join(F.broadcast(fitted) if few else fitted, list(keys), "left")
+        joined = cells.join(fitted, list(keys), "left")
         cells = joined.withColumns(
             {
                 name: F.coalesce(F.col("_fit"), prior(priors, "", "row")),

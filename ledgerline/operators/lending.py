@@ -8,7 +8,13 @@ from pyspark.sql import functions as F
 from ledgerline.functions import lending as fx
 from ledgerline.operators.scans import scan
 
-BY_INSTALLMENT = ["installment_num"]
+# Columns that order rows of one installment number, so that every scan has one order only.
+TIES = ("snapshot_date", "due_amt", "paid_amt", "overdue_amt", "balance", "customer_id")
+
+
+def by_installment(df: DataFrame) -> list[str]:
+    """Installment number, then whichever tie columns the table has."""
+    return ["installment_num", *(c for c in TIES if c in df.columns)]
 
 
 def payment_flags(df: DataFrame) -> DataFrame:
@@ -35,7 +41,7 @@ def loan_dates(df: DataFrame) -> DataFrame:
 
 def running_total(df: DataFrame, slice_by: str | None = None) -> DataFrame:
     """Cumulative paid amount of each loan by installment."""
-    return scan(df, ["loan_id"], BY_INSTALLMENT, slice_by, sums={"total_paid_amount": F.col("paid_amt")})
+    return scan(df, ["loan_id"], by_installment(df), slice_by, sums={"total_paid_amount": F.col("paid_amt")})
 
 
 def percent_paid(df: DataFrame) -> DataFrame:
@@ -55,14 +61,14 @@ def consecutive_missed(df: DataFrame, mode: str = "reset", slice_by: str | None
     """
     missed = F.col("monthly_overdue_flag") == 1
     if mode == "reset":
-        return scan(df, ["loan_id"], BY_INSTALLMENT, slice_by, runs={"consecutive_missed_payments": missed})
+        return scan(df, ["loan_id"], by_installment(df), slice_by, runs={"consecutive_missed_payments": missed})
     if mode != "legacy":
         raise ValueError(f"unknown mode {mode!r}")
-    counted = scan(df, ["loan_id"], BY_INSTALLMENT, slice_by, sums={"_misses": F.col("monthly_overdue_flag")})
+    counted = scan(df, ["loan_id"], by_installment(df), slice_by, sums={"_misses": F.col("monthly_overdue_flag")})
     taken_off = F.when(~missed & (F.col("installment_num") > 0), F.col("_misses")).otherwise(0)
-    summed = scan(counted, ["loan_id"], BY_INSTALLMENT, slice_by, sums={"_taken_off": taken_off})
+    summed = scan(counted, ["loan_id"], by_installment(df), slice_by, sums={"_taken_off": taken_off})
     return summed.withColumn(
-        "consecutive_missed_payments", (F.col("_misses") - F.col("_taken_off")).cast("int")
+        "consecutive_missed_payments", (F.col("_misses") - F.col("_taken_off")).cast("bigint")
     ).drop("_misses", "_taken_off")
 
 
@@ -72,7 +78,7 @@ def is_default(df: DataFrame, limit: int = 3) -> DataFrame:
 
 def previous_status(df: DataFrame, slice_by: str | None = None) -> DataFrame:
     """Payment flag of the installment before."""
-    return scan(df, ["loan_id"], BY_INSTALLMENT, slice_by, lags={"previous_made_flag": F.col("payment_made_flag")})
+    return scan(df, ["loan_id"], by_installment(df), slice_by, lags={"previous_made_flag": F.col("payment_made_flag")})
 
 
 def days_past_due(df: DataFrame) -> DataFrame:
@@ -104,7 +110,7 @@ def silver_ledger(df: DataFrame, slice_by: str | None = None, mode: str = "reset
         scanned = scan(
             flagged,
             ["loan_id"],
-            BY_INSTALLMENT,
+            by_installment(flagged),
             slice_by,
             sums={"total_paid_amount": F.col("paid_amt")},
             runs={"consecutive_missed_payments": F.col("monthly_overdue_flag") == 1},

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.ml.classification import GBTClassifier
@@ -52,30 +52,65 @@ def out_of_fold_lines(df: DataFrame, segment: str, fold: Column, feature: str, t
     return joined.withColumn("prediction", F.col("slope") * x + F.col("intercept")).drop("slope", "intercept")
 
 
-def fit_by_segment(df: DataFrame, segment: str, values: Sequence, features: Sequence[str], target: str, **params) -> dict:
-    """One boosted-tree regressor per listed segment value; segments without rows are skipped."""
-    assembled = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip").transform(df)
+def assemble(df: DataFrame, features: Sequence[str], missing: float = 0.0) -> DataFrame:
+    """Feature vector of every row; a NULL or NaN feature takes the value ``missing``, so no row is lost."""
+    filled = [F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")), F.lit(missing)).alias(c) for c in features]
+    inputs = df.withColumn("_inputs", F.struct(*filled)).withColumns({f"_x_{i}": F.col("_inputs")[c] for i, c in enumerate(features)})
+    made = VectorAssembler(inputCols=[f"_x_{i}" for i in range(len(features))], outputCol="features").transform(inputs)
+    return made.drop("_inputs", *[f"_x_{i}" for i in range(len(features))])
+
+
+def fit_by_segment(
+    df: DataFrame, segment: str, values: Sequence, features: Sequence[str], target: str, missing: float = 0.0, **params
+) -> dict:
+    """One boosted-tree regressor per listed segment value that has rows with a target."""
+    assembled = assemble(df, features, missing).where(F.col(target).isNotNull())
+    present = {row[0] for row in assembled.where(F.col(segment).isin(list(values))).select(segment).distinct().collect()}
     models = {}
     for value in values:
-        part = assembled.where(F.col(segment) == value).select("features", F.col(target).alias("label"))
-        if not part.isEmpty():
+        if value in present:
+            part = assembled.where(F.col(segment) == value).select("features", F.col(target).alias("label"))
             models[value] = GBTRegressor(**{"maxIter": 5, "maxDepth": 4, "seed": 7, **params}).fit(part)
     return models
 
 
-def predict_by_segment(df: DataFrame, models: dict, segment: str, features: Sequence[str]) -> DataFrame:
-    assembled = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip").transform(df)
+def predict_by_segment(df: DataFrame, models: Mapping, segment: str, features: Sequence[str], missing: float = 0.0) -> DataFrame:
+    """Every row with the prediction of its segment's model; NULL where the segment is NULL or has none."""
+    assembled = assemble(df, features, missing)
     parts = [model.transform(assembled.where(F.col(segment) == value)).drop("features") for value, model in models.items()]
-    return reduce(DataFrame.unionByName, parts)
+    known = F.coalesce(F.col(segment).isin(list(models)), F.lit(False)) if models else F.lit(False)
+    return reduce(DataFrame.unionByName, parts, df.where(~known).withColumn("prediction", F.lit(None).cast("double")))
+
+
+def out_of_fold_by_segment(
+    df: DataFrame, segment: str, values: Sequence, folds: Sequence[int], features: Sequence[str], target: str, fold: str = "fold", **params
+) -> DataFrame:
+    """Every row predicted by the model of its segment that was fitted on the other folds; NULL without such a model."""
+    parts = []
+    for held in folds:
+        models = fit_by_segment(df.where(F.col(fold) != held), segment, values, features, target, **params)
+        parts.append(predict_by_segment(df.where(F.col(fold) == held), models, segment, features))
+    rest = df.where(~F.coalesce(F.col(fold).isin(list(folds)), F.lit(False)))
+    return reduce(DataFrame.unionByName, parts, rest.withColumn("prediction", F.lit(None).cast("double")))
+
+
+# The grid of the classifier search.
+TREES, DEPTHS, STEPS = (25, 50), (2, 3), (0.1,)
 
 
 def classify(
-    train: DataFrame, others: DataFrame, features: Sequence[str], label: str = "label", folds: int = 3, seed: int = 42
+    train: DataFrame,
+    others: DataFrame,
+    features: Sequence[str],
+    label: str = "label",
+    folds: int = 3,
+    seed: int = 42,
+    trees: Sequence[int] = TREES,
+    missing: float = 0.0,
 ) -> DataFrame:
-    """Boosted-tree classifier with a small grid chosen by cross-validated AUC; adds ``score`` to ``others``."""
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
-    tree = GBTClassifier(labelCol=label, featuresCol="features", seed=seed, maxIter=5)
-    grid = ParamGridBuilder().addGrid(tree.maxDepth, [2, 3]).addGrid(tree.stepSize, [0.01, 0.1]).build()
+    """Boosted-tree classifier with a grid chosen by cross-validated AUC; adds ``score`` to every row of ``others``."""
+    tree = GBTClassifier(labelCol=label, featuresCol="features", seed=seed)
+    grid = ParamGridBuilder().addGrid(tree.maxIter, list(trees)).addGrid(tree.maxDepth, list(DEPTHS)).addGrid(tree.stepSize, list(STEPS)).build()
     search = CrossValidator(
         estimator=tree,
         estimatorParamMaps=grid,
@@ -84,6 +119,7 @@ def classify(
         seed=seed,
         parallelism=4,
     )
-    model = search.fit(assembler.transform(train))
-    scored = model.transform(assembler.transform(others))
+    usable = assemble(train, features, missing).where(F.col(label).isNotNull())
+    model = search.fit(usable.withColumn(label, F.col(label).cast("double")))
+    scored = model.transform(assemble(others, features, missing))
     return scored.withColumn("score", vector_to_array("probability")[1]).drop("features", "rawPrediction", "probability", "prediction")

@@ -119,9 +119,9 @@ def scan(
         )
     if slice_by:
         out = _add_carry(out, keys, order, slice_by, sums, lasts, lags, runs, totals)
-    named = {name: F.col(name).cast("int") for name in runs}
+    named = {name: F.col(name).cast("bigint") for name in runs}
     if number:
-        named[number] = F.col("_pos")
+        named[number] = F.col("_pos").cast("bigint")
     return out.withColumns(named).drop("_pos", *[f"_cut_{name}" for name in runs])
 
 
@@ -184,5 +184,5 @@ def _add_carry(
         merged[name] = F.col(name) + F.when(F.col(name) == F.col("_pos"), F.col(f"_h_{name}")).otherwise(0)
     for name in totals:
         merged[name] = F.col(f"_h_{name}")
-    merged["_pos"] = (F.col("_pos") + F.col("_h_pos")).cast("int")
+    merged["_pos"] = F.col("_pos") + F.col("_h_pos")
     return joined.withColumns(merged).drop("_h_pos", *[f"_h_{n}" for n in (*sums, *lasts, *lags, *runs, *totals)])

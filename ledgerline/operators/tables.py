@@ -7,22 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.session import pin
 
-BROADCAST_ROWS = 500_000
+def attach_checked(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join a derived table, lazily.
 
-
-def attach_checked(
-    df: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left", limit: int = BROADCAST_ROWS
-) -> DataFrame:
-    """Join a derived table: broadcast when its counted rows are within ``limit``, else a shuffled join.
-
-    The table is pinned, so counting it and joining it compute it once. Above the limit adaptive
-    execution splits skewed keys of the large side.
+    The planner broadcasts it only if its own estimate, or the size that adaptive execution has measured, is below
+    the session's limit; otherwise the join is shuffled and skewed keys of the large side are split.
     """
-    fixed = pin(small)
-    side = F.broadcast(fixed) if fixed.count() <= limit else fixed
-    return df.join(side, list(keys), how)
+    return df.join(small, list(keys), how)
 
 
 def combine_readings(readings: DataFrame, buildings: DataFrame, weather: DataFrame, hour: str = "timestamp") -> DataFrame:

@@ -15,6 +15,7 @@ from ledgerline.sources.views import FEATURES
 
 LAYERS = ("bronze", "silver", "gold")
 TABLES = ("loan_daily", "attributes", "financials", "clickstream")
+SELECTIONS = {"all": TABLES, "loan": TABLES[:1], "features": TABLES[1:]}
 
 # Columns of the raw files; dirty text stays text.
 SCHEMAS: Mapping[str, str] = {
@@ -28,11 +29,13 @@ SCHEMAS: Mapping[str, str] = {
     " amount_invested_monthly string, payment_behaviour string, monthly_balance string, snapshot_date string",
     "clickstream": ", ".join(f"{f} double" for f in FEATURES) + ", customer_id string, snapshot_date string",
 }
+# Installments in a slice of a hot loan.
+SLICE_LENGTH = 4096
 DATE_COLUMNS = {"loan_daily": ["loan_start_date", "snapshot_date"]}
 
 
 def _silver_loan(bronze: DataFrame) -> DataFrame:
-    return split_hot(bronze, ["loan_id"], F.col("installment_num"), lending.silver_ledger)
+    return split_hot(bronze, ["loan_id"], F.floor(F.col("installment_num") / SLICE_LENGTH), lending.silver_ledger)
 
 
 def _silver_clicks(bronze: DataFrame) -> DataFrame:
@@ -73,13 +76,18 @@ def _gold(spark: SparkSession, root: str) -> None:
 
 
 def run(spark: SparkSession, root: str, source: str, layer: str = "all", table: str = "all") -> None:
-    """Run the selected layers (in order) for the selected tables."""
-    if layer not in (*LAYERS, "all") or table not in (*TABLES, "all"):
+    """Run the selected layers (in order) for the selected tables.
+
+    ``table`` is one table, ``loan`` (the ledger), ``features`` (the three customer tables) or ``all``. Gold needs
+    every silver table, so it runs for ``all`` and ``features`` only and is left alone for the others.
+    """
+    if layer not in (*LAYERS, "all") or table not in (*TABLES, *SELECTIONS):
         raise ValueError(f"unknown layer or table: {layer}, {table}")
-    tables = TABLES if table == "all" else (table,)
+    tables = SELECTIONS.get(table, (table,))
     for step in LAYERS if layer == "all" else (layer,):
         if step == "gold":
-            _gold(spark, root)
+            if table in ("all", "features"):
+                _gold(spark, root)
             continue
         for name in tables:
             if step == "bronze":

@@ -13,7 +13,9 @@ SITE_CALENDARS = {1: "england", 5: "england", 12: "ireland", 7: "canada", 11: "c
 DEFAULT_CALENDAR = "us"
 
 # Fixed values: (month, day) holidays moved to the nearest weekday, and (month, weekday, nth) ones; -1 is the last.
-US_FIXED = ((1, 1), (7, 4), (11, 11), (12, 25))
+US_FIXED = ((1, 1), (6, 19), (7, 4), (11, 11), (12, 25))
+# First year of a holiday that is younger than the others.
+US_SINCE = {(6, 19): 2021}
 US_FLOATING = ((1, 0, 3), (2, 0, 3), (5, 0, -1), (9, 0, 1), (10, 0, 2), (11, 3, 4))
 
 
@@ -34,7 +36,7 @@ def us_federal_holidays(first_year: int, last_year: int) -> list[date]:
     """Observed US federal holidays whose observed day falls in the given years, in date order."""
     days = set()
     for year in range(first_year, last_year + 2):
-        days |= {_observed(date(year, m, d)) for m, d in US_FIXED} | {_nth(year, *rule) for rule in US_FLOATING}
+        days |= {_observed(date(year, m, d)) for m, d in US_FIXED if year >= US_SINCE.get((m, d), 0)} | {_nth(year, *rule) for rule in US_FLOATING}
     return sorted(d for d in days if first_year <= d.year <= last_year)
 
 

@@ -13,6 +13,7 @@ from ledgerline.functions.cleaning import DATE_FORMATS, parse_date
 from ledgerline.session import pin
 
 SNAPSHOT = "snapshot_date"
+CORRUPT = "_corrupt_record"
 
 
 class EmptySourceError(ValueError):
@@ -23,8 +24,18 @@ class EmptySourceError(ValueError):
 
 
 def read_bronze_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """CSV with a header row and a declared schema, so the file is read once."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """CSV with a header row and a declared schema, so the file is read once.
+
+    Columns are matched by the header: a file that has them in another order is refused by Spark rather than read
+    into the wrong columns. Rows that don't fit keep their text in ``_corrupt_record`` where the schema names it.
+    """
+    reader = spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+    return reader.option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+
+
+def with_corrupt(schema: str) -> str:
+    """The schema with a column that keeps the text of rows that don't fit."""
+    return f"{schema}, {CORRUPT} string"
 
 
 def parse_dates(df: DataFrame, columns: Sequence[str], formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
@@ -83,17 +94,26 @@ def month_starts(spark: SparkSession, start: date, end: date) -> DataFrame:
 def ingest_snapshots(df: DataFrame, path: str, day: str = SNAPSHOT) -> str:
     """Write every snapshot present in ``df`` to its own partition; a re-run replaces those partitions only.
 
-    Rows are spread over several files per snapshot by hash, so one snapshot with most of the rows is
-    still written by many tasks.
+    Adaptive execution splits a snapshot with most of the rows by its size and merges small ones, so a
+    snapshot is written by as many tasks as it needs.
     """
-    spread = df.repartition(F.col(day), F.pmod(F.xxhash64(*df.columns), F.lit(64)))
-    spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
+    df.hint("rebalance", day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
     return path
 
 
 def ingest_snapshot(df: DataFrame, snapshot: date, path: str, day: str = SNAPSHOT) -> str:
-    """Keep one snapshot and write it."""
-    return ingest_snapshots(df.where(F.col(day) == F.lit(snapshot)), path, day)
+    """Keep one snapshot and write it; one that the source no longer has is removed from the target."""
+    rows = df.where(F.col(day) == F.lit(snapshot))
+    if rows.isEmpty():
+        drop_partition(df.sparkSession, path, day, snapshot)
+        return path
+    return ingest_snapshots(rows, path, day)
+
+
+def drop_partition(spark: SparkSession, path: str, day: str, snapshot: date) -> None:
+    """Remove one snapshot's folder, on whatever file system it lies."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{day}={snapshot.isoformat()}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def read_partitions(spark: SparkSession, path: str) -> DataFrame:

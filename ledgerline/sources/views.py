@@ -109,7 +109,7 @@ def number_installments(lines: DataFrame, heads: DataFrame, slice_by: str | None
         "loan_start_date",
         "snapshot_date",
         F.lit(10).alias("tenure"),
-        (F.col("_line") - 1).alias("installment_num"),
+        (F.col("_line") - 1).cast("int").alias("installment_num"),
         (F.col("loan_amount") / MILLS).alias("loan_amt"),
         (F.col("due") / MILLS).alias("due_amt"),
         (F.col("paid") / MILLS).alias("paid_amt"),

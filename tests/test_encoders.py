@@ -31,7 +31,7 @@ def frame(seed, n=300):
 
 
 def encode(fit, apply, keys, prior_of, tau=1e-6, stat="mean"):
-    """Group by group: posterior mean, or the prior where the variance is missing or zero."""
+    """Group by group: the posterior; the prior where the variance is missing, or where it is zero and the value infinite."""
     prior_fit, prior_apply = prior_of(fit), prior_of(apply)
     groups = {}
     for key, part in fit.assign(_prior=prior_fit).groupby(keys):
@@ -40,6 +40,8 @@ def encode(fit, apply, keys, prior_of, tau=1e-6, stat="mean"):
         if len(y) > 1 and y.nunique() > 1:
             w = len(y) / y.var()
             groups[key] = {"mean": (tau * part["_prior"].mean() + w * y.mean()) / (tau + w), "precision": tau + w, "var": 1 / (tau + w)}[stat]
+        elif len(y) > 1 and stat == "var":
+            groups[key] = 0.0  # the inverse of an infinite precision
     found = [groups.get(tuple(r)) for r in apply[keys].itertuples(index=False)]
     return np.array([p if v is None else v for v, p in zip(found, prior_apply)], dtype=float)
 
@@ -118,3 +120,14 @@ def test_standardize(spark):
 def test_use_groups(spark):
     df = spark.createDataFrame([("Education",), ("Retail",), ("Castle",)], "u string")
     assert [r.g for r in df.select(encoders.group_categories(F.col("u")).alias("g")).collect()] == [0, 5, None]
+
+
+def test_statistics_of_constant_single_and_unseen_groups(spark):
+    fit = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("c", 1.5), ("c", 1.5), ("s", 4.0)], "k string, y double")
+    apply = spark.createDataFrame([("a", 0.0), ("c", 0.0), ("s", 0.0), ("u", 9.0)], "k string, y double")
+    prior = 2.25  # mean of the applied rows
+    for stat, seen, constant in (("mean", 2.0, prior), ("var", 1.0, 0.0), ("precision", 1.0, prior)):
+        out = encoders.gaussian_target_encode(fit, apply, ["k"], "y", out="e", stat=stat, tau=1e-9).collect()
+        got = {r.k: r.e for r in out}
+        assert abs(got["a"] - seen) < 1e-6
+        assert got["c"] == constant and got["s"] == got["u"] == prior

@@ -143,3 +143,25 @@ def test_quality_checks(spark):
     assert got == {"x": (2, 1, 1), "y": (2, 1, 1), "z": (3, 1, 2)}
     assert tuple(quality.key_changes(tables["x"], tables["y"], "id").first()) == (2, 2, 1, 1)
     assert sorted(r.id for r in quality.keep_listed(tables["z"], tables["y"], "id").collect()) == [2, 3]
+
+
+def test_lost_snapshot_is_removed(spark, tmp_path):
+    path = str(tmp_path / "snaps")
+    rows = spark.createDataFrame([(1, dt.date(2024, 1, 1)), (2, dt.date(2024, 2, 1))], "id int, snapshot_date date")
+    files.ingest_snapshots(rows, path)
+    files.ingest_snapshot(rows.where("id = 2"), dt.date(2024, 1, 1), path)
+    assert [r.id for r in files.read_partitions(spark, path).collect()] == [2]
+
+
+def test_csv_with_columns_in_another_order_is_refused(spark, tmp_path):
+    path = str(tmp_path / "csv")
+    spark.createDataFrame([(1, 2)], "b int, a int").coalesce(1).write.option("header", True).csv(path)
+    with pytest.raises(Exception, match="(?i)header|conform"):
+        files.read_bronze_csv(spark, path, "a int, b int").collect()
+
+
+def test_rows_that_do_not_fit_are_kept(spark, tmp_path):
+    path = str(tmp_path / "csv")
+    spark.createDataFrame([("1", "x"), ("oops", "y")], "a string, b string").coalesce(1).write.option("header", True).csv(path)
+    got = {r.b: (r.a, r._corrupt_record) for r in files.read_bronze_csv(spark, path, files.with_corrupt("a int, b string")).collect()}
+    assert got == {"x": (1, None), "y": (None, "oops,y")}

@@ -126,3 +126,22 @@ def test_boosted_segments_and_classifier(spark):
     assert models.predict_by_segment(df, fitted, "m", ["x"]).count() == 400
     scored = models.classify(df, df, ["x"], folds=2)
     assert metrics.auc_gini(scored.withColumn("split", F.lit("all")), "score", "label", "split").first().auc > 0.99
+
+
+def test_models_keep_every_row(spark):
+    rows = [(i, i % 4 if i % 7 else None, float(i % 5) if i % 3 else None, float(i % 2)) for i in range(60)]
+    df = spark.createDataFrame(rows, "id int, m int, x double, label double")
+    fitted = models.fit_by_segment(df, "m", [0, 1, 9], ["x"], "label", maxIter=1, maxDepth=1)
+    assert sorted(fitted) == [0, 1]
+    out = models.predict_by_segment(df, fitted, "m", ["x"]).collect()
+    assert sorted(r.id for r in out) == list(range(60))
+    assert all((r.prediction is None) == (r.m not in (0, 1)) for r in out)
+    scored = models.classify(df, df, ["x"], folds=2, trees=(1,)).collect()
+    assert sorted(r.id for r in scored) == list(range(60)) and all(0 <= r.score <= 1 for r in scored)
+
+
+def test_out_of_fold_by_segment(spark):
+    df = spark.createDataFrame([(i, i % 2, i % 3 if i < 50 else None, float(i % 5), float(i)) for i in range(54)], "id int, m int, fold int, x double, y double")
+    out = models.out_of_fold_by_segment(df, "m", [0, 1], [0, 1, 2], ["x"], "y", maxIter=1, maxDepth=1).collect()
+    assert sorted(r.id for r in out) == list(range(54))
+    assert all((r.prediction is None) == (r.fold is None) for r in out)
