@@ -126,7 +126,8 @@ def candidate_links(classes: DataFrame, length: int, threshold: float, trees: in
     nodes = classes.select("rep", F.posexplode("keys").alias("tree", "key"))
     shared = nodes.groupBy("tree", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("tree", "key")
     meeting = pin(nodes.join(shared.hint("merge"), ["tree", "key"]), "forest-nodes")
-    rows = meeting.join(classes.select("rep", "keys", "marks").hint("merge"), "rep")
+    dealt = deal(meeting, ["tree", "key"], "rep")
+    cells = dealt.join(classes.select("rep", "keys", "marks").hint("merge"), "rep")  # signatures travel to their cells only
 
     def prepare(rows: pa.Table) -> Marks:
         array = lambda name, kind: np.frombuffer(b"".join(rows.column(name).to_pylist()), kind).reshape(len(rows), -1)
@@ -141,7 +142,7 @@ def candidate_links(classes: DataFrame, length: int, threshold: float, trees: in
             found[k] &= (a[k] == b).sum(1) >= least
         return found
 
-    return compare(deal(rows, ["tree", "key"], "rep"), "rep", prepare, links).where("n = 0").select("a", "b")
+    return compare(cells, "rep", prepare, links).where("n = 0").select("a", "b")
 
 
 class Sets(NamedTuple):
