@@ -15,6 +15,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column has it."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def held_out(doc_id: str | Column) -> Column:
     """True for the fifth of the documents that nothing is learned from."""
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % 5 == 0

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import partitions_for, texts_of
+from ledgerline.llm.common import free_name, partitions_for, texts_of
 from ledgerline.session import pin, stage_path
 
 CAPACITY = 2_000_000
@@ -114,16 +114,18 @@ def build_index(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 def exact_groups(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
 
-    Of equal texts the row with the largest doc_id stays; of rows with that same doc_id and text, all are marked so.
+    Of equal texts the row with the largest doc_id stays; of rows with that same doc_id and text, all are marked so. A
+    null doc_id is smaller than any other.
     """
     index = build_index(docs, capacity)
     links = index.groupBy("h", "link").agg(F.max("top").alias("keep_id"), F.sum("n").alias("group_size"))
     groups = index.join(links, ["h", "link"]).select(F.explode("doc_ids").alias("doc_id"), "keep_id", "group_size", "text_sha256")
-    return groups.select("doc_id", "keep_id", "group_size", (F.col("doc_id") == F.col("keep_id")).alias("kept"), "text_sha256")
+    return groups.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 
 
 def drop_exact(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """The documents whose row stays, with all their columns."""
-    gone = exact_groups(docs, capacity).where(~F.col("kept")).select("doc_id", F.col("text_sha256").alias("_sha")).distinct()
-    keyed = docs.withColumn("_sha", F.sha2(F.coalesce("text", F.lit("")), 256))
-    return keyed.join(pin(gone, "exact-copies").hint("merge"), ["doc_id", "_sha"], "left_anti").select(*docs.columns)
+    sha = free_name(docs, "_sha")
+    gone = exact_groups(docs, capacity).where(~F.col("kept")).select("doc_id", F.col("text_sha256").alias(sha)).distinct()
+    keyed = docs.withColumn(sha, F.sha2(F.coalesce("text", F.lit("")), 256))
+    return keyed.join(pin(gone, "exact-copies").hint("merge"), ["doc_id", sha], "left_anti").select(*docs.columns)

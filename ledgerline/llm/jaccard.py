@@ -12,8 +12,8 @@ nothing. Shingles are compared by 64-bit hashes.
 3. What these connect is a candidate group, whose texts meet once more with all their shingles. All pairs of a group are
    verified exactly, in blocks; what comes out is links per text and connecting links, never a row per pair.
 
-Null texts count as empty. Rows that repeat a doc_id and its text are copies; a doc_id must not stand for two texts. An
-empty table gives an empty result; further columns are ignored.
+Null texts count as empty. Rows that repeat a doc_id and its text are copies; a doc_id must not stand for two texts; a
+row without doc_id links with nothing and is kept. An empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -202,6 +202,8 @@ def jaccard_groups(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     """One row per document: doc_id, class_id (smallest doc_id of its text), n_links (other documents it links with),
     component_id (smallest doc_id it reaches) and kept (whether that is its own)."""
     length = prefix_length(threshold, recall)
+    nameless = docs.where("doc_id IS NULL").select("doc_id")
+    docs = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
     drawn = pin(sketches(docs, length, words=words), "sketches")
     first = F.min(F.struct("doc_id", "keys", "marks"))
     grouped = drawn.groupBy("text_sha256").agg(first.alias("f"), F.count(F.lit(1)).alias("weight"))
@@ -217,7 +219,9 @@ def jaccard_groups(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     )
     rows = drawn.select("doc_id", "text_sha256").join(by_class.hint("merge"), "text_sha256")
     component = F.when(F.col("some"), F.col("component")).otherwise(F.col("doc_id"))
-    return rows.select("doc_id", "class_id", "n_links", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
+    told = rows.select("doc_id", "class_id", "n_links", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
+    none = F.lit(None).cast("bigint")
+    return told.unionByName(nameless.select("doc_id", none.alias("class_id"), F.lit(0).cast("bigint").alias("n_links"), none.alias("component_id"), F.lit(True).alias("kept")))
 
 
 def drop_near(docs: DataFrame, threshold: float = THRESHOLD, **options) -> DataFrame:

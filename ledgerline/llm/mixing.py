@@ -12,8 +12,7 @@ any. Only cells go through the rounds: their number is that of the combinations
 
 A null source or language is the value ``unknown``; null or empty texts have no tokens, form cells of weight 0 together
 with their like, and are never drawn unless their cell has tokens. Repeated rows are drawn alike. An empty table gives
-an empty result. Columns named as the ones added here are refused only by ``sample``'s own temporary names, which begin
-with an underscore.
+an empty result. Further columns are kept by ``sample`` and ignored by ``mix``.
 """
 
 from __future__ import annotations
@@ -23,6 +22,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.llm.common import free_name
 from ledgerline.session import pin
 
 MARGINS = ("source", "lang", "topic")
@@ -118,7 +118,8 @@ def sample(docs: DataFrame, targets: Mapping[str, DataFrame] | None = None, topi
     told = pin(described(docs, kind), "described")
     cells = pin(told.groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens")), "cells")
     final = rated(rake(with_targets(cells, targets or {}), rounds), share)
-    chances = pin(final.select(*(F.col(m).alias(f"_{m}") for m in MARGINS), "probability").withColumnRenamed("probability", "_p"), "probabilities")
-    keyed = docs.select("*", *(F.coalesce(F.col(c), F.lit("unknown")).alias(f"_{c}") for c in ("source", "lang")), F.coalesce(kind, F.lit("unknown")).alias("_topic"))
-    joined = keyed.join(chances, [f"_{m}" for m in MARGINS])
-    return joined.where(draw_of(F.col("doc_id"), seed) < F.col("_p")).select(*docs.columns)
+    key, chance = free_name(docs, "_cell"), free_name(docs, "_chance")
+    chances = final.select(F.struct(*MARGINS).alias(key), F.col("probability").alias(chance))
+    own = F.struct(*(F.coalesce(F.col(c), F.lit("unknown")).alias(c) for c in ("source", "lang")), F.coalesce(kind, F.lit("unknown")).alias("topic"))
+    joined = docs.withColumn(key, own).join(pin(chances, "probabilities"), key)
+    return joined.where(draw_of(F.col("doc_id"), seed) < F.col(chance)).select(*docs.columns)

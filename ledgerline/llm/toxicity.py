@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import bounded_sample, held_out, texts_of
+from ledgerline.llm.common import bounded_sample, free_name, held_out, texts_of
 
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -168,4 +168,5 @@ def score(docs: DataFrame, model: Model, column: str = "toxic_score") -> DataFra
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """The documents that score below one half, with all their columns."""
-    return score(docs, fit(docs, labels, limits), "_toxic").where("_toxic < 0.5").drop("_toxic")
+    name = free_name(docs, "_toxic")
+    return score(docs, fit(docs, labels, limits), name).where(F.col(name) < 0.5).drop(name)
