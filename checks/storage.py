@@ -10,7 +10,7 @@ import checks.credit  # noqa: F401  (defines the label views)
 from checks.helpers import rounded
 from checks.registry import query
 from checks.views_sql import using
-from ledgerline.plans import credit
+from ledgerline.plans import credit, layers
 from ledgerline.session import stage_path
 from ledgerline.sources import files, views
 from ledgerline.streaming.snapshots import stream_snapshots
@@ -130,3 +130,39 @@ def streamed(spark, sf):
     return files.read_partitions(spark, target).groupBy("snapshot_date").agg(F.count("*").alias("row_count"))
 
 
+
+
+def _write_sources(spark, sf) -> str:
+    """The four raw tables as CSV, columns in the order of their schemas."""
+    folder = stage_path(spark, "raw")
+    tables = {
+        "loan_daily": views.ledger(spark, sf), "attributes": views.attributes(spark, sf),
+        "financials": views.financials(spark, sf), "clickstream": views.clicks(spark, sf),
+    }
+    for name, df in tables.items():
+        columns = [c.split()[0] for c in layers.SCHEMAS[name].split(", ")]
+        df.select(*columns).write.option("header", True).csv(f"{folder}/{name}.csv")
+    return folder
+
+
+@query(
+    "layer_run",
+    using("gold", "SELECT CAST(customer_id AS VARCHAR) AS customer_id, has_defaulted, default_risk_score, has_clickstream_data FROM gold"),
+)
+def layer_run(spark, sf):
+    """Bronze, silver and gold over files; silver attributes are run twice, a table of its own leaves gold alone."""
+    root, source = stage_path(spark, "lake"), _write_sources(spark, sf)
+    layers.run(spark, root, source)
+    layers.run(spark, root, source, "all", "attributes")
+    return files.read_layer(spark, root, "gold", "labels").select("customer_id", "has_defaulted", "default_risk_score", "has_clickstream_data")
+
+
+@query(
+    "label_store_backfill",
+    using("labels_store", "SELECT loan_id, customer_id, label, label_def, snapshot_date, CAST(date_trunc('month', snapshot_date) AS DATE) AS snapshot_month FROM label_rows"),
+)
+def label_store_backfill(spark, sf):
+    """All months from a ledger file, then one month again: the store stays the same."""
+    root, source = stage_path(spark, "store"), f"{_write_sources(spark, sf)}/loan_daily.csv"
+    layers.backfill_labels(spark, root, source)
+    return files.read_partitions(spark, layers.backfill_labels(spark, root, source, [date(1997, 2, 1)]))

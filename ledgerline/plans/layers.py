@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators import behaviour, customers, lending
 from ledgerline.operators.scans import split_hot
-from ledgerline.plans.credit import gold_features
+from ledgerline.plans.credit import LEDGER_TYPES, gold_features
 from ledgerline.sources import files
 from ledgerline.sources.views import FEATURES
 
@@ -94,3 +95,34 @@ def run(spark: SparkSession, root: str, source: str, layer: str = "all", table:
                 _bronze(spark, root, source, name)
             else:
                 _silver(spark, root, name)
+
+
+# ---------------------------------------------------------------- label store
+
+MONTH = "snapshot_month"
+
+
+def _by_month(spark: SparkSession, path: str, months: Sequence[date] | None) -> DataFrame:
+    rows = files.read_partitions(spark, path)
+    return rows if months is None else rows.where(F.col(MONTH).isin(*[F.lit(m) for m in months]))
+
+
+def backfill_labels(
+    spark: SparkSession, root: str, source: str, months: Sequence[date] | None = None, dpd: int = 30, mob: int = 6
+) -> str:
+    """Ledger file to bronze, silver and gold label partitions, one per month; returns the path of the label store.
+
+    All months, or the first days given, are made by one job per layer. Only partitions of these months are replaced,
+    so a run can be repeated, and a month can be made again on its own.
+    """
+    paths = {layer: files.layer_path(root, layer, "label_store") for layer in LAYERS}
+    raw = files.ingest_bronze(spark, source, SCHEMAS["loan_daily"], "loan_daily", DATE_COLUMNS["loan_daily"])
+    bronze = raw.withColumn(MONTH, F.trunc("snapshot_date", "month"))
+    if months is not None:
+        bronze = bronze.where(F.col(MONTH).isin(*[F.lit(m) for m in months]))
+    files.ingest_snapshots(bronze, paths["bronze"], MONTH)
+    typed = customers.enforce_types(_by_month(spark, paths["bronze"], months), LEDGER_TYPES)
+    files.ingest_snapshots(files.metadata_stamp(lending.days_past_due(typed)), paths["silver"], MONTH)
+    labels = lending.dpd_label(_by_month(spark, paths["silver"], months), dpd, mob)
+    files.ingest_snapshots(labels.withColumn(MONTH, F.trunc("snapshot_date", "month")), paths["gold"], MONTH)
+    return paths["gold"]
