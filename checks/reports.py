@@ -431,7 +431,7 @@ _TARGET_SQL = " UNION ALL ".join(
 )
 
 
-@query("target_correlation", using("gold", f"SELECT * FROM ({_TARGET_SQL}) ORDER BY strength DESC, \"column\" LIMIT 10"))
+@query("target_correlation", using("gold", _TARGET_SQL))
 def target_correlation(spark, sf):
     target = F.col("has_defaulted").cast("int")
     return rounded(ag.target_correlation(credit.gold_table(spark, sf), _KEY_FEATURES, target), 6)

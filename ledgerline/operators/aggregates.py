@@ -131,12 +131,13 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return one_row.select(F.inline(F.array(*cells)))
 
 
-def target_correlation(df: DataFrame, columns: Sequence[str], target: Column, limit: int = 10) -> DataFrame:
+def target_correlation(df: DataFrame, columns: Sequence[str], target: Column, limit: int | None = None) -> DataFrame:
     """Columns ranked by absolute correlation with the target."""
     target = target.cast("double")
     one_row = df.agg(*[F.abs(F.corr(F.col(c).cast("double"), target)).alias(c) for c in columns])
     cells = [F.struct(F.lit(c).alias("column"), F.col(c).alias("strength")) for c in columns]
-    return one_row.select(F.inline(F.array(*cells))).orderBy(F.desc_nulls_last("strength"), "column").limit(limit)
+    ranked = one_row.select(F.inline(F.array(*cells))).orderBy(F.desc_nulls_last("strength"), "column")
+    return ranked if limit is None else ranked.limit(limit)
 
 
 def behaviour_pivot(df: DataFrame, row: str, column: str, values: Sequence[str], flag: Column) -> DataFrame:

@@ -11,21 +11,21 @@ from ledgerline.operators.scans import match_null_safe, scan, slice_of
 from ledgerline.session import pin
 
 
-def value_slice(value: Column, low: Column, high: Column) -> Column:
-    """A bucket number that never decreases with ``value``: its magnitude, then its place in the range.
+def range_sliced(counts: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Rows of distinct (keys, value) with the range partition they fall into as their slice.
 
-    The magnitude part separates far outliers from the rest, the linear part spreads a narrow band.
+    The bounds come from a sample of the rows themselves, so slices are even wherever the values lie, a narrow band
+    beside a far outlier included. The cut is pinned, since every reader has to see the same one.
     """
-    magnitude = F.floor(F.signum(value) * F.log2(1 + F.abs(value) * 1e6) * 16)
-    place = F.floor(F.coalesce(F.try_divide(value - low, high - low), F.lit(0.0)) * 1024)
-    return (magnitude * 2048 + place).cast("bigint")
+    ranged = counts.repartitionByRange(*[F.col(c) for c in (*keys, value)]).withColumn("_part", F.spark_partition_id())
+    return pin(ranged, "ranges").withColumn("_slice", slice_of(keys, F.col("_part"))).drop("_part")
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """Exact quantiles with linear interpolation: one row per column (and group), one column per probability.
 
     Works on value counts: equal values are merged before the shuffle, the running count is taken
-    slice by slice, and the two neighbours of every position are picked by one aggregate. Returns
+    range by range, and the two neighbours of every position are picked by one aggregate. Returns
     ``by..., column, n, q0, q1, ...`` in the order of ``probs``; NULLs are ignored.
     """
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
@@ -36,18 +36,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         .groupBy(*keys, "value")
         .agg(F.count(F.lit(1)).alias("rows"))
     )
-    # The range of every column is one row, read as a subquery: no join on a key with few values. It is
-    # taken from the same value counts, so their shuffle is shared.
-    def value_of(c: str) -> Column:
-        return F.when(F.col("column") == c, F.col("value"))
-
-    ends = counts.agg(
-        *[F.struct(F.min(value_of(c)).alias("low"), F.max(value_of(c)).alias("high")).alias(f"r{i}") for i, c in enumerate(columns)]
-    )
-    ranged = counts.withColumn("_ends", ends.select(F.struct(*ends.columns)).scalar())
-    of_column = F.coalesce(*[F.when(F.col("column") == c, F.col("_ends")[f"r{i}"]) for i, c in enumerate(columns)])
-    at = value_slice(F.col("value"), of_column["low"], of_column["high"])
-    sliced = ranged.withColumn("_slice", slice_of(keys, at)).drop("_ends")
+    sliced = range_sliced(counts, keys, "value")
     placed = scan(sliced, keys, ["value"], "_slice", sums={"upto": F.col("rows")}, totals={"n": F.col("rows")})
 
     def value_at(position: Column) -> Column:
@@ -78,12 +67,7 @@ def rank_sum_auc(df: DataFrame, score: str, label: str, by: Sequence[str] = ())
     keys = list(by) or ["_all"]
     if not by:
         counts = counts.withColumn("_all", F.lit(0))
-    ends = counts.agg(F.min("score").alias("low"), F.max("score").alias("high")).select(F.struct("low", "high")).scalar()
-    ranged = counts.withColumn("_ends", ends)
-    slices = slice_of(keys, value_slice(F.col("score"), F.col("_ends")["low"], F.col("_ends")["high"]))
-    ranked = scan(
-        ranged.withColumn("_slice", slices).drop("_ends"), keys, ["score"], "_slice", sums={"below": F.col("neg")}
-    )
+    ranked = scan(range_sliced(counts, keys, "score"), keys, ["score"], "_slice", sums={"below": F.col("neg")})
     wins = F.sum(F.col("pos") * (F.col("below") - F.col("neg") / 2))
     positives, negatives = F.sum("pos"), F.sum("neg")
     return (

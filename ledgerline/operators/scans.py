@@ -27,7 +27,7 @@ def match_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     for index, key in enumerate(keys):
         equal = F.col(key).eqNullSafe(F.col(f"_r_{key}"))
         condition = equal if index == 0 else condition & equal
-    joined = left.join(F.broadcast(renamed) if how in ("left_semi", "left_anti") else renamed, condition, how)
+    joined = left.join(renamed, condition, how)
     return joined.drop(*[f"_r_{key}" for key in keys])
 
 
@@ -50,8 +50,8 @@ def split_hot(
     """Run ``build(rows, slice_by)`` on ordinary keys (``slice_by=None``) and on sliced hot keys.
 
     Hot keys are counted first, reading the key columns only. Usually there are none, and the plan is
-    just ``build(df, None)``. Otherwise their list is broadcast: it holds at most ``rows / hot_rows``
-    entries, whatever the data looks like (a million keys for 10^12 rows at the default limit).
+    just ``build(df, None)``. Otherwise their list is joined; it holds at most ``rows / hot_rows`` entries, and
+    the planner or adaptive execution broadcasts it if its size is below the session's limit.
     """
     hot = (
         df.groupBy(*keys)

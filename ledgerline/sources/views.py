@@ -87,12 +87,12 @@ def loan_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
 def number_installments(lines: DataFrame, heads: DataFrame, slice_by: str | None) -> DataFrame:
     """Installment number, amounts and balance of every line of the given loans.
 
-    The heads of sliced loans are broadcast (one row for each hot loan, see ``split_hot``), which keeps
-    the rows spread by slice for the scans that follow.
+    The heads of sliced loans are one row for each hot loan (see ``split_hot``), few enough for adaptive
+    execution to broadcast them, which keeps the rows spread by slice for the scans that follow.
     """
     if slice_by:
         listed = lines.select("loan_id").distinct()
-        heads = F.broadcast(heads.join(F.broadcast(listed), "loan_id", "left_semi"))
+        heads = heads.join(listed, "loan_id", "left_semi")
     running = scan(
         lines,
         ["loan_id"],

@@ -92,6 +92,22 @@ def test_quantiles_match_numpy(spark, seed):
         assert np.allclose([row[f"q{i}"] for i in range(len(probs))], np.quantile(data, probs), rtol=1e-12)
 
 
+def test_narrow_band_beside_an_outlier_is_spread(spark):
+    """One far value doesn't press all others into one slice."""
+    from ledgerline.operators.ranking import range_sliced
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = [("k", 1.0 + i * 1e-9) for i in range(4000)] + [("k", 1e15)]
+        counts = spark.createDataFrame(rows, "k string, value double")
+        sizes = [r["count"] for r in range_sliced(counts, ["k"], "value").groupBy("_slice").count().collect()]
+        assert len(sizes) >= 4 and max(sizes) < 2500
+        got = exact_quantiles(counts, ["value"], [0.5, 1.0]).first()
+        assert got.q0 == pytest.approx(1.0 + 2000e-9, abs=1e-12) and got.q1 == 1e15
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_auc_matches_pairs(spark):
     rng = random.Random(7)
     rows = [(rng.choice("ab"), round(rng.random(), 1), rng.randint(0, 1)) for _ in range(200)]
