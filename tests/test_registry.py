@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from checks import registry
 from run_checks import rows_of
 
 DATA = "/root/testdata/sf0.001"
@@ -21,7 +22,8 @@ SAMPLE = [
 def test_names():
     queries, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(queries)
-    assert set(queries) - set(sql) == {
+    assert set(registry.QUERIES) <= set(queries)
+    assert set(registry.QUERIES) - set(registry.SQL) == {
         "approximate_profile", "boosted_by_segment", "classify", "pick_one", "run_summary", "sample_rows", "stratified_split",
     }
 
