@@ -53,7 +53,8 @@ COMMENTS = frozenset("comment comments commentlist disqus replies respond respon
 CLUTTER = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense adbox banner sponsor sponsored promo promotion nav navbar navigation "
     "menu menus sidebar aside widget widgets cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe "
-    "signup share sharing social related recommended breadcrumb breadcrumbs pagination pager footer toolbar skip copyright tags".split()
+    "signup share sharing social related recommended breadcrumb breadcrumbs pagination pager footer toolbar skip copyright tags alert "
+    "alerts announcement disclaimer trending popular login".split()
 )
 TITLE_BARS = frozenset("header masthead topbar".split())
 OWN_PARTS = frozenset("article post entry content story".split())
