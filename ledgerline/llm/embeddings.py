@@ -48,16 +48,22 @@ def bits_for(rows: int) -> int:
     return int(min(max(math.ceil(math.log2(max(rows, 2) / 8)), 4), 30))
 
 
-def _unit(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows with a direction, and their unit vectors in double precision."""
+def unit(x: np.ndarray) -> np.ndarray:
+    """The vector over its length, in double precision; first over its largest component, so that no square overflows."""
+    x = x.astype(np.float64)
+    x = x / np.abs(x).max()
+    return x / math.sqrt(float(x @ x))
+
+
+def _usable(column: pa.ListArray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Rows with a direction, and their vectors."""
     rows, vectors = [], []
     for k, v in enumerate(column):
-        if v.is_valid:
-            x = np.array(v.values.to_numpy(zero_copy_only=False), dtype=np.float64)
-            if len(x) and np.isfinite(x).all() and (top := np.abs(x).max()) > 0:
-                x = x / top
+        if v.is_valid and not v.values.null_count:
+            x = v.values.to_numpy(zero_copy_only=False)
+            if len(x) and np.isfinite(x).all() and np.abs(x).max() > 0:
                 rows.append(k)
-                vectors.append(x / math.sqrt(float(x @ x)))
+                vectors.append(x)
     return np.array(rows, np.int64), vectors
 
 
@@ -87,20 +93,20 @@ class Coded(NamedTuple):
 
 
 def near_links(vectors: DataFrame, threshold: float = THRESHOLD, tables: int = TABLES, seed: int = SEED) -> DataFrame:
-    """Links per member and connecting links (see ``blocks``) of vec_id, embedding."""
+    """Links per member and connecting pairs (see ``blocks``) of vec_id, embedding."""
     bits = bits_for(vectors.count())
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turns: dict[int, list[np.ndarray]] = {}
         for batch in batches:
             ids = batch.column("vec_id").to_numpy(zero_copy_only=False)
-            rows, unit = _unit(batch.column("embedding"))
-            sizes = np.array([len(x) for x in unit])
+            rows, given = _usable(batch.column("embedding"))
+            sizes = np.array([len(x) for x in given])
             for size in np.unique(sizes):
                 if size not in turns:
                     turns[size] = [rotation(size, seed + t) for t in range(-(-tables * bits // int(size)) + 1)]
                 own = np.flatnonzero(sizes == size)
-                x = np.stack([unit[k] for k in own])
+                x = np.stack([unit(given[k]) for k in own])
                 code, factor = codes(x, turns[size][0])
                 signs = np.concatenate([x @ turn.T > 0 for turn in turns[size][1:]], axis=1)[:, : tables * bits]
                 width = signs.shape[1] // bits * bits
@@ -113,18 +119,20 @@ def near_links(vectors: DataFrame, threshold: float = THRESHOLD, tables: int = T
                         {
                             "vec_id": pa.array(ids[rows[own[part]]], pa.int64()), "size": pa.array(np.full(n, size), pa.int32()),
                             "code": many(code[part]), "factor": pa.array(factor[part], pa.float64()),
-                            "vector": many(x[part]), "keys": pa.array(list(keys[part].astype(np.int32)), pa.list_(pa.int32())),
+                            "vector": many(np.stack([given[k] for k in own[part]])), "keys": pa.array(list(keys[part].astype(np.int32)), pa.list_(pa.int32())),
                         }
                     )
 
     schema = "vec_id bigint, size int, code binary, factor double, vector binary, keys array<int>"
-    members = pin(vectors.select("vec_id", "embedding").mapInArrow(coded, schema), "codes")
-    entries = members.select("size", "vec_id", "code", "factor", "vector", "keys", F.posexplode("keys").alias("table", "key"))
+    members = pin(vectors.where("vec_id IS NOT NULL").select("vec_id", "embedding").mapInArrow(coded, schema), "codes")
+    dealt = deal(members.select("size", "vec_id", F.posexplode("keys").alias("table", "key")), ["size", "table", "key"], "vec_id")
+    cells = dealt.join(members.drop("size").hint("merge"), "vec_id")  # vectors travel to their cells only
+    kind = np.float32 if vectors.schema["embedding"].dataType.elementType.typeName() == "float" else np.float64
 
     def prepare(rows: pa.Table) -> Coded:
         sizes = rows.column("size").to_numpy()
         turned: list[np.ndarray | None] = [None] * len(rows)
-        vectors = [np.frombuffer(v, np.float64) for v in rows.column("vector").to_pylist()]
+        vectors = [unit(np.frombuffer(v, kind)) for v in rows.column("vector").to_pylist()]
         for size in np.unique(sizes):
             own = np.flatnonzero(sizes == size)
             for k, x in zip(own, np.stack([vectors[k] for k in own]) @ rotation(int(size), seed).T, strict=True):
@@ -146,7 +154,7 @@ def near_links(vectors: DataFrame, threshold: float = THRESHOLD, tables: int = T
             found[np.ix_(i, j)] &= exact >= threshold
         return found
 
-    return compare(deal(entries, ["size", "table", "key"], "vec_id"), "vec_id", prepare, links)
+    return compare(cells, "vec_id", prepare, links)
 
 
 def near_groups(vectors: DataFrame, threshold: float = THRESHOLD, **options) -> DataFrame:
@@ -161,4 +169,4 @@ def with_groups(rows: DataFrame, found: DataFrame, member: str) -> DataFrame:
     groups = components(found.where("n = 0")).withColumnRenamed("id", "a")
     joined = rows.withColumnRenamed(member, "a").join(counts, "a", "left").join(groups, "a", "left")
     component = F.coalesce("component", "a")
-    return joined.select(F.col("a").alias(member), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), component.alias("component_id"), (F.col("a") == component).alias("kept"))
+    return joined.select(F.col("a").alias(member), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), component.alias("component_id"), F.col("a").eqNullSafe(component).alias("kept"))
