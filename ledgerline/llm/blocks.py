@@ -2,7 +2,7 @@
 
 A bucket with more than ``BLOCK`` members is dealt into blocks by a hash of the member, and each pair of blocks becomes
 a cell; a smaller bucket is one cell. A task holds one cell at a time, compares its members and passes on two things:
-how many links each member has there, and links enough to connect what is connected in the cell. So a group of n copies
+how many links each member has there, and pairs that connect what is connected in the cell. So a group of n copies
 gives rows in proportion to n for each of its cells, although all its pairs are compared.
 """
 
@@ -39,26 +39,28 @@ def deal(members: DataFrame, keys: list[str], member: str, block: int = BLOCK) -
     return dealt.withColumn("cell", F.xxhash64(*keys, low, high)).withColumn("side", side).drop("_n", "_blocks", "_own", "_other")
 
 
-def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of the links a-b, enough to connect what they connect."""
+def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What the links a-b connect, as a pair of each member with the smallest one that it reaches.
+
+    Cells that hold the same group give the same pairs, so a group that many cells hold stays small when pairs merge.
+    """
     parent: dict[int, int] = {}
 
     def root(x: int) -> int:
         while (up := parent.setdefault(x, x)) != x:
-            parent[x] = x = parent[up] if up in parent else up
+            parent[x] = x = parent[up]
         return x
 
-    kept = []
-    for k, (x, y) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
+    for x, y in zip(a.tolist(), b.tolist(), strict=True):
         x, y = root(x), root(y)
         if x != y:
             parent[max(x, y)] = min(x, y)
-            kept.append(k)
-    return a[kept], b[kept]
+    pairs = [(x, r) for x in parent if (r := root(x)) != x]
+    return np.array([x for x, _ in pairs], np.int64), np.array([r for _, r in pairs], np.int64)
 
 
 def compare(dealt: DataFrame, member: str, prepare: Callable[[pa.Table], T], links: Callable[[T, np.ndarray, np.ndarray], np.ndarray], weight: str | None = None) -> DataFrame:
-    """Rows (a, null, n): n links of member a in some cell; and rows (a, b, 0): links that connect.
+    """Rows (a, null, n): n links of member a in some cell; and rows (a, b, 0): links of the cell connect a with b.
 
     ``prepare`` turns the rows of many cells into arrays. ``links(prepared, left, right)`` gets the numbers of the rows
     to compare, all of one cell, and returns a boolean matrix; it decides which cell of several reports a pair. ``weight`` is a column of how many rows a member stands for.
@@ -97,7 +99,7 @@ def compare(dealt: DataFrame, member: str, prepare: Callable[[pa.Table], T], lin
                         out_a.append(b[count_r > 0])
                         out_n.append(count_r[count_r > 0])
                         out_b.append(np.full((count_r > 0).sum(), -1))
-                    ta, tb = forest(a[at_l], b[at_r])
+                    ta, tb = stars(a[at_l], b[at_r])
                     out_a.append(ta)
                     out_b.append(tb)
                     out_n.append(np.zeros(len(ta), np.int64))

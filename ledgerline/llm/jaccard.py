@@ -10,7 +10,7 @@ nothing. Shingles are compared by 64-bit hashes.
    probability. Nodes of one text are left out; within the others, pairs whose signatures make the threshold
    implausible are dismissed, and of the rest as many are passed on as connect the same texts (``blocks``).
 3. What these connect is a candidate group, whose texts meet once more with all their shingles. All pairs of a group are
-   verified exactly, in blocks; what comes out is links per text and connecting links, never a row per pair.
+   verified exactly, in blocks; what comes out is links per text and connecting pairs, never a row per pair.
 
 Null texts count as empty. Rows that repeat a doc_id and its text are copies; a doc_id must not stand for two texts; a
 row without doc_id links with nothing and is kept. An empty table gives an empty result; further columns are ignored.
@@ -121,7 +121,7 @@ class Marks(NamedTuple):
 
 
 def candidate_links(classes: DataFrame, length: int, threshold: float, trees: int = TREES) -> DataFrame:
-    """Links a, b that connect the texts of the forest's nodes whose signatures don't speak against the threshold."""
+    """Pairs a, b that connect the texts of the forest's nodes whose signatures don't speak against the threshold."""
     least = trees * length * threshold - SLACK * math.sqrt(trees * length * threshold * (1 - threshold))
     nodes = classes.select("rep", F.posexplode("keys").alias("tree", "key"))
     shared = nodes.groupBy("tree", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("tree", "key")
@@ -170,7 +170,7 @@ def overlaps(a: list[np.ndarray], b: list[np.ndarray], plausible: np.ndarray) ->
 
 
 def verified_links(docs: DataFrame, groups: DataFrame, threshold: float, words: int = WORDS) -> DataFrame:
-    """Links per text and connecting links (see ``blocks``) among the texts (rep, weight) of each candidate group."""
+    """Links per text and connecting pairs (see ``blocks``) among the texts (rep, weight) of each candidate group."""
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
