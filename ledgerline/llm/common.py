@@ -30,10 +30,11 @@ def held_out(doc_id: str | Column) -> Column:
 def bounded_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
     """The ``rows`` rows with the smallest hash of ``key``: a repeatable sample of bounded size.
 
-    A first cut by the hash leaves about twice as many rows, so that few are sorted and sent on.
+    A first cut by the hash leaves about twice as many rows, however many the table has, so that few are sorted and
+    sent on.
     """
-    steps = 1 << 20
-    cut = min(steps, 2 * rows * steps // max(df.count(), 1) + 64 * steps // max(rows, 64))
+    steps = 1 << 30
+    cut = min(steps, (2 * rows + 64) * steps // max(df.count(), 1) + 1)
     place = F.pmod(F.xxhash64(F.col(key)), F.lit(steps))
     return df.where(place < cut).orderBy(place, F.col(key)).limit(rows)
 

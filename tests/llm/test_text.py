@@ -307,3 +307,15 @@ def test_empty_table(spark, name):
     }[name]()
     assert made.count() == 0
     assert F.col("doc_id") is not None and "doc_id" in made.columns
+
+
+def test_bounded_sample_is_repeatable_and_cut_first(spark):
+    from ledgerline.llm.common import bounded_sample
+
+    df = spark.range(20_000).withColumnRenamed("id", "doc_id")
+    got = bounded_sample(df, "doc_id", 100)
+    ids = {r.doc_id for r in got.collect()}
+    assert len(ids) == 100 and ids == {r.doc_id for r in bounded_sample(df.repartition(7), "doc_id", 100).collect()}
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    assert df.where(place < (2 * 100 + 64) * (1 << 30) // 20_000 + 1).count() < 400
+    assert bounded_sample(df.limit(3), "doc_id", 100).count() == 3
