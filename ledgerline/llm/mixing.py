@@ -28,7 +28,7 @@ from ledgerline.session import pin
 MARGINS = ("source", "lang", "topic")
 #: Powers of the margins' tokens that give the default targets.
 TEMPER = {"source": 0.5, "lang": 0.7, "topic": 0.7}
-ROUNDS, PER_STAGE, RATE_STEPS = 20, 5, 20
+ROUNDS, PER_STAGE, RATE_STEPS = 20, 2, 20
 SHARE, SEED = 0.8, "mix"
 SPACE = "[^ \\t\\n\\r\\f]+"
 

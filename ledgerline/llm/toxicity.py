@@ -99,11 +99,14 @@ def parts_of(word: str) -> list[str]:
 
 def choose_features(positive: list[str], unlabelled: list[str], most: int) -> list[str]:
     """Features in at least twice as many positives as their share of all features explains (and a Poisson z of 4 or more)."""
-    p, u = Counter(), Counter()
-    for texts, into in ((positive, p), (unlabelled, u)):
-        for text in texts:
-            into.update({f for word in set(words_of(text)) for f in parts_of(word)})
-    share = sum(p.values()) / max(1, sum(p.values()) + sum(u.values()))
+    p, u, others = Counter(), Counter(), 0
+    for text in positive:
+        p.update({f for word in set(words_of(text)) for f in parts_of(word)})
+    for text in unlabelled:  # only what positives have is counted by itself
+        found = {f for word in set(words_of(text)) for f in parts_of(word)}
+        others += len(found)
+        u.update(f for f in found if f in p)
+    share = sum(p.values()) / max(1, sum(p.values()) + others)
     z = {w: (n - share * (n + u[w])) / math.sqrt(share * (n + u[w])) for w, n in p.items() if n >= 3 and n >= 2 * share * (n + u[w])}
     return sorted((w for w, v in z.items() if v >= 4), key=lambda w: (-z[w], w))[:most]
 
