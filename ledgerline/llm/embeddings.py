@@ -5,11 +5,12 @@ rotated vector, divided by the stored product of the code with its own vector, i
 its spread follows from the same stored factor, which gives confidence bounds. A pair whose upper bound is below the
 threshold is dismissed; all others are computed exactly in double precision.
 
-Pairs are sought in the buckets of ``tables`` independent rotations: the first ``bits`` signs of each name a bucket,
-and the number of bits grows with the logarithm of the number of rows, so that buckets stay small. At a cosine of 0.9
-two signs differ with probability 0.144, so a pair at the threshold is missed by all 40 tables with 13 bits in 0.3 % of
-cases, and closer ones far less often. A pair that several tables find counts in the first of them. Large buckets are
-dealt in blocks (``blocks``), none is cut off.
+Pairs are sought in the buckets of independent rotations: the first ``bits`` signs of each name a bucket, and the number
+of bits grows with the logarithm of the number of rows, so that buckets stay small. At a cosine of 0.9 two signs differ
+with probability 0.144, so a longer key is missed more often; the number of tables grows with the bits in return
+(``tables_for``: 40 up to 13 bits, 124 with 20, 233 with 24), and a pair at the threshold is missed by all of them in
+0.33 % of cases whatever the number of rows, closer ones far less often. A pair that several tables find counts in the
+first of them. Large buckets are dealt in blocks (``blocks``), none is cut off.
 
 Vectors that are null, zero or hold null or non-finite components link with nothing. Rows that share a vec_id don't
 link with each other, and each counts in the links of others. An empty table gives an empty result; further columns, labels among them, are ignored.
@@ -31,7 +32,8 @@ from ledgerline.llm.blocks import compare, deal
 from ledgerline.llm.graph import components
 from ledgerline.session import pin
 
-TABLES, THRESHOLD = 40, 0.9
+#: Tables at least, and share of the pairs at the threshold that no table may find.
+TABLES, MISSED, THRESHOLD = 40, 0.0033, 0.9
 #: Standard errors of the confidence bound.
 SPREAD = 4.0
 SEED = 20
@@ -48,6 +50,12 @@ def bits_for(rows: int) -> int:
     return int(min(max(math.ceil(math.log2(max(rows, 2) / 8)), 4), 30))
 
 
+def tables_for(bits: int, threshold: float = THRESHOLD) -> int:
+    """Tables of keys of so many bits that miss a pair at the threshold with a probability of ``MISSED`` or less."""
+    same = (1 - math.acos(min(max(threshold, -1.0), 1.0)) / math.pi) ** bits
+    return TABLES if same >= 1 else max(TABLES, math.ceil(math.log(MISSED) / math.log1p(-same)))
+
+
 def unit(x: np.ndarray) -> np.ndarray:
     """The vector over its length, in double precision; first over its largest component, so that no square overflows."""
     x = x.astype(np.float64)
@@ -81,7 +89,7 @@ def estimate(signs: np.ndarray, factor: np.ndarray, turned: np.ndarray) -> tuple
 
 
 class Coded(NamedTuple):
-    """Rows of many cells as arrays; ``keys`` has the bucket of every table, from ``at`` on for each row."""
+    """Rows of many cells as arrays; ``keys`` has the buckets of the tables before the cell's, from ``at`` on for each row."""
 
     vector: list[np.ndarray]
     turned: list[np.ndarray]
@@ -92,9 +100,10 @@ class Coded(NamedTuple):
     table: np.ndarray
 
 
-def near_links(vectors: DataFrame, threshold: float = THRESHOLD, tables: int = TABLES, seed: int = SEED) -> DataFrame:
-    """Links per member and connecting pairs (see ``blocks``) of vec_id, embedding."""
-    bits = bits_for(vectors.count())
+def near_links(vectors: DataFrame, threshold: float = THRESHOLD, tables: int | None = None, seed: int = SEED, bits: int | None = None) -> DataFrame:
+    """Links per member and connecting pairs (see ``blocks``) of vec_id, embedding; bits and tables follow the rows if not given."""
+    bits = bits or bits_for(vectors.count())
+    tables = tables or tables_for(bits, threshold)
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turns: dict[int, list[np.ndarray]] = {}
@@ -127,6 +136,7 @@ def near_links(vectors: DataFrame, threshold: float = THRESHOLD, tables: int = T
     members = pin(vectors.where("vec_id IS NOT NULL").select("vec_id", "embedding").mapInArrow(coded, schema), "codes")
     dealt = deal(members.select("size", "vec_id", F.posexplode("keys").alias("table", "key")), ["size", "table", "key"], "vec_id")
     cells = dealt.join(members.drop("size").hint("merge"), "vec_id")  # vectors travel to their cells only
+    cells = cells.withColumn("keys", F.slice("keys", F.lit(1), F.col("table")))  # a cell asks for earlier tables only
     kind = np.float32 if vectors.schema["embedding"].dataType.elementType.typeName() == "float" else np.float64
 
     def prepare(rows: pa.Table) -> Coded:
@@ -139,7 +149,7 @@ def near_links(vectors: DataFrame, threshold: float = THRESHOLD, tables: int = T
                 turned[k] = x
         signs = [np.unpackbits(np.frombuffer(c, np.uint8), count=n) for c, n in zip(rows.column("code").to_pylist(), sizes, strict=True)]
         keys = rows.column("keys").combine_chunks()
-        return Coded(vectors, turned, signs, rows.column("factor").to_numpy(), keys.flatten().to_numpy(), keys.offsets.to_numpy(), rows.column("table").to_numpy())
+        return Coded(vectors, turned, signs, rows.column("factor").to_numpy(), keys.flatten().to_numpy(), keys.offsets.to_numpy() - keys.offsets[0].as_py(), rows.column("table").to_numpy())
 
     def links(rows: Coded, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         close, spread = estimate(np.stack([rows.signs[k] for k in left]), rows.factor[left], np.stack([rows.turned[k] for k in right]))

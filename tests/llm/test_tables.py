@@ -133,6 +133,21 @@ def test_estimates_are_unbiased_and_bounds_hold():
     assert (np.abs(off) <= embeddings.SPREAD * spread[:, None]).mean() > 0.999
 
 
+@pytest.mark.parametrize("bits", [20, 24])
+def test_long_keys_keep_the_recall(spark, bits):
+    rng = np.random.default_rng(11)
+    rows = []
+    for i in range(300):  # pairs at a cosine of 0.9 to 0.91
+        a, b = np.linalg.qr(rng.standard_normal((64, 2)))[0].T
+        c = 0.9001 + 0.01 * rng.random()
+        rows += [(2 * i, a.tolist()), (2 * i + 1, (c * a + math.sqrt(1 - c * c) * b).tolist())]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found = {r.vec_id: r.n_links for r in embeddings.near_groups(df, bits=bits).collect()}
+    assert sum(found[2 * i] == 1 for i in range(300)) >= 294
+    missed = 1 - (1 - math.acos(0.9) / math.pi) ** bits
+    assert missed ** embeddings.tables_for(bits) <= embeddings.MISSED and embeddings.tables_for(13) == 40
+
+
 def test_empty_embeddings(spark):
     assert embeddings.near_groups(spark.createDataFrame([], "vec_id bigint, embedding array<float>")).count() == 0
 
