@@ -2,10 +2,11 @@
 
 Every page is read into blocks of text and the containers that hold them. Menus, headers, footers, sidebars, notices,
 adverts, forms, reader comments, scripts and styles are left out by their tags, roles, class and id words. The rest of
-a page votes: its best container is the deepest one that still holds the article, found by unlinked text going down
-from the body. Votes go to generalised paths of tags and classes (without digits) and are counted per host in Spark.
-Paths with a tenth of a host's votes or more win there, ten at most. Each page is then read again and gives the blocks
-below its first winning path that holds text, or below its own best container where none does.
+a page votes: its best container is the deepest one that still holds all of the article, found by unlinked text going
+down from the body. Votes go to generalised paths of tags and classes (without digits) and are counted per host in
+Spark, as are the pages that have text there. Paths with a tenth of a host's votes or more win there, ten at most, if a
+fifth or more of the pages that have them vote for them. Each page is then read again and gives the blocks of its own
+best container; only where the host's pages pass that path over, those of the winning path with most of its text.
 
 Character references are decoded, white space inside a block becomes one space, blocks are trimmed and joined in page
 order by one space. A null or empty page has an empty text; pages without a host share the empty host; repeated rows
@@ -16,7 +17,7 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -65,8 +66,12 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(r"""([a-zA-Z][\w:-]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 LETTERS = re.compile(r"[a-z]+")
 HEADINGS = frozenset(("h1", "h2", "h3"))
-#: Share of a container's text below which a child doesn't stand for it, and of a host's votes that wins.
-HALF, WINS = 0.5, 10
+#: Share of a container's text below which a child doesn't stand for it, and characters outside that aren't missed.
+HALF, FEW = 0.5, 60
+#: A tenth of a host's votes wins. A path that under a fifth of the pages that have it vote for is passed over.
+WINS, PASSED = 10, 5
+#: Share of the own container's text that a winning path inside it needs.
+NEARLY = 0.9
 
 
 @dataclass
@@ -206,11 +211,8 @@ def read_page(text: str) -> Page:
     return page
 
 
-def best_container(page: Page) -> int:
-    """The deepest container that still holds the article: down from the root, while one child has most unlinked text.
-
-    An article or main element isn't left, nor a container with a heading beside that child.
-    """
+def unlinked(page: Page) -> tuple[list[int], list[int]]:
+    """Characters that aren't links, and headings, of every container with all that it holds."""
     n = len(page.containers)
     mass, heads = [0] * n, [0] * n
     for container, body, linked, heading in page.blocks:
@@ -219,60 +221,111 @@ def best_container(page: Page) -> int:
     for k in range(n - 1, 0, -1):
         mass[page.containers[k][0]] += mass[k]
         heads[page.containers[k][0]] += heads[k]
+    return mass, heads
+
+
+def best_container(page: Page) -> int:
+    """The deepest container that still holds the article: down from the root, while one child has its unlinked text.
+
+    On the whole way no more than ``FEW`` characters are left outside. Only the way to the one article or main element
+    with most of a page's text leaves out what is beside it. Such an element isn't left, nor a container with a heading
+    beside that child.
+    """
+    n = len(page.containers)
+    mass, heads = unlinked(page)
     best: dict[int, int] = {}
     for k in range(n - 1, 0, -1):
         parent = page.containers[k][0]
         if mass[k] and (parent not in best or mass[k] >= mass[best[parent]]):
             best[parent] = k
+    inside, marked = [False] * n, []
+    for k, (parent, _, tag) in enumerate(page.containers):
+        inside[k] = parent >= 0 and inside[parent]
+        if not inside[k] and tag in ("article", "main"):
+            inside[k] = True
+            if mass[k]:
+                marked.append(k)
+    way: set[int] = set()
+    if len(marked) == 1 and mass[marked[0]] >= HALF * mass[0]:
+        k = marked[0]
+        while k >= 0:
+            way.add(k)
+            k = page.containers[k][0]
     at = 0
     while at in best and page.containers[at][2] not in ("article", "main"):
         child = best[at]
         outside = heads[at] - heads[child]
-        if mass[child] < HALF * mass[at] or outside and page.containers[at][2] not in ("", "html"):
+        if child not in way and mass[0] - mass[child] > FEW or mass[child] < HALF * mass[at]:
+            break
+        if outside and page.containers[at][2] not in ("", "html"):
             break
         at = child
     return at
 
 
-def below(page: Page, chosen: set[int]) -> str:
-    """Text of the blocks in the chosen containers and in all containers inside them."""
+def within(page: Page, chosen: set[int]) -> list[bool]:
+    """Which containers are chosen or inside a chosen one."""
     inside = [False] * len(page.containers)
     for k, (parent, _, _) in enumerate(page.containers):
         inside[k] = k in chosen or parent >= 0 and inside[parent]
+    return inside
+
+
+def below(page: Page, chosen: set[int]) -> str:
+    """Text of the blocks in the chosen containers and in all containers inside them."""
+    inside = within(page, chosen)
     return " ".join(body for container, body, _, _ in page.blocks if inside[container])
 
 
-def main_text(text: str, paths: list[str]) -> str:
+def main_text(text: str, paths: list[str], aside: Collection[str] = ()) -> str:
+    """Text of the page's own best container, or of a winning path where its host's pages pass the own path over.
+
+    Of several winning paths the one with most of the page's unlinked text counts; one inside the own container stands
+    for it only with nearly all of its text.
+    """
     page = read_page(text)
+    own = best_container(page)
+    path = page.containers[own][1]
+    if path not in aside:
+        return below(page, {k for k, c in enumerate(page.containers) if c[1] == path} if path in paths else {own})
+    mass, inside, best, most = unlinked(page)[0], within(page, {own}), "", -1
     for path in paths:
-        found = below(page, {k for k, c in enumerate(page.containers) if c[1] == path})
-        if found:
-            return found
-    return below(page, {best_container(page)})
+        chosen = {k for k, c in enumerate(page.containers) if c[1] == path}
+        held = sum(mass[k] for k in chosen)
+        if held > most and not (held < NEARLY * mass[own] and all(inside[k] for k in chosen)):
+            found = below(page, chosen)
+            if found:
+                best, most = found, held
+    return best or below(page, {own})
 
 
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        votes: dict[tuple[str, str], int] = {}
+        votes: dict[tuple[str, str], list[int]] = {}
         for host, text in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
             if text:
                 page = read_page(text)
                 if page.blocks:
-                    key = (host, page.containers[best_container(page)][1])
-                    votes[key] = votes.get(key, 0) + 1
-        yield pa.RecordBatch.from_pydict(
-            {"host": pa.array([h for h, _ in votes], pa.string()), "path": pa.array([p for _, p in votes], pa.string()), "votes": pa.array(votes.values(), pa.int64())}
-        )
+                    best, mass = page.containers[best_container(page)][1], unlinked(page)[0]
+                    for path in {best, *(c[1] for c, m in zip(page.containers, mass, strict=True) if m)}:
+                        count = votes.setdefault((host, path), [0, 0])
+                        count[0] += path == best
+                        count[1] += 1
+        host, path = ([k[i] for k in votes] for i in (0, 1))
+        cast, seen = ([v[i] for v in votes.values()] for i in (0, 1))
+        yield pa.RecordBatch.from_pydict({"host": pa.array(host, pa.string()), "path": pa.array(path, pa.string()), "votes": pa.array(cast, pa.int64()), "seen": pa.array(seen, pa.int64())})
 
 
 def winning_paths(pages: DataFrame) -> DataFrame:
-    """host, paths: those with a tenth of the votes of a host, the most voted first."""
-    votes = pages.select(split_url(F.col("url"))[0].alias("host"), "html").mapInArrow(_votes, "host string, path string, votes bigint")
-    counted = pin(votes.groupBy("host", "path").agg(F.sum("votes").alias("votes")), "path-votes")
+    """host, paths: those with a tenth of the votes of a host, the most voted first; and aside: see ``PASSED``."""
+    votes = pages.select(split_url(F.col("url"))[0].alias("host"), "html").mapInArrow(_votes, "host string, path string, votes bigint, seen bigint")
+    counted = votes.groupBy("host", "path").agg(F.sum("votes").alias("votes"), F.sum("seen").alias("seen"))
+    counted = pin(counted.where("votes > 0"), "path-votes")
     cast = counted.groupBy("host").agg(F.sum("votes").alias("cast"))
-    won = counted.join(cast, "host").where(F.col("votes") * WINS >= F.col("cast"))
-    ranked = F.array_sort(F.collect_list(F.struct((-F.col("votes")).alias("v"), F.col("path").alias("p"))))
-    return won.groupBy("host").agg(ranked["p"].alias("paths"))
+    passed = F.col("votes") * PASSED < F.col("seen")
+    won = counted.join(cast, "host").where((F.when(passed, F.col("seen")).otherwise(F.col("votes"))) * WINS >= F.col("cast"))
+    ranked = F.array_sort(F.collect_list(F.when(~passed, F.struct((-F.col("votes")).alias("v"), F.col("path").alias("p")))))
+    return won.groupBy("host").agg(ranked["p"].alias("paths"), F.collect_list(F.when(passed, F.col("path"))).alias("aside"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -282,10 +335,10 @@ def extract(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = zip(batch.column("html").to_pylist(), batch.column("paths").to_pylist(), strict=True)
-            texts = pa.array([main_text(text, paths or []) if text else "" for text, paths in rows], pa.string())
+            rows = zip(*(batch.column(c).to_pylist() for c in ("html", "paths", "aside")), strict=True)
+            texts = pa.array([main_text(text, paths or [], aside or ()) if text else "" for text, paths, aside in rows], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), texts], names=["page_id", "url", "text"])
 
     fields = {f.name: f for f in pages.schema.fields}
     schema = f"page_id {fields['page_id'].dataType.simpleString()}, url string, text string"
-    return hosted.select("page_id", "url", "html", "paths").mapInArrow(run, schema)
+    return hosted.select("page_id", "url", "html", "paths", "aside").mapInArrow(run, schema)

@@ -54,6 +54,21 @@ def test_hosts_agree_on_a_path(spark):
     assert html_text.extract(pages.where("page_id < 0")).count() == 0
 
 
+def test_articles_of_several_parts_stay_whole(spark):
+    lead, rest = "lead sentence of the text. " * 20, "and the rest of it follows. " * 30
+    both = f"{lead} {rest}".split()
+    parts = body(f"<div class=post><div class=lead><p>{lead}</div><div class=body><p>{rest}</div></div><div class=menu>m</div>")
+    around = body(f"<div class=post><p>{lead}<div class=inner><p>{rest}</div><p>{lead}</div>")
+    assert html_text.main_text(parts, []).split() == both
+    assert html_text.main_text(around, []).split() == both + lead.split()
+    # three in ten pages of the host have another template, with a small block where the others have their text
+    first, second = body(f"<div class=text><p>{lead}</div>"), body(f"<div class=text><p>Few words.</div><div class=long><p>{rest}</div>")
+    rows = [(i, "http://h.org/1", first if i < 7 else second) for i in range(10)] + [(i, "http://g.org/1", parts) for i in range(10, 13)]
+    got = {r.page_id: r.text.split() for r in html_text.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert all(got[i] == (lead if i < 7 else rest).split() for i in range(10))
+    assert all(got[i] == both for i in range(10, 13))
+
+
 def test_split_url_and_rules(spark):
     cases = {
         "http://A.Org/x/1?q#f": ("a.org", "/x/1", "a.org/x/"), "https://sub.a.org/x/": ("sub.a.org", "/x/", "a.org/x/"),
