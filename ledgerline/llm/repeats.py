@@ -220,6 +220,9 @@ def maximal_repeats(batches: Iterator[pa.RecordBatch], length: int = LENGTH) ->
     serial = 0
     for rows in sorted_groups(batches, "k", RUNS):
         k, doc, start = (rows.column(c).to_numpy() for c in ("k", "doc_id", "start"))
+        new = np.concatenate([[True], (k[1:] != k[:-1]) | (doc[1:] != doc[:-1]) | (start[1:] != start[:-1])])
+        if not new.all():  # rows that repeat a doc_id gave its runs again
+            rows, k, doc, start = rows.filter(pa.array(new)), k[new], doc[new], start[new]
         edges = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1], [True]]))
         bodies = rows.column("body").to_pylist()
         low = 0
@@ -265,7 +268,11 @@ def repeat_groups(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tu
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, k, start, body = [], [], [], []
+            before = None
             for doc, text, runs in zip(batch.column("doc_id").to_pylist(), texts_of(batch), batch.column("runs").to_pylist(), strict=True):
+                if before == (doc, text):  # a row that repeats a doc_id
+                    continue
+                before = (doc, text)
                 data = text.encode("utf-8", "surrogatepass")
                 for r in runs:
                     ids.append(doc)

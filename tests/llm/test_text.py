@@ -156,6 +156,18 @@ def test_repeats_of_rows_that_share_an_id_stay(spark):
     assert all(n == 0 for d, n in got if d is None)
 
 
+def test_originals_of_rows_that_share_an_id_stay(spark):
+    rng = random.Random(8)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(60))
+    texts = {4: "only here 1" + passage + "only here 2", 7: "seven " + passage[10:50] + " eleven", 9: passage[:30] + "nine"}
+    ids = [4, 4, 4, 7, 9, 9]
+    got = repeats.drop_repeats(frame(spark, [texts[i] for i in ids], ids), 20, 8).collect()
+    wanted = brute_repeats(list(texts.items()), 20)
+    assert wanted[4][1] == 0 < wanted[7][1]
+    assert sorted(r.doc_id for r in got) == ids
+    assert all((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == wanted[r.doc_id] for r in got)
+
+
 def brute_jaccard(texts):
     sets = []
     for t in texts:
