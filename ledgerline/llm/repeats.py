@@ -11,6 +11,8 @@ hash. Neighbouring strings of a document with one anchor form a run, whose bytes
    of ``length`` bytes and more in order, with the common prefix of neighbours. A stack scan walks its interval tree;
    an interval whose occurrences have different bytes on the left (or begin a run) can't be extended and is a maximal
    repeat group, passed on with all its occurrences; the others lie inside a wider one.
+   Runs of a heavy anchor are cut into their strings of ``length`` bytes instead, which meet by their own hash as runs do
+   in steps 1 and 2, so that no task holds such an anchor.
 4. Bytes covered by an occurrence that isn't its group's first (smallest doc_id, then start) are removed.
 
 Runs clip repeats, so a long repeat is found as a chain of overlapping groups; what they cover is the same. Null texts
@@ -23,6 +25,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +37,8 @@ from ledgerline.llm.packing import slices
 from ledgerline.session import pin
 
 LENGTH, GRAM = 100, 32
-#: Characters of the texts that are cut into runs at a time, and runs whose suffixes are sorted at a time.
+#: Characters of the texts that are cut into runs at a time, and runs whose suffixes are sorted at a time (an anchor with
+#: more is heavy).
 AT_ONCE, RUNS = 3_000_000, 3_000
 BASE = 0x5851F42D4C957F2D
 BYTES = mix64(np.arange(1, 257, dtype=np.uint64))
@@ -215,10 +219,71 @@ def intervals(lcp: list[int], before: list[int], length: int = LENGTH) -> Iterat
                 stack.append([now, first, byte])
 
 
+def strings_of(doc: np.ndarray, start: np.ndarray, bodies: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, document, start and size of the first of equal strings of ``length`` bytes in runs; the others as spans of size below 0."""
+    sizes = np.array([len(b) for b in bodies])
+    data = np.frombuffer(b"".join(bodies), np.uint8)
+    up, down = powers(1 << max(16, len(data).bit_length()))
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(BYTES[data] * up[: len(data)], dtype=np.uint64)])
+    count = sizes - length + 1
+    run = np.repeat(np.arange(len(bodies)), count)
+    offset = np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count)
+    at = (np.cumsum(sizes) - sizes)[run] + offset
+    h, doc, start = mix64((total[at + length] - total[at]) * down[at]), doc[run], start[run] + offset
+    order = np.lexsort((start, doc, h))
+    h, doc, start = h[order], doc[order], start[order]
+    same = np.concatenate([[False], h[1:] == h[:-1]])
+    lead = np.flatnonzero(~same)[np.cumsum(~same) - 1]
+    again = (doc != doc[lead]) | (start != start[lead])
+    s_doc, s_start, s_end = joined(doc[again], start[again], start[again] + length)
+    keep = ~same
+    return (
+        np.concatenate([h[keep], mix64(s_doc.astype(np.uint64))]).view(np.int64), np.concatenate([doc[keep], s_doc]),
+        np.concatenate([start[keep], s_start]), np.concatenate([np.full(keep.sum(), length), s_start - s_end]),
+    )
+
+
+def repeated_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All but the first of equal strings, and spans, in the form of ``maximal_repeats``; one batch is held at a time."""
+    lead = None
+    for batch in batches:
+        k, doc, start, size = (batch.column(c).to_numpy() for c in ("k", "doc_id", "start", "size"))
+        span = size < 0
+        out = [(k[span], -size[span], doc[span], start[span])]
+        k, doc, start, size = (c[~span] for c in (k, doc, start, size))
+        if len(k):
+            if lead is not None:
+                k, doc, start, size = (np.concatenate([[x], c]) for x, c in zip(lead, (k, doc, start, size), strict=True))
+            same = np.concatenate([[False], k[1:] == k[:-1]])
+            at = np.flatnonzero(~same)[np.cumsum(~same) - 1]
+            again = (doc != doc[at]) | (start != start[at])
+            out.append((k[again], size[again], doc[again], start[again]))
+            lead = tuple(c[at[-1]] for c in (k, doc, start, size))
+        k, size, doc, start = (np.concatenate(c) for c in zip(*out, strict=True))
+        none = np.zeros(len(k), np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(k), pa.array(size.astype(np.int32)), pa.array(none), pa.array(doc), pa.array(start.astype(np.int32)), pa.array(none > 0)],
+            names=["k", "size", "group", "doc_id", "start", "first"],
+        )
+
+
 def maximal_repeats(batches: Iterator[pa.RecordBatch], length: int = LENGTH) -> Iterator[pa.RecordBatch]:
-    """Groups of occurrences: k, size, group (a number in k), doc_id, start, first (whether it is the group's first)."""
+    """Groups of occurrences: k, size, group (a number in k), doc_id, start, first (whether it is the group's first).
+
+    Runs come first; rows without bytes after them are strings of heavy anchors, of which only repeats are passed on.
+    """
+    batches, rest = iter(batches), []
+
+    def runs() -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows - batch.column("body").null_count
+            yield batch.slice(0, n)
+            if n < batch.num_rows:
+                rest.append(batch.slice(n))
+                return
+
     serial = 0
-    for rows in sorted_groups(batches, "k", RUNS):
+    for rows in sorted_groups(runs(), "k", RUNS):
         k, doc, start = (rows.column(c).to_numpy() for c in ("k", "doc_id", "start"))
         new = np.concatenate([[True], (k[1:] != k[:-1]) | (doc[1:] != doc[:-1]) | (start[1:] != start[:-1])])
         if not new.all():  # rows that repeat a doc_id gave its runs again
@@ -252,22 +317,27 @@ def maximal_repeats(batches: Iterator[pa.RecordBatch], length: int = LENGTH) ->
                 names=["k", "size", "group", "doc_id", "start", "first"],
             )
             serial += len(found)
+    yield from repeated_strings(chain(rest, batches))
 
 
 GROUP = "k bigint, size int, group bigint, doc_id bigint, start int, first boolean"
 
 
-def repeat_groups(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
+def repeat_groups(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, heavy: int = RUNS) -> tuple[DataFrame, DataFrame]:
     """Whole runs that repeat an earlier one, as spans (doc_id, start, size); and the groups of ``maximal_repeats``."""
     spark = docs.sparkSession
     met = cut(docs, length, gram).repartition(partitions_for(spark), "k").sortWithinPartitions("k", "h", "doc_id", "start")
     met = pin(met.mapInArrow(meet, SPAN + ", k bigint"), "runs")
-    wanted = met.where("k IS NOT NULL").groupBy("doc_id").agg(F.collect_list(F.struct("k", "start", "size")).alias("runs"))
+    shown = met.where("k IS NOT NULL")
+    many = pin(shown.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > heavy).select("k", F.lit(True).alias("heavy")), "heavy-anchors")
+    wanted = shown.join(many, "k", "left").groupBy("doc_id").agg(F.collect_list(F.struct("k", "start", "size", "heavy")).alias("runs"))
     texts = docs.select("doc_id", "text").join(wanted.hint("merge"), "doc_id")
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["k", "doc_id", "start", "size", "body"]
         for batch in batches:
             ids, k, start, body = [], [], [], []
+            cut_ids, cut_start, cut_body, held = [], [], [], 0
             before = None
             for doc, text, runs in zip(batch.column("doc_id").to_pylist(), texts_of(batch), batch.column("runs").to_pylist(), strict=True):
                 if before == (doc, text):  # a row that repeats a doc_id
@@ -275,29 +345,46 @@ def repeat_groups(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tu
                 before = (doc, text)
                 data = text.encode("utf-8", "surrogatepass")
                 for r in runs:
-                    ids.append(doc)
-                    k.append(r["k"])
-                    start.append(r["start"])
-                    body.append(data[r["start"] : r["start"] + r["size"]])
-            yield pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(ids, pa.int64()), pa.array(start, pa.int32()), pa.array(body, pa.binary())], names=["k", "doc_id", "start", "body"])
-
-    bodies = texts.mapInArrow(fetch, "k bigint, doc_id bigint, start int, body binary")
-    dealt = bodies.repartition(partitions_for(spark), "k").sortWithinPartitions("k", "doc_id", "start")
+                    piece = data[r["start"] : r["start"] + r["size"]]
+                    if r["heavy"]:
+                        cut_ids.append(doc)
+                        cut_start.append(r["start"])
+                        cut_body.append(piece)
+                        held += len(piece)
+                    else:
+                        ids.append(doc)
+                        k.append(r["k"])
+                        start.append(r["start"])
+                        body.append(piece)
+                if held > AT_ONCE:
+                    yield pa.RecordBatch.from_arrays(strings(cut_ids, cut_start, cut_body), names=names)
+                    cut_ids, cut_start, cut_body, held = [], [], [], 0
+            if held:
+                yield pa.RecordBatch.from_arrays(strings(cut_ids, cut_start, cut_body), names=names)
+            size = pa.array([len(b) for b in body], pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(ids, pa.int64()), pa.array(start, pa.int32()), size, pa.array(body, pa.binary())], names=names)
+
+    def strings(ids: list[int], start: list[int], body: list[bytes]) -> list[pa.Array]:
+        k, doc, at, size = strings_of(np.array(ids), np.array(start), body, length)
+        return [pa.array(k), pa.array(doc, pa.int64()), pa.array(at.astype(np.int32)), pa.array(size.astype(np.int32)), pa.nulls(len(k), pa.binary())]
+
+    bodies = texts.mapInArrow(fetch, "k bigint, doc_id bigint, start int, size int, body binary")
+    dealt = bodies.repartition(partitions_for(spark), "k").sortWithinPartitions(F.col("body").isNull(), "k", "doc_id", "start")
     groups = dealt.mapInArrow(lambda batches: maximal_repeats(batches, length), GROUP)
     return met.where("k IS NULL").select("doc_id", "start", "size"), groups
 
 
-def removed_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def removed_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, heavy: int = RUNS) -> DataFrame:
     """doc_id, spans: array of (start, size) that repeat earlier bytes; documents without any are not listed."""
     known = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
-    whole, groups = repeat_groups(known, length, gram)
+    whole, groups = repeat_groups(known, length, gram, heavy)
     partly = groups.where(~F.col("first")).groupBy("doc_id", "start").agg(F.max("size").alias("size"))
     return whole.unionByName(partly).groupBy("doc_id").agg(F.collect_list(F.struct("start", "size")).alias("spans"))
 
 
-def drop_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def drop_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, heavy: int = RUNS) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (the remaining bytes) of every document."""
-    rows = docs.select("doc_id", "text").join(pin(removed_spans(docs, length, gram), "spans").hint("merge"), "doc_id", "left")
+    rows = docs.select("doc_id", "text").join(pin(removed_spans(docs, length, gram, heavy), "spans").hint("merge"), "doc_id", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -133,6 +134,26 @@ def test_repeats_match_brute_force(spark, length, gram, seed):
     assert got == brute_repeats(list(enumerate(texts)), length)
 
 
+def test_heavy_anchors_are_dealt_by_their_strings(spark):
+    rng = random.Random(6)
+    line = "".join(rng.choice("abcdefgh ") for _ in range(130))
+    noise = lambda: "".join(rng.choice("ijklmnop ") for _ in range(rng.randint(20, 90)))
+    texts = [noise() + line[rng.randint(0, 40) : rng.randint(80, 130)] + noise() for _ in range(200)]
+    texts += [noise() + texts[3] + noise(), texts[5], None]
+    ids = [*range(len(texts)), 7, 150]
+    rows = frame(spark, [*texts, texts[7], texts[150]], ids)
+    wanted = brute_repeats(list(enumerate(texts)), 40)
+    got = repeats.drop_repeats(rows, 40, 16, heavy=5).collect()
+    assert len(got) == len(ids)
+    assert all((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == wanted[r.doc_id] for r in got)
+    _, groups = repeats.repeat_groups(rows, 40, 16, heavy=5)
+    rows = groups.collect()
+    whole = {(r.k, r.group) for r in rows if r.first}
+    assert max(Counter((r.k, r.group) for r in rows if (r.k, r.group) in whole).values(), default=0) <= 5
+    k = repeats.clipped_runs([t.encode() for t in texts[:200]], 40, 16)[0]
+    assert np.unique(k, return_counts=True)[1].max() > 50  # an anchor of very many runs
+
+
 def test_repeat_groups_have_all_occurrences_and_differ_on_the_left(spark):
     passage = "the quick brown fox jumps over the lazy dog"
     texts = ["1" + passage + "2", "3" + passage + "4", "5" + passage[:30] + "6", "nothing here at all"]
