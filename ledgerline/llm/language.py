@@ -9,7 +9,7 @@ The training labels are those of documents. After half of the steps, the sentenc
 anew where their words clearly speak another language than their document, so that transitions see real switches.
 Chains are at most ``CHAIN`` words long; longer texts are several chains, none is cut off.
 
-The fit sees a bounded sample (``Limits``) of the rows that aren't held out; prediction reads every whole text and
+The fit sees a bounded sample (``Limits``), drawn per language, of the rows that aren't held out; prediction reads every whole text and
 nothing but the text. Null texts and texts without a letter are ``und`` with score 0, as is everything when no row has a
 language. Repeated rows are judged alike; an empty table gives an empty result; further columns are ignored.
 """
@@ -24,16 +24,16 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import bounded_sample, held_out, texts_of
+from ledgerline.llm.common import held_out, texts_of
 from ledgerline.llm.packing import Words, slices
 
 WORD = re.compile(r"[^\W\d_]+")
 SENTENCE = re.compile(r"(?<=[.!?\n])\s+")
 CHAIN = 64
-#: Letters of a word whose pairs and triples count, size of the table of weights, and words a task remembers.
+#: Letters of a word at most (longer runs are cut), size of the table of weights, and words a task remembers.
 LETTERS, TABLE, REMEMBERED = 24, 1 << 16, 300_000
 UNKNOWN = "und"
 
@@ -47,6 +47,14 @@ class Limits:
     lexicon: int = 20_000
 
 
+def words_of(text: str) -> list[str]:
+    """Words of a text; a run of more than ``LETTERS`` letters is several that overlap by two, so that every triple counts."""
+    found = WORD.findall(text)
+    if max(map(len, found), default=0) <= LETTERS:
+        return found
+    return [w[k : k + LETTERS] for w in found for k in range(0, max(len(w) - 2, 1), LETTERS - 2)]
+
+
 def word_features(words: list[str], lexicon: dict[str, int]) -> np.ndarray:
     """Indices of weights, one row per word; unused places point to the last weight, which stays 0."""
     n = len(words)
@@ -127,7 +135,7 @@ class Model:
                 return [UNKNOWN] * len(texts), np.zeros(len(texts))
             if len(known) > REMEMBERED:
                 known, table = Words(), table[:0]
-            split = [WORD.findall(t.lower()) for t in texts]
+            split = [words_of(t.lower()) for t in texts]
             per_text = np.array([len(x) for x in split], dtype=np.int64)
             numbers = np.fromiter(map(known.__getitem__, chain.from_iterable(split)), np.int64, int(per_text.sum()))
             new, known.pending = known.pending, []
@@ -156,7 +164,7 @@ def train(texts: list[str], langs: list[str], limits: Limits = Limits(), steps:
     for text, lang in zip(texts, langs, strict=True):
         before = len(numbers)
         for part in SENTENCE.split(text.lower()):
-            found = [known[w] for w in WORD.findall(part)]
+            found = [known[w] for w in words_of(part)]
             sentence += [len(doc_lang)] * len(found)
             doc_lang.append(names.index(lang))
             numbers += found
@@ -195,10 +203,26 @@ def train(texts: list[str], langs: list[str], limits: Limits = Limits(), steps:
     return Model(names, w.astype(np.float32), lexicon, start, move)
 
 
+def quotas(have: dict[str, int], rows: int) -> dict[str, int]:
+    """Rows to draw of each language: equal parts, where those with fewer rows leave theirs to the others; one at least."""
+    out: dict[str, int] = {}
+    for lang in sorted(have, key=lambda x: (have[x], x)):
+        out[lang] = min(have[lang], max((rows - sum(out.values())) // (len(have) - len(out)), 1))
+    return out
+
+
 def fit(docs: DataFrame, limits: Limits = Limits()) -> Model:
     """Learn from documents with a language that aren't held out."""
     usable = docs.where(~held_out("doc_id") & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= limits.characters))
-    rows = bounded_sample(usable.select("doc_id", "text", "lang"), "doc_id", limits.documents).collect()
+    have = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
+    if not have:
+        return train([], [], limits)
+    wanted, steps = quotas(have, limits.documents), 1 << 30
+    each = lambda of: F.element_at(F.create_map(*(F.lit(x) for lang in have for x in (lang, of(lang)))), F.col("lang"))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(steps))
+    near = usable.select("doc_id", "text", "lang", place.alias("place")).where(F.col("place") < each(lambda lang: min(steps, (2 * wanted[lang] + 64) * steps // have[lang] + 1)))
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy("place", "doc_id", "text"))  # over some hundred rows, cut by their hash
+    rows = near.withColumn("turn", turn).where(F.col("turn") <= each(wanted.get)).orderBy("place", "doc_id", "text").collect()
     return train([r["text"] for r in rows], [r["lang"] for r in rows], limits)
 
 

@@ -272,6 +272,25 @@ def test_code_switched_words_are_labelled_one_by_one(spark):
     assert np.allclose(share.sum(2), 1)
 
 
+def test_long_runs_count_to_their_last_letter(spark):
+    run = "".join(chr(97 + i % 26) for i in range(1_000))
+    parts = language.words_of(f"a {run} bc")
+    assert (parts[0], parts[-1]) == ("a", "bc") and max(map(len, parts)) == language.LETTERS
+    assert parts[1] + "".join(p[2:] for p in parts[2:-1]) == run
+    assert language.words_of("x" * 24) == ["x" * 24] and language.words_of("x" * 25) == ["x" * 24, "x" * 3]
+    model = language.fit(language_frame(spark), language.Limits(documents=80))
+    texts = ["".join(LANGS["de"][:4]) + "".join(LANGS["en"] * 30)]  # begins in German, goes on in English
+    names, _ = model.predictor()(texts)
+    assert names == ["en"]
+
+
+def test_rare_languages_are_learned(spark):
+    assert language.quotas({"a": 5, "b": 10_000, "c": 400}, 1_200) == {"a": 5, "c": 400, "b": 795}
+    rows = [(i, " ".join(LANGS["en"]), "en") for i in range(3_000)] + [(i, " ".join(LANGS["de"]), "de") for i in range(3_000, 3_003)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), language.Limits(documents=40))
+    assert model.languages == ("de", "en")
+
+
 def test_forward_backward_matches_enumeration():
     import itertools
 
