@@ -1,13 +1,13 @@
-"""Similarity join of documents on the Jaccard index of their word five-grams, through a MinHash LSH forest.
+"""Similarity join of documents on the Jaccard index of their word five-grams, through MinHash banding.
 
 Words are runs of characters without ASCII white space, in lower case. A text of five words or more has all its runs of
 five words as shingles, a shorter one has all its words as its only shingle, one without words has none and links with
 nothing. Shingles are compared by 64-bit hashes.
 
 1. Texts are grouped by their SHA-256, and one row per distinct text (the smallest doc_id, how many rows) goes on.
-2. A tree of the forest sorts the texts by a sequence of minimum hashes; texts below one node share a prefix. Beginning
-   with the longest, prefixes are shortened until a pair at the threshold shares one in some tree with the wanted
-   probability. Nodes of one text are left out; within the others, pairs whose signatures make the threshold
+2. Each tree is a band: a prefix of a sequence of minimum hashes, of one length for all texts and trees. It is the
+   longest at which a pair at the threshold shares one in some tree with the wanted probability, by formula; no sorted
+   forest is built. Bands of one text are left out; within the others, pairs whose signatures make the threshold
    implausible are dismissed, and of the rest as many are passed on as connect the same texts (``blocks``).
 3. What these connect is a candidate group, whose texts meet once more with all their shingles. All pairs of a group are
    verified exactly, in blocks; what comes out is links per text and connecting pairs, never a row per pair.
