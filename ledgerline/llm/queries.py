@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import embeddings, exact, html_text, jaccard, language, mixing, packing, repeats, toxicity, urls
+from ledgerline.llm import alignment, embeddings, exact, html_text, jaccard, language, mixing, negatives, packing, quality, repeats, toxicity, urls
 from ledgerline.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -218,6 +218,77 @@ FROM embeddings JOIN component USING (vec_id) LEFT JOIN degree USING (vec_id)
 """
 
 
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    label = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return negatives.mine(table(spark, sf_dir, "embeddings"), vec_id % 100 == 0, label)
+
+
+SQL["op11_hard_negatives"] = """
+WITH r AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda e: floor(256 * e::DOUBLE)) AS q
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+), s AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, list_dot_product(a.q, r.q)::BIGINT AS score
+  FROM r a JOIN r ON a.vec_id <> r.vec_id AND len(a.q) = len(r.q) WHERE a.vec_id % 100 = 0
+), p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER first AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW first AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) QUALIFY rank <= 10
+"""
+
+
+@query
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = table(spark, sf_dir, "labels").where("quality = 1")
+    return quality.filter_quality(table(spark, sf_dir, "documents"), trusted)
+
+
+SQL["op12_quality"] = r"""
+WITH d AS MATERIALIZED (
+  SELECT doc_id, coalesce(text, '') AS body, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents
+), lines AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM (SELECT doc_id, unnest(string_split(body, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id
+), placed AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM d
+), triples AS (
+  SELECT doc_id, i, lead(word, 2) OVER (PARTITION BY doc_id ORDER BY i) AS third, concat_ws(' ', word, lead(word) OVER (PARTITION BY doc_id ORDER BY i), lead(word, 2) OVER (PARTITION BY doc_id ORDER BY i)) AS w FROM placed
+), twice AS (SELECT doc_id, i FROM triples WHERE third IS NOT NULL QUALIFY count(*) OVER (PARTITION BY doc_id, w) > 1
+), repeated AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM twice, (VALUES (0), (1), (2)) o(k) GROUP BY doc_id
+), plain AS (
+  SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(list_sum(list_transform(words, lambda w: length(w))), 0)::BIGINT AS word_chars,
+         (length(body) - length(regexp_replace(body, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+         coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+  FROM d LEFT JOIN lines USING (doc_id) LEFT JOIN repeated USING (doc_id)
+), chars AS (
+  SELECT doc_id, unicode(c) AS c, i FROM (
+    SELECT doc_id, unnest(cs) AS c, generate_subscripts(cs, 1) AS i FROM (SELECT doc_id, regexp_extract_all(' ' || array_to_string(words, ' ') || ' ', '(?s).') AS cs FROM d WHERE len(words) > 0))
+), spun AS (SELECT doc_id, c::BIGINT AS c, lead(c) OVER w AS d, lead(c, 2) OVER w AS e FROM chars WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+), grams AS MATERIALIZED (
+  SELECT doc_id, ((c * 31337 + d) * 31337 + e) % 2147483647 % 65536 AS bucket, count(*) AS n FROM spun WHERE e IS NOT NULL GROUP BY ALL
+), counts AS (
+  SELECT bucket, sum(n)::DOUBLE AS raw, coalesce(sum(n) FILTER (doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)), 0)::DOUBLE AS trusted FROM grams GROUP BY bucket
+), total AS (SELECT sum(raw) AS raw, sum(trusted) AS trusted FROM counts
+), ratio AS (
+  SELECT bucket, CASE WHEN total.trusted = 0 THEN 0
+    ELSE ln((counts.trusted + 0.5) / (total.trusted + 32768)) - ln((counts.raw + 0.5) / (total.raw + 32768)) END AS r FROM counts, total
+), scored AS (SELECT doc_id, round(sum(n * r) / sum(n), 6) AS score FROM grams JOIN ratio USING (bucket) GROUP BY doc_id
+), told AS (
+  SELECT plain.*, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, coalesce(score, 0) AS score FROM plain LEFT JOIN scored USING (doc_id)
+)
+SELECT *, NOT base_failed AND score >= -0.693147 AS kept FROM told
+"""
+
+
+@query
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_tokens(table(spark, sf_dir, "documents"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline

@@ -10,12 +10,12 @@ import __spark_entry__ as entry
 from run_checks import rows_of
 
 DATA = "/root/testdata/sf0.001"
-TWINS = ["op1_mixing", "op4_exact_dedup", "op5_url_filter", "op8_jaccard_join", "op10_embedding_dedup"]
+TWINS = ["op1_mixing", "op4_exact_dedup", "op5_url_filter", "op8_jaccard_join", "op10_embedding_dedup", "op11_hard_negatives", "op12_quality"]
 
 
 def test_every_operator_is_registered_once():
     names = entry.queries()
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13
     assert "pipeline" in names and set(TWINS) <= set(entry.oracle_sql())
 
 
