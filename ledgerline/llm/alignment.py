@@ -36,17 +36,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import partitions_for, texts_of
-from ledgerline.llm.packing import slices
+from ledgerline.llm.packing import Words, slices
 from ledgerline.session import pin
 
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Characters that the tokenizers take as white space, and the piece model's own sign for a space.
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SIGN = "▁"
+SPACES = {chr(c) for c in range(0x3001) if re.match(f"[{WHITE}]", chr(c))}
 UNIT = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 INNER = re.compile(f"[^{WHITE}{SIGN}]([{WHITE}{SIGN}])")
 #: Characters of the units that a worker remembers; pairs that it counts before it adds them up.
-REMEMBERED, COUNTED = 8_000_000, 4_000_000
+REMEMBERED, COUNTED = 6_000_000, 1_000_000
+#: Units that are tokenised in one line, and the word that stands before a line which doesn't begin with a space.
+LINE, DROPPED = 100, b" a"
 
 
 def byte_letters() -> dict[str, int]:
@@ -56,21 +59,13 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
-class Aligned(NamedTuple):
-    """Tokens of many units on one line of bytes: where they end, and the numbers of the tokens that meet."""
+class Read(NamedTuple):
+    """Tokens of a line: ids of A, their character offsets, ids of B, their ends in bytes."""
 
-    a_ids: np.ndarray
-    b_ids: np.ndarray
-    a_ends: np.ndarray
-    b_ends: np.ndarray
-    cuts: np.ndarray
-    a_at: np.ndarray
-    b_at: np.ndarray
-
-
-def align(a_ids: np.ndarray, a_ends: np.ndarray, b_ids: np.ndarray, b_ends: np.ndarray) -> Aligned:
-    cuts = np.union1d(a_ends, b_ends)
-    return Aligned(a_ids, b_ids, a_ends, b_ends, cuts, np.searchsorted(a_ends, cuts), np.searchsorted(b_ends, cuts))
+    a_ids: list[int]
+    offsets: list[tuple[int, int]]
+    b_ids: list[int]
+    b_ends: list[int]
 
 
 def refined(spans: np.ndarray, widths: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -84,7 +79,7 @@ def refined(spans: np.ndarray, widths: np.ndarray, starts: np.ndarray) -> np.nda
 class Tokens:
     """Both tokenizers, and the units that were aligned so far."""
 
-    def __init__(self, a_path: str | None, b_path: str | None):
+    def __init__(self, a_path: str | None = None, b_path: str | None = None, with_texts: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
         from tokenizers import Tokenizer
@@ -109,16 +104,16 @@ class Tokens:
         # White space within a piece after something else: units can't be cut before it.
         inner = {c for k, p in enumerate(pieces) if not self.b.is_byte(k) for c in INNER.findall(p)}
         self.whole = re.compile("[" + "".join(map(re.escape, {SIGN, *inner})) + "]") if SIGN not in inner and " " not in inner else re.compile("")
+        self.with_texts = with_texts
         self.forget()
 
     def forget(self) -> None:
-        self.units: dict[str, int] = {}
+        self.units = Words()
         self.size = 0
-        self.pending: list[str] = []
         self.fragments: list[str] = []
         self.bad = np.zeros(0, bool)
-        self.numbers = np.zeros((3, 0), np.int64)  # tokens of A, tokens of B, groups
-        self.pairs, self.starts = np.zeros(0, np.int64), np.zeros(1, np.int64)
+        self.numbers = np.zeros((4, 0), np.int64)  # tokens of A, tokens of B, groups, links
+        self.pairs, self.starts = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def units_of(self, text: str) -> list[str]:
         if not text:
@@ -126,101 +121,119 @@ class Tokens:
         line = " " + text
         return [line] if self.whole.search(line) else UNIT.findall(line)
 
-    def number(self, unit: str) -> int:
-        k = self.units[unit] = len(self.units)
-        self.pending.append(unit)
-        return k
-
-    def pieces_of(self, units: list[str]) -> list[list[tuple[int, int]]]:
-        """(id, end) of B's pieces, the ends in bytes of the unit."""
-        spaced = [u[0] == " " and len(u) > 1 for u in units]
-        # B adds the space; a unit that begins otherwise, or is a space alone, stands behind a letter, which is dropped.
-        protos = self.b.encode([u[1:] if s else "a" + u for u, s in zip(units, spaced, strict=True)], return_type="proto", num_threads=1)
-        out = []
-        for proto, s in zip(protos, spaced, strict=True):
-            out.append([(p.id, p.end + 1) for p in proto.pieces] if s else [(p.id, p.end - 1) for p in proto.pieces[1:]])
-        return out
+    def tokenised(self, line: str, proto: Any, encoding: Any, drop: int) -> Read | None:
+        """Tokens of a line behind its first ``drop`` bytes, one token of each; None where the joined bytes differ."""
+        first, shift = (1, -1) if drop else (0, 1)
+        a_ids, b = encoding.ids, [(p.id, p.end) for p in proto.pieces][first:]
+        raw = line.encode()
+        if b"".join([self.a_bytes[k] for k in a_ids]) != DROPPED * bool(drop) + raw or b"".join([self.b_bytes[k] for k, _ in b]) != raw:
+            return None
+        return Read(a_ids[first:], encoding.offsets[first:], [k for k, _ in b], [e + shift for _, e in b])
+
+    def read_lines(self, lines: list[str]) -> list[Read | None]:
+        """Both tokenizers on lines that begin with white space.
+
+        B adds a space to what it reads. A line that begins with a space and has more is read without that space; the
+        others stand behind a word of one letter, whose token is dropped.
+        """
+        spaced = [x[0] == " " and len(x) > 1 for x in lines]
+        asked = [x if s else DROPPED.decode() + x for x, s in zip(lines, spaced, strict=True)]
+        encodings = self.a.encode_batch(asked, add_special_tokens=False)
+        protos = self.b.encode([x[1:] for x in asked], return_type="proto", num_threads=1)
+        return [self.tokenised(x, p, e, 0 if s else len(DROPPED)) for x, p, e, s in zip(lines, protos, encodings, spaced, strict=True)]
 
     def learn(self) -> None:
-        """Tokenise and align what is pending."""
-        units, self.pending = self.pending, []
+        """Tokenise and align what is pending: many units in a line, and one by one where a line can't hold them."""
+        units, self.units.pending = self.units.pending, []
         if not units:
             return
-        raw = [u.encode() for u in units]
-        encodings = self.a.encode_batch(units, add_special_tokens=False)
-        a_lists, pieces = [e.ids for e in encodings], self.pieces_of(units)
-        same = lambda table, ids, want: b"".join([table[k] for k in ids]) == want
-        good = [same(self.a_bytes, x, r) and same(self.b_bytes, [k for k, _ in y], r) for x, y, r in zip(a_lists, pieces, raw, strict=True)]
-        at = np.cumsum([0, *(len(r) if g else 0 for r, g in zip(raw, good, strict=True))])
-        kept = [k for k, g in enumerate(good) if g]
-
-        def flat(lists: list[Any]) -> np.ndarray:
+        alone = [k for k, u in enumerate(units) if u[-1] in SPACES or self.whole.search(u)]
+        apart = set(alone)
+        joined = [k for k in range(len(units)) if k not in apart] if alone else list(range(len(units)))
+        joined = [joined[k : k + LINE] for k in range(0, len(joined), LINE)]
+        found = self.read_lines(["".join([units[k] for k in line]) for line in joined])
+        alone += [k for line, got in zip(joined, found, strict=True) if got is None for k in line]
+        held = [(line, got) for line, got in zip(joined, found, strict=True) if got is not None]
+        held += [([k], got) for k, got in zip(alone, self.read_lines([units[k] for k in alone]), strict=True) if got is not None]
+        n_old, n_new = len(self.bad), len(units)
+        bad = np.ones(n_new, bool)
+        order = np.array([k for line, _ in held for k in line], np.int64)
+        bad[order] = False
+        numbers, starts = np.zeros((4, n_new), np.int64), np.zeros(n_new, np.int64)
+        self.fragments += [""] * n_new
+        if held:
+            at = np.cumsum([len(units[k].encode()) for k in order.tolist()])
+            a_ids, b_ids, a_ends, b_ends = self.ends([got for _, got in held], ["".join([units[k] for k in line]) for line, _ in held])
+            both = np.sort(np.concatenate([a_ends, b_ends]), kind="stable")
+            again = both[1:] == both[:-1]
+            cuts, shared = both[np.append(~again, True)], both[1:][again]
+            # Tokens, groups and links belong to the unit whose bytes they lie in.
+            owned = [np.bincount(np.searchsorted(at, ends), minlength=len(order)) for ends in (a_ends, b_ends, shared, cuts)]
+            numbers[:, order] = owned
+            starts[order] = len(self.pairs) + np.cumsum(owned[3]) - owned[3]
+            # Each stretch between cuts lies in one token of A and one of B.
+            links = a_ids[np.searchsorted(a_ends, cuts)] << self.shift | b_ids[np.searchsorted(b_ends, cuts)]
+            self.pairs = np.concatenate([self.pairs, links])
+            if self.with_texts:
+                texts = texts_of_groups(a_ids, a_ends, b_ids, b_ends, shared, owned[2])
+                for k, text in zip(order.tolist(), texts, strict=True):
+                    self.fragments[n_old + k] = text
+        self.bad, self.numbers, self.starts = np.concatenate([self.bad, bad]), np.concatenate([self.numbers, numbers], axis=1), np.concatenate([self.starts, starts])
+        self.size += sum(map(len, units))
+
+    def ends(self, held: list[Read], lines: list[str]) -> tuple[np.ndarray, ...]:
+        """Ids of A and B and the ends of their tokens, all lines in one row of bytes."""
+
+        def flat(lists: list[list[int]]) -> np.ndarray:
             return np.fromiter(chain.from_iterable(lists), np.int64)
 
-        a_ids = flat([a_lists[k] for k in kept])
-        n_a = np.array([len(a_lists[k]) if g else 0 for k, g in enumerate(good)], np.int64)
-        n_b = np.array([len(pieces[k]) if g else 0 for k, g in enumerate(good)], np.int64)
-        b_ids = flat([[i for i, _ in pieces[k]] for k in kept])
-        # Character offsets of A to bytes, all units on one line.
-        points = np.frombuffer("".join(units[k] for k in kept).encode("utf-32-le"), "<u4")
+        a_ids, b_ids = flat([x.a_ids for x in held]), flat([x.b_ids for x in held])
+        # Character offsets of A to bytes; a line that stood behind a word is shorter by it.
+        points = np.frombuffer("".join(lines).encode("utf-32-le"), "<u4")
         byte_at = np.concatenate([[0], np.cumsum(1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000))])
-        char_at = np.cumsum([0, *(len(units[k]) for k in kept)])[:-1]
-        a_spans = byte_at[np.repeat(char_at, n_a[kept]) + flat([[e for _, e in encodings[k].offsets] for k in kept])]
-        b_spans = np.repeat(at[:-1][kept], n_b[kept]) + flat([[e for _, e in pieces[k]] for k in kept])
-        a_w, b_w = self.a_width[a_ids], self.b_width[b_ids]
-        a_ends = refined(a_spans, a_w, np.cumsum(a_w) - a_w)
-        b_ends = refined(b_spans, b_w, np.cumsum(b_w) - b_w)
-        found = align(a_ids, a_ends, b_ids, b_ends)
-        # Links and groups belong to the unit whose bytes they lie in.
-        links = np.bincount(np.searchsorted(at[1:], found.cuts), minlength=len(units))
-        shared = np.intersect1d(a_ends, b_ends)
-        groups = np.bincount(np.searchsorted(at[1:], shared), minlength=len(units))
-        self.fragments += self.texts_of_groups(found, shared, groups)
-        self.bad = np.concatenate([self.bad, ~np.array(good, bool)])
-        self.numbers = np.concatenate([self.numbers, np.stack([n_a, n_b, groups])], axis=1)
-        self.pairs = np.concatenate([self.pairs, a_ids[found.a_at] << self.shift | b_ids[found.b_at]])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(links)])
-        self.size += sum(map(len, units))
-
-    @staticmethod
-    def texts_of_groups(found: Aligned, shared: np.ndarray, groups: np.ndarray) -> list[str]:
-        """``a1,a2|b1;a3|b2`` for each unit."""
-        a, b = list(map(str, found.a_ids.tolist())), list(map(str, found.b_ids.tolist()))
-        a_to, b_to = (np.searchsorted(ends, shared, side="right").tolist() for ends in (found.a_ends, found.b_ends))
-        texts, i, j = [], 0, 0
-        for x, y in zip(a_to, b_to, strict=True):
-            texts.append(f"{a[i]}|{b[j]}" if x == i + 1 and y == j + 1 else ",".join(a[i:x]) + "|" + ",".join(b[j:y]))
-            i, j = x, y
-        out, low = [], 0
-        for n in groups.tolist():
-            out.append(";".join(texts[low : low + n]))
-            low += n
-        return out
+        chars = np.cumsum([0, *map(len, lines)])
+        begin = [c - (len(DROPPED) if x.offsets and x.offsets[0][0] >= len(DROPPED) else 0) for c, x in zip(chars[:-1].tolist(), held, strict=True)]
+        spans = flat([[y for _, y in x.offsets] for x in held]) + np.repeat(begin, [len(x.a_ids) for x in held])
+        b_spans = flat([x.b_ends for x in held]) + np.repeat(byte_at[chars[:-1]], [len(x.b_ids) for x in held])
+        a_wide, b_wide = self.a_width[a_ids], self.b_width[b_ids]
+        return a_ids, b_ids, refined(byte_at[spans], a_wide, np.cumsum(a_wide) - a_wide), refined(b_spans, b_wide, np.cumsum(b_wide) - b_wide)
 
     def read(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the units of all texts, one text after the other, and where each text begins (one entry more)."""
         if self.size > REMEMBERED:
             self.forget()
-        known, out, at = self.units, [], [0]
-        for text in texts:
-            for unit in self.units_of(text):
-                k = known.get(unit)
-                out.append(self.number(unit) if k is None else k)
-            at.append(len(out))
+        split = list(map(self.units_of, texts))
+        at = np.concatenate([[0], np.cumsum([len(x) for x in split], dtype=np.int64)])
+        numbers = np.fromiter(map(self.units.__getitem__, chain.from_iterable(split)), np.int64, int(at[-1]))
         self.learn()
-        return np.array(out, np.int64), np.array(at, np.int64)
+        return numbers, at
 
     def spread(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pairs of the given units, one unit after the other, and how many each has."""
-        n = self.starts[units + 1] - self.starts[units]
+        n = self.numbers[3, units]
         first = np.repeat(self.starts[units] - (np.cumsum(n) - n), n)
         return self.pairs[first + np.arange(n.sum())], n
 
 
+def texts_of_groups(a_ids: np.ndarray, a_ends: np.ndarray, b_ids: np.ndarray, b_ends: np.ndarray, shared: np.ndarray, groups: np.ndarray) -> list[str]:
+    """``a1,a2|b1;a3|b2`` for each unit; ``groups`` has how many groups each has."""
+    a, b = list(map(str, a_ids.tolist())), list(map(str, b_ids.tolist()))
+    a_to, b_to = (np.searchsorted(ends, shared, side="right").tolist() for ends in (a_ends, b_ends))
+    texts, i, j = [], 0, 0
+    for x, y in zip(a_to, b_to, strict=True):
+        texts.append(f"{a[i]}|{b[j]}" if x == i + 1 and y == j + 1 else ",".join(a[i:x]) + "|" + ",".join(b[j:y]))
+        i, j = x, y
+    out, low = [], 0
+    for n in groups.tolist():
+        out.append(texts[low] if n == 1 else ";".join(texts[low : low + n]))
+        low += n
+    return out
+
+
 @lru_cache(maxsize=1)
-def tokens_of(a_path: str | None, b_path: str | None) -> Tokens:
+def tokens_of(a_path: str | None, b_path: str | None, with_texts: bool) -> Tokens:
     """One per worker, so that the units of one task serve the next."""
-    return Tokens(a_path, b_path)
+    return Tokens(a_path, b_path, with_texts)
 
 
 def sums(values: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -247,7 +260,7 @@ def pair_counts(docs: DataFrame, groups: int, a_path: str | None, b_path: str |
     """Rows (g, a, b, n): documents of the group that hold the pair linked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = tokens_of(a_path, b_path)
+        tokens = tokens_of(a_path, b_path, False)
         counted: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
 
         def total(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -299,7 +312,7 @@ def align_tokens(docs: DataFrame, a_path: str | None = None, b_path: str | None
     texts = dealt(docs, groups).withColumns({"a": F.lit(None).cast("int"), "b": F.lit(None).cast("int"), "count": F.lit(None).cast("bigint"), "best": F.lit(None).cast("boolean"), "kind": F.lit(1)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = tokens_of(a_path, b_path)
+        tokens = tokens_of(a_path, b_path, True)
         loaded: list[pa.RecordBatch] = []
         codes = count = top = np.zeros(0, np.int64)
         for batch in batches:
@@ -323,7 +336,7 @@ def align_tokens(docs: DataFrame, a_path: str | None = None, b_path: str | None
                 pairs, n = tokens.spread(seen)
                 where = np.searchsorted(codes, pairs)
                 edge = np.concatenate([[0], np.cumsum(n)])
-                of_unit = [*tokens.numbers[:, seen], n, sums(top[where], edge), sums(count[where], edge)]
+                of_unit = [*tokens.numbers[:, seen], sums(top[where], edge), sums(count[where], edge)]
                 fragments = tokens.fragments
                 listed = numbers.tolist()
                 digests = [hashlib.sha256(";".join([fragments[k] for k in listed[lo:hi]]).encode()).hexdigest() if hi > lo else "" for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]

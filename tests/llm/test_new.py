@@ -164,7 +164,7 @@ def test_quality_without_trusted_or_without_rows(spark, written):
 
 @pytest.fixture(scope="module")
 def tokens():
-    return alignment.Tokens(None, None)
+    return alignment.Tokens()
 
 
 def plain_alignment(rows, tokens):
@@ -232,7 +232,7 @@ def test_spans_and_decoded_bytes_agree(tokens):
 
 def test_remembered_units_are_forgotten(spark, tokens, monkeypatch):
     monkeypatch.setattr(alignment, "REMEMBERED", 50)
-    own = alignment.Tokens(None, None)
+    own = alignment.Tokens()
     for text in ("some words to remember " * 5, "others that follow them", "some words again"):
         numbers, at = own.read([text, "", text])
         assert at[1] == at[2] and (numbers[: at[1]] == numbers[at[2] :]).all()
