@@ -8,7 +8,8 @@ document is judged alike by a fixed threshold, -ln 2: on average its n-grams are
 texts as in the corpus. Nothing is drawn at random, so a text always gets the same verdict.
 
 Counts per bucket are the only thing that reaches the driver, 65,536 pairs at most whatever the corpus. Texts are read
-twice: once beside the trusted ids, once to be scored where they lie.
+twice: once beside the trusted ids (both sorted by id, however few are trusted: their number follows the corpus), once to
+be scored where they lie.
 
 Null and empty texts have no words, score 0 and fail the plain rules. Without trusted documents every score is 0 and only
 the plain rules decide. Very long texts are read in stretches. Rows that repeat a doc_id are documents of their own; a
@@ -73,7 +74,7 @@ def plain_counts(text: str) -> tuple[list[bytes], tuple[int, ...]]:
 def bucket_counts(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """Rows (bucket, raw, trusted): n-grams of all documents, and of those whose doc_id is in ``trusted``."""
     mark = trusted.select("doc_id").where("doc_id IS NOT NULL").distinct().withColumn("_trusted", F.lit(True))
-    marked = docs.select("doc_id", "text").where("text IS NOT NULL").join(mark, "doc_id", "left").select("text", "_trusted")
+    marked = docs.select("doc_id", "text").where("text IS NOT NULL").join(mark.hint("merge"), "doc_id", "left").select("text", "_trusted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, BUCKETS), np.int64)
