@@ -12,8 +12,10 @@ cases; characters like the carriage return, which some piece has within it, make
 is cut there into units, and each distinct unit is tokenised and aligned once for as long as a worker remembers it.
 
 A pair's count is the number of documents that hold it linked. Documents are dealt into as many groups as the shuffle has
-partitions. A first pass counts the pairs per group; totals go back to the groups that hold a pair, so that each task of
-the second pass gets the counts of its own pairs only and no table of all pairs is sent to everyone.
+partitions. The first pass reads the texts of a group and writes three things: its pairs and in how many documents they
+are, its units with their pairs, and its documents as lists of units. Totals go back to the groups that hold a pair, so
+that each task of the second pass gets the counts of its own pairs only: it sums them per unit and per document, without
+the texts, and no table of all pairs is sent to everyone.
 
 Texts that are null or empty, or whose joined bytes of A or B differ from space+text (such as those with U+2581), have no
 tokens: zeros and ''. Rows that repeat a doc_id are documents of their own. Equal counts are all best. Very long texts are
@@ -27,7 +29,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, pairwise
 from typing import Any, NamedTuple
 
 import numpy as np
@@ -79,7 +81,7 @@ def refined(spans: np.ndarray, widths: np.ndarray, starts: np.ndarray) -> np.nda
 class Tokens:
     """Both tokenizers, and the units that were aligned so far."""
 
-    def __init__(self, a_path: str | None = None, b_path: str | None = None, with_texts: bool = True):
+    def __init__(self, a_path: str | None = None, b_path: str | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
         from tokenizers import Tokenizer
@@ -104,11 +106,13 @@ class Tokens:
         # White space within a piece after something else: units can't be cut before it.
         inner = {c for k, p in enumerate(pieces) if not self.b.is_byte(k) for c in INNER.findall(p)}
         self.whole = re.compile("[" + "".join(map(re.escape, {SIGN, *inner})) + "]") if SIGN not in inner and " " not in inner else re.compile("")
-        self.with_texts = with_texts
+        self.code_bits = self.shift + len(self.a_bytes).bit_length()
+        self.generation = 0
         self.forget()
 
     def forget(self) -> None:
         self.units = Words()
+        self.generation += 1
         self.size = 0
         self.fragments: list[str] = []
         self.bad = np.zeros(0, bool)
@@ -174,10 +178,8 @@ class Tokens:
             # Each stretch between cuts lies in one token of A and one of B.
             links = a_ids[np.searchsorted(a_ends, cuts)] << self.shift | b_ids[np.searchsorted(b_ends, cuts)]
             self.pairs = np.concatenate([self.pairs, links])
-            if self.with_texts:
-                texts = texts_of_groups(a_ids, a_ends, b_ids, b_ends, shared, owned[2])
-                for k, text in zip(order.tolist(), texts, strict=True):
-                    self.fragments[n_old + k] = text
+            for k, text in zip(order.tolist(), texts_of_groups(a_ids, a_ends, b_ids, b_ends, shared, owned[2]), strict=True):
+                self.fragments[n_old + k] = text
         self.bad, self.numbers, self.starts = np.concatenate([self.bad, bad]), np.concatenate([self.numbers, numbers], axis=1), np.concatenate([self.starts, starts])
         self.size += sum(map(len, units))
 
@@ -231,9 +233,9 @@ def texts_of_groups(a_ids: np.ndarray, a_ends: np.ndarray, b_ids: np.ndarray, b_
 
 
 @lru_cache(maxsize=1)
-def tokens_of(a_path: str | None, b_path: str | None, with_texts: bool) -> Tokens:
+def tokens_of(a_path: str | None, b_path: str | None) -> Tokens:
     """One per worker, so that the units of one task serve the next."""
-    return Tokens(a_path, b_path, with_texts)
+    return Tokens(a_path, b_path)
 
 
 def sums(values: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -256,45 +258,119 @@ def dealt(docs: DataFrame, groups: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)).cast("int").alias("g"))
 
 
-def pair_counts(docs: DataFrame, groups: int, a_path: str | None, b_path: str | None) -> DataFrame:
-    """Rows (g, a, b, n): documents of the group that hold the pair linked."""
+KINDS = {"int": pa.int32(), "bigint": pa.int64(), "boolean": pa.bool_(), "string": pa.string(), "binary": pa.binary()}
+ALIGNED = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string"
+#: What the first pass writes, by kind: 0 pairs of a group and in how many of its documents; 1 units, numbered from
+#: ``first``, with the sizes (body) and codes of their pairs; 2 documents with the numbers of their units (body).
+READ = "g int, kind int, first bigint, a int, b int, n bigint, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, body binary, codes binary"
+
+
+def rows_of(schema: str, rows: int, /, **given: Any) -> pa.RecordBatch:
+    """So many rows of the schema; columns that aren't given are null."""
+    names, kinds = zip(*(c.split() for c in schema.split(", ")), strict=True)
+    arrays = [pa.array(given[c], KINDS[k]) if c in given else pa.nulls(rows, KINDS[k]) for c, k in zip(names, kinds, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, names=names)
+
+
+class Group:
+    """What the first pass knows of one group: numbers of its own for the units, and counts of pairs."""
+
+    def __init__(self, g: int):
+        self.g, self.next = g, 0
+        self.generation, self.own = -1, np.zeros(0, np.int64)
+        self.counted: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def read(self, tokens: Tokens, doc_ids: list[int | None], texts: list[str]) -> Iterator[pa.RecordBatch]:
+        numbers, at = without_bad(tokens, *tokens.read(texts))
+        if self.generation != tokens.generation:  # forgotten units get another number when they are met again
+            self.generation, self.own = tokens.generation, np.zeros(0, np.int64)
+        self.own = np.concatenate([self.own, np.full(len(tokens.units) - len(self.own), -1)])
+        owner = np.repeat(np.arange(len(at) - 1), np.diff(at))
+        once = np.unique(owner * max(len(tokens.units), 1) + numbers)  # each unit once per document
+        doc, unit = np.divmod(once, max(len(tokens.units), 1))
+        seen = np.unique(unit)
+        new = seen[self.own[seen] < 0]
+        self.own[new] = self.next + np.arange(len(new))
+        if len(new):
+            codes, sizes = tokens.spread(new)
+            yield rows_of(READ, 1, g=[self.g], kind=[1], first=[self.next], body=[sizes.astype("<i4").tobytes()], codes=[codes.astype("<i8").tobytes()])
+            self.next += len(new)
+        self.count(tokens, doc, unit)
+        fragments, listed, edges = tokens.fragments, numbers.tolist(), at.tolist()
+        digests = [hashlib.sha256(";".join([fragments[k] for k in listed[lo:hi]]).encode()).hexdigest() if hi > lo else "" for lo, hi in pairwise(edges)]
+        own = self.own[numbers].astype("<i4")
+        sizes = dict(zip(("n_a", "n_b", "n_groups", "n_links"), (sums(x[numbers], at) for x in tokens.numbers), strict=True))
+        n = len(texts)
+        yield rows_of(READ, n, g=[self.g] * n, kind=[2] * n, first=[0] * n, doc_id=doc_ids, groups_sha256=digests, body=[own[lo:hi].tobytes() for lo, hi in pairwise(edges)], **sizes)
+
+    def count(self, tokens: Tokens, doc: np.ndarray, unit: np.ndarray) -> None:
+        pairs, n = tokens.spread(unit)
+        held = np.sort(np.repeat(doc, n) << tokens.code_bits | pairs)
+        held = held[np.append(True, held[1:] != held[:-1])[: len(held)]] & ((1 << tokens.code_bits) - 1)
+        self.counted.append(np.unique(held, return_counts=True))
+        if sum(len(c) for c, _ in self.counted) > COUNTED + 2 * len(self.counted[0][0]):
+            self.counted = [self.total()]
+
+    def total(self) -> tuple[np.ndarray, np.ndarray]:
+        codes, inverse = np.unique(np.concatenate([c for c, _ in self.counted]), return_inverse=True)
+        return codes, np.bincount(inverse, np.concatenate([n for _, n in self.counted]), len(codes)).astype(np.int64)
+
+    def pairs(self, shift: int) -> Iterator[pa.RecordBatch]:
+        codes, counts = self.total()
+        for low in range(0, len(codes), 50_000):
+            c, n = codes[low : low + 50_000], counts[low : low + 50_000]
+            yield rows_of(READ, len(c), g=np.full(len(c), self.g), kind=np.zeros(len(c), np.int32), a=c >> shift, b=c & ((1 << shift) - 1), n=n)
+
+
+def read_groups(docs: DataFrame, groups: int, a_path: str | None, b_path: str | None) -> DataFrame:
+    """The first pass: both tokenizers on every document, group by group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = tokens_of(a_path, b_path, False)
-        counted: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
-
-        def total(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-            codes, inverse = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
-            return codes, np.bincount(inverse, np.concatenate([n for _, n in parts]), len(codes)).astype(np.int64)
-
+        tokens = tokens_of(a_path, b_path)
+        states: dict[int, Group] = {}
         for batch in batches:
-            own, texts = batch.column("g").to_numpy(), texts_of(batch)
+            own, ids, texts = batch.column("g").to_numpy(), batch.column("doc_id").to_pylist(), texts_of(batch)
             for g in np.unique(own).tolist():
-                mine = [texts[k] for k in np.flatnonzero(own == g)]
-                for part in slices(mine):
-                    numbers, at = without_bad(tokens, *tokens.read(mine[part]))
-                    if not len(numbers):
-                        continue
-                    owner = np.repeat(np.arange(len(at) - 1), np.diff(at))
-                    once = np.unique(owner * len(tokens.units) + numbers)  # each unit once per document
-                    pairs, n = tokens.spread(once % len(tokens.units))
-                    low = tokens.shift + len(tokens.a_bytes).bit_length()
-                    held = np.unique(np.repeat(once // len(tokens.units), n) << low | pairs) & ((1 << low) - 1)
-                    parts = counted.setdefault(g, [])
-                    parts.append(np.unique(held, return_counts=True))
-                    if sum(len(c) for c, _ in parts) > COUNTED + 2 * len(parts[0][0]):
-                        counted[g] = [total(parts)]
-        for g, parts in counted.items():
-            codes, n = total(parts)
-            for low in range(0, len(codes), 50_000):
-                part = codes[low : low + 50_000]
-                columns = [pa.array(np.full(len(part), g), pa.int32()), *(pa.array(c, pa.int32()) for c in (part >> tokens.shift, part & ((1 << tokens.shift) - 1)))]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(n[low : low + 50_000], pa.int64())], names=["g", "a", "b", "n"])
-
-    return dealt(docs, groups).repartitionById(groups, F.col("g")).mapInArrow(run, "g int, a int, b int, n bigint")
-
-
-ALIGNED = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string"
+                mine = np.flatnonzero(own == g).tolist()
+                group = states.setdefault(g, Group(g))
+                for part in slices([texts[k] for k in mine]):
+                    yield from group.read(tokens, [ids[k] for k in mine[part]], [texts[k] for k in mine[part]])
+        for group in states.values():
+            yield from group.pairs(tokens.shift)
+
+    return dealt(docs, groups).repartitionById(groups, F.col("g")).mapInArrow(run, READ)
+
+
+def counted(batches: Iterator[pa.RecordBatch], shift: int) -> Iterator[pa.RecordBatch]:
+    """The second pass over rows sorted by group, kind and number: sums of the units' pairs, then of the documents' units."""
+    at = None
+    for batch in batches:
+        marks = np.stack([batch.column(c).to_numpy() for c in ("g", "kind")])
+        edges = [0, *(np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(0)) + 1).tolist(), batch.num_rows]
+        for low, high in pairwise(edges):
+            part, (g, kind) = batch.slice(low, high - low), marks[:, low].tolist()
+            if g != at:
+                at, table, codes, units = g, [], None, [np.zeros((2, 0), np.int64)]
+            if kind == 0:
+                table.append(part.select(["a", "b", "count", "best"]))
+                continue
+            if codes is None:
+                a, b, best, count = (np.concatenate([np.zeros(0, np.int64), *(x.column(c).to_numpy(zero_copy_only=False) for x in table)]) for c in ("a", "b", "best", "count"))
+                codes = a << shift | b
+                order = np.argsort(codes)
+                codes, values = codes[order], np.stack([best, count])[:, order]
+            if kind == 1:
+                for sizes, own in zip(part.column("body").to_pylist(), part.column("codes").to_pylist(), strict=True):
+                    edge = np.concatenate([[0], np.cumsum(np.frombuffer(sizes, "<i4"))])
+                    found = values[:, np.searchsorted(codes, np.frombuffer(own, "<i8"))]
+                    units.append(np.stack([sums(x, edge) for x in found]))
+                continue
+            units = [np.concatenate(units, axis=1)]
+            bodies = part.column("body").to_pylist()
+            edge = np.cumsum([0, *(len(x) // 4 for x in bodies)])
+            best, total = (sums(x, edge) for x in units[0][:, np.frombuffer(b"".join(bodies), "<i4")])
+            given = {c: part.column(c) for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256")}
+            yield rows_of(ALIGNED, part.num_rows, n_best=best, count_sum=total, **given)
 
 
 def align_tokens(docs: DataFrame, a_path: str | None = None, b_path: str | None = None) -> DataFrame:
@@ -303,45 +379,12 @@ def align_tokens(docs: DataFrame, a_path: str | None = None, b_path: str | None
     The paths must be readable on every executor; by default the installed vocabularies are looked up there.
     """
     groups = partitions_for(docs.sparkSession)
-    held = pin(pair_counts(docs, groups, a_path, b_path), "pairs")
+    shift = Tokens(a_path, b_path).shift
+    read = pin(read_groups(docs, groups, a_path, b_path), "aligned")
+    held = read.where("kind = 0").select("g", "kind", "first", "a", "b", "n")
     totals = held.groupBy("a", "b").agg(F.sum("n").alias("count"))
     best = F.col("count") == F.max("count").over(Window.partitionBy("a"))
-    asked = held.select("g", "a", "b").join(totals.withColumn("best", best), ["a", "b"])
-    nothing = {"doc_id": "bigint", "text": "string"}
-    counts = asked.withColumns({c: F.lit(None).cast(t) for c, t in nothing.items()}).withColumn("kind", F.lit(0))
-    texts = dealt(docs, groups).withColumns({"a": F.lit(None).cast("int"), "b": F.lit(None).cast("int"), "count": F.lit(None).cast("bigint"), "best": F.lit(None).cast("boolean"), "kind": F.lit(1)})
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = tokens_of(a_path, b_path, True)
-        loaded: list[pa.RecordBatch] = []
-        codes = count = top = np.zeros(0, np.int64)
-        for batch in batches:
-            kinds = batch.column("kind").to_numpy()
-            split = int(np.searchsorted(kinds, 1))
-            if split:
-                loaded.append(batch.slice(0, split).select(["a", "b", "count", "best"]))
-            if split == batch.num_rows:
-                continue
-            if loaded:
-                table = pa.Table.from_batches(loaded)
-                codes = table.column("a").to_numpy().astype(np.int64) << tokens.shift | table.column("b").to_numpy()
-                order = np.argsort(codes)
-                codes, count, top = codes[order], table.column("count").to_numpy()[order], table.column("best").to_numpy()[order].astype(np.int64)
-                loaded = []
-            docs_here = batch.slice(split)
-            ids, texts = docs_here.column("doc_id"), texts_of(docs_here)
-            for part in slices(texts):
-                numbers, at = without_bad(tokens, *tokens.read(texts[part]))
-                seen, place = np.unique(numbers, return_inverse=True)
-                pairs, n = tokens.spread(seen)
-                where = np.searchsorted(codes, pairs)
-                edge = np.concatenate([[0], np.cumsum(n)])
-                of_unit = [*tokens.numbers[:, seen], sums(top[where], edge), sums(count[where], edge)]
-                fragments = tokens.fragments
-                listed = numbers.tolist()
-                digests = [hashlib.sha256(";".join([fragments[k] for k in listed[lo:hi]]).encode()).hexdigest() if hi > lo else "" for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-                columns = [ids.slice(part.start, len(digests)), *(pa.array(sums(x[place], at), pa.int64()) for x in of_unit), pa.array(digests)]
-                yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in ALIGNED.split(", ")])
-
-    both = counts.unionByName(texts).repartitionById(groups, F.col("g")).sortWithinPartitions("kind")
-    return both.mapInArrow(run, ALIGNED)
+    asked = held.drop("n").join(totals.withColumn("best", best), ["a", "b"])
+    rest = read.where("kind > 0").drop("a", "b", "n")
+    both = asked.unionByName(rest, allowMissingColumns=True).repartitionById(groups, F.col("g")).sortWithinPartitions("g", "kind", "first")
+    return both.mapInArrow(lambda batches: counted(batches, shift), ALIGNED)

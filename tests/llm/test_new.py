@@ -239,5 +239,10 @@ def test_remembered_units_are_forgotten(spark, tokens, monkeypatch):
         assert own.numbers[0, numbers[: at[1]]].sum() == len(tokens.a.encode(" " + text, add_special_tokens=False).ids)
 
 
+def test_alignment_of_texts_without_tokens(spark):
+    rows = [(1, None), (2, ""), (3, "a▁b"), (4, None)]
+    assert order(tuple(r) for r in alignment.align_tokens(doc_frame(spark, rows)).collect()) == [(i, 0, 0, 0, 0, 0, 0, "") for i, _ in rows]
+
+
 def test_alignment_of_an_empty_table(spark):
     assert alignment.align_tokens(doc_frame(spark, [(1, "x")]).limit(0)).collect() == []
