@@ -371,3 +371,32 @@ def test_bounded_sample_is_repeatable_and_cut_first(spark):
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
     assert df.where(place < (2 * 100 + 64) * (1 << 30) // 20_000 + 1).count() < 400
     assert bounded_sample(df.limit(3), "doc_id", 100).count() == 3
+
+
+def test_toxic_features_match_a_loop(spark):
+    from collections import Counter as Counts
+
+    rng = random.Random(8)
+    words = [f"{a}{b}word" for a in "abcdefgh" for b in "xyz"]
+    positive = [" ".join(rng.choices(words, k=30)) + " vile viler vilest" * (k % 3) for k in range(60)]
+    plain = [" ".join(rng.choices(words, k=30)) + " vilest" * (k % 40 == 0) for k in range(300)]
+    sample = spark.createDataFrame([(t, True) for t in positive] + [(t, False) for t in plain], "text string, positive boolean").repartition(5)
+    p, u = (Counts(f for t in texts for f in toxicity.features_of(t)) for texts in (positive, plain))
+    share = p.total() / (p.total() + u.total())
+    want = {f: (n - share * (n + u[f])) / (share * (n + u[f])) ** 0.5 for f, n in p.items() if n >= 3 and n >= 2 * share * (n + u[f])}
+    assert toxicity.choose_features(sample, 100) == sorted((f for f, z in want.items() if z >= 4), key=lambda f: (-want[f], f))
+    features = toxicity.choose_features(sample, 2)
+    rows, columns, values, known = toxicity.sparse_rows(sample, features)
+    assert len(known) == 360 and known.sum() == 60
+    assert len(rows) == len(columns) == len(values) == 2 * sum(f in toxicity.features_of(t) for t in positive + plain for f in features)
+
+
+def test_toxicity_sample_is_bounded_and_column_is_replaced(spark):
+    docs = frame(spark, ["vile words here"] * 30 + ["plain words here"] * 60 + [LONG]).withColumn("score", F.lit("x"))
+    labels = spark.createDataFrame([(i, int(i < 30)) for i in range(90)], "doc_id bigint, toxic int")
+    model = toxicity.fit(docs, labels, toxicity.Limits(in_all=200))
+    scored = toxicity.score(docs, model, "score")
+    assert scored.columns.count("score") == 1 and scored.where("score BETWEEN 0 AND 1").count() == 91
+    assert toxicity.score(docs.limit(0), model, "score").count() == 0
+    nothing = toxicity.fit(docs.limit(0), labels.limit(0))
+    assert nothing.features == () and toxicity.score(docs, nothing, "score").count() == 91
