@@ -44,6 +44,19 @@ def partitions_for(spark: SparkSession, wanted: int = 0) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def text_batches(spark: SparkSession, rows: int | None = 1_000) -> None:
+    """Send this many whole texts to a Python task at a time from now on; None goes back to the session's own number.
+
+    By default ten thousand rows travel together, whatever their length.
+    """
+    spark.conf.unset(ARROW_ROWS)
+    if rows and not 0 < int(spark.conf.get(ARROW_ROWS)) <= rows:
+        spark.conf.set(ARROW_ROWS, str(rows))
+
+
 def sorted_groups(batches: Iterator[pa.RecordBatch], key: str, rows: int = 20_000) -> Iterator[pa.Table]:
     """Tables of whole groups from batches that are sorted by ``key``.
 
