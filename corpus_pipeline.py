@@ -9,32 +9,50 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.llm import exact, jaccard, mixing, packing, toxicity
-from ledgerline.llm.common import table
+from ledgerline.llm.common import table, text_batches
 from ledgerline.session import pin
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents that the toxicity model rejects."""
+    """Drop the documents that the toxicity model rejects.
+
+    Null and empty texts score by the model's bias alone and stay, texts of any length are read whole, equal texts are
+    judged alike, an empty table stays empty, and all columns are kept under their names.
+    """
+    text_batches(spark)
     return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the row with the largest doc_id of equal texts."""
+    """Keep the row with the largest doc_id of equal texts.
+
+    Null counts as empty; of rows that share text and doc_id one stays. Texts are compared whole, all columns are kept.
+    """
+    text_batches(spark, None)
     return exact.drop_exact(docs)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest doc_id of documents that links of similarity 0.8 and more connect."""
+    """Keep the smallest doc_id of documents that links of similarity 0.8 and more connect.
+
+    Texts without words link with nothing and stay. All columns are kept.
+    """
+    text_batches(spark, None)
     return jaccard.drop_near(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Draw documents so that tokens meet the target shares of sources, languages and topics."""
+    """Draw documents so that tokens meet the target shares of sources, languages and topics.
+
+    Null sources and languages are one value of their own; texts without words go with the cell they are in. The draw
+    follows from the doc_id. All columns are kept.
+    """
     return mixing.sample(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of ids whose lengths are powers of two."""
+    """Sequences of ids whose lengths are powers of two; null and empty texts are one end id."""
+    text_batches(spark)
     return packing.pack(docs)
 
 
