@@ -26,7 +26,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the row with the largest doc_id of equal texts.
 
-    Null counts as empty; of rows that share text and doc_id one stays. Texts are compared whole, all columns are kept.
+    Null counts as empty; rows that share text and doc_id stay together. Texts are compared whole, all columns are kept.
     """
     text_batches(spark, None)
     return exact.drop_exact(docs)
