@@ -11,7 +11,7 @@ from checks.credit import _monthly_features, _monthly_labels
 from checks.helpers import rounded
 from checks.registry import query
 from checks.views_sql import extend, using
-from ledgerline.operators import blending, metrics, models, splits
+from ledgerline.operators import blending, encoders, metrics, models, splits
 from ledgerline.operators.customers import label_feature_join
 from ledgerline.operators.ranking import rank_sum_auc
 from ledgerline.plans import scoring
@@ -265,46 +265,88 @@ def out_of_fold_lines(spark, sf):
 
 
 METER_FEATURES = ["clock", "square_feet", "year_built", "floor_count"]
+TREES, DEPTH, RATE = 4, 3, 0.3
 
 
-def _boosted(spark, sf):
-    """Out-of-fold predictions per meter; meter 3 is left to the rows without a model."""
+def _boosted_sql(segment: str) -> str:
+    """Binning, histograms, best splits and leaves of all fits, one group of steps per level.
+
+    Edges are the quantiles k / 32. Bin 0 is NULL, else 1 and the edges below. Slopes are whole numbers of 2^20 to the unit.
+    """
+    features = ["clock", "square_feet", "year_built", "floor_count"]
+    steps = [
+        f"""r AS MATERIALIZED (SELECT building_id, meter, timestamp, {segment} AS seg, CAST(day(timestamp) % 3 AS INTEGER) AS fold, round(ln(1 + meter_reading), 6) AS y,
+             [hour(timestamp)::DOUBLE, square_feet::DOUBLE, year_built::DOUBLE, floor_count::DOUBLE] AS x FROM metered)""",
+        "e AS (SELECT " + ", ".join(f"list_distinct(quantile_cont(x[{i + 1}], [k / 32.0::DOUBLE FOR k IN range(1, 32)])) AS e{i + 1}" for i in range(len(features))) + " FROM r)",
+        "b AS MATERIALIZED (SELECT r.* EXCLUDE (x), [" + ", ".join(f"CASE WHEN x[{i + 1}] IS NULL THEN 0 ELSE 1 + len(list_filter(e{i + 1}, lambda c: c < x[{i + 1}])) END" for i in range(len(features))) + "] AS bins FROM r, e WHERE seg IS NOT NULL)",
+        """bases AS (SELECT seg, held, sum(floor(y * 1048576.0::DOUBLE + 0.5))::BIGINT / 1048576.0::DOUBLE / count(*) AS base
+             FROM b JOIN (SELECT unnest([0, 1, 2]) AS held) ON fold <> held WHERE y IS NOT NULL GROUP BY 1, 2)""",
+        "t0 AS MATERIALIZED (SELECT b.*, held, base AS m FROM b JOIN bases USING (seg))",
+    ]
+    worth = lambda g, n: f"(({g}) / 1048576.0::DOUBLE) * (({g}) / 1048576.0::DOUBLE) / ({n})"
+    value = lambda g, n: f"(-{RATE}::DOUBLE * (({g}) / 1048576.0::DOUBLE)) / ({n})"
+    for t in range(TREES):
+        steps.append(f"t{t}l0 AS MATERIALIZED (SELECT *, 0 AS node, 0.0::DOUBLE AS v, floor((m - y) * 1048576.0::DOUBLE + 0.5)::BIGINT AS g FROM t{t})")
+        for k in range(DEPTH):
+            at = f"t{t}l{k}"
+            steps += [
+                f"""{at}h AS (SELECT seg, held, node, f, bin, sum(g)::BIGINT AS g, count(*) AS n FROM
+                     (SELECT seg, held, node, g, unnest([1, 2, 3, 4]) AS f, unnest(bins) AS bin FROM {at} WHERE fold <> held AND y IS NOT NULL AND node >= {2**k - 1}) GROUP BY ALL)""",
+                f"""{at}c AS (SELECT *, sum(g) OVER upto AS lg, sum(n) OVER upto AS ln, sum(g) OVER whole AS tg, sum(n) OVER whole AS tn FROM {at}h
+                     WINDOW upto AS (PARTITION BY seg, held, node, f ORDER BY bin), whole AS (PARTITION BY seg, held, node, f))""",
+                f"""{at}b AS MATERIALIZED (SELECT seg, held, node, f, bin, lg, ln, tg, tn FROM
+                     (SELECT *, CASE WHEN ln < tn THEN {worth("lg", "ln")} + {worth("tg - lg", "tn - ln")} - {worth("tg", "tn")} ELSE -1 END AS gain FROM {at}c)
+                     WHERE gain > 0 QUALIFY row_number() OVER (PARTITION BY seg, held, node ORDER BY gain DESC, f, bin) = 1)""",
+                f"""t{t}l{k + 1} AS MATERIALIZED (SELECT x.* REPLACE (CASE WHEN s.f IS NULL THEN x.node WHEN x.bins[s.f] > s.bin THEN 2 * x.node + 2 ELSE 2 * x.node + 1 END AS node,
+                     CASE WHEN s.f IS NULL THEN {"root" if k == 0 else "x.v"} WHEN x.bins[s.f] > s.bin THEN {value("tg - lg", "tn - ln")} ELSE {value("lg", "ln")} END AS v)
+                     FROM {at} x LEFT JOIN {at}b s USING (seg, held, node)"""
+                + (f" JOIN (SELECT DISTINCT seg, held, {value('tg', 'tn')} AS root FROM {at}c) USING (seg, held))" if k == 0 else ")"),
+            ]
+        steps.append(f"t{t + 1} AS MATERIALIZED (SELECT * EXCLUDE (node, v, g) REPLACE (m + v AS m) FROM t{t}l{DEPTH})")
+    last = f"SELECT r.building_id, r.meter, r.timestamp, r.fold, round(m, 6) + 0.0 AS prediction FROM r LEFT JOIN t{TREES} z ON z.building_id = r.building_id AND z.meter = r.meter AND z.timestamp = r.timestamp AND z.held = r.fold"
+    return using("metered", "WITH " + ",\n".join(steps) + "\n" + last)
+
+
+def _boosted(spark, sf, segment, values):
+    """Out-of-fold predictions of all segments, grown together."""
     from checks.meters import KEY, _metered
     from ledgerline.session import pin
 
-    hours = _metered(spark, sf).withColumns({"y": F.log1p("meter_reading"), "clock": F.hour("timestamp"), "fold": F.dayofmonth("timestamp") % 3})
-    return models.out_of_fold_by_segment(pin(hours), "meter", [0, 1, 2], [0, 1, 2], METER_FEATURES, "y").select(*KEY, "fold", "prediction")
+    y = F.round(F.log1p("meter_reading"), 6)
+    hours = _metered(spark, sf).withColumns({"y": y, "clock": F.hour("timestamp"), "fold": F.dayofmonth("timestamp") % 3, "seg": segment})
+    rows = pin(hours.select(*KEY, "seg", "fold", "y", *METER_FEATURES))
+    out = models.out_of_fold_by_segment(rows, "seg", values, [0, 1, 2], METER_FEATURES, "y", trees=TREES, depth=DEPTH, rate=RATE)
+    return rounded(out.select(*KEY, "fold", "prediction"), 6)
 
 
-@query("boosted_by_segment")
+@query("boosted_by_segment", _boosted_sql("meter"))
 def boosted_by_segment(spark, sf):
-    return _boosted(spark, sf)
+    return _boosted(spark, sf, F.col("meter"), range(4))
 
 
-@query(
-    "boosted_by_segment_rows",
-    using(
-        "metered",
-        """SELECT meter, count(*) AS rows, count(DISTINCT (building_id, timestamp)) AS keys, CAST(sum(CASE WHEN meter < 3 THEN 1 ELSE 0 END) AS BIGINT) AS predicted
-           FROM metered GROUP BY 1""",
-    ),
-)
-def boosted_by_segment_rows(spark, sf):
-    """No row is lost: NULL features take part, and a meter without a model has NULL predictions."""
-    return _boosted(spark, sf).groupBy("meter").agg(
-        F.count("*").alias("rows"), F.countDistinct("building_id", "timestamp").alias("keys"), F.count("prediction").alias("predicted")
-    )
+@query("boosted_by_site", _boosted_sql("site_id"))
+def boosted_by_site(spark, sf):
+    return _boosted(spark, sf, F.col("site_id"), range(16))
 
 
-def _classified(spark, sf):
+@query("boosted_by_use", _boosted_sql("CASE primary_use WHEN 'Education' THEN 0 WHEN 'Lodging/residential' THEN 1 WHEN 'Office' THEN 2 WHEN 'Entertainment/public assembly' THEN 3 WHEN 'Public services' THEN 4 ELSE CASE WHEN primary_use IS NOT NULL THEN 5 END END"))
+def boosted_by_use(spark, sf):
+    return _boosted(spark, sf, encoders.group_categories(F.col("primary_use")), range(6))
+
+
+def _label_rows(spark, sf):
     from checks.credit import FEATURES
     from ledgerline.session import pin
 
     joined = label_feature_join(_monthly_labels(spark, sf), _monthly_features(spark, sf))
-    data = pin(joined.select("loan_id", "label", *FEATURES))
-    tagged = pin(splits.stratified_split(data, "label", ["loan_id"]))
-    train = tagged.where(F.col("split") == "train")
-    return models.classify(train, tagged, FEATURES).select("loan_id", "label", "split", "score")
+    return pin(splits.stratified_split(pin(joined.select("loan_id", "label", *FEATURES)), "label", ["loan_id"]))
+
+
+def _classified(spark, sf):
+    from checks.credit import FEATURES
+
+    tagged = _label_rows(spark, sf)
+    return models.classify(tagged.where(F.col("split") == "train"), tagged, FEATURES).select("loan_id", "label", "split", "score")
 
 
 @query("classify")
@@ -323,13 +365,48 @@ def classify_rows(spark, sf):
     )
 
 
+@query(
+    "setting_search",
+    using(
+        "training",
+        """WITH n AS (SELECT label, ceil(0.8 * count(*))::BIGINT AS train FROM month_labels GROUP BY label)
+           SELECT rung::INTEGER AS rung, candidates, (SELECT sum(train) FROM n)::BIGINT AS train_rows, (SELECT sum(train) FROM n WHERE label = 1)::BIGINT AS positives, TRUE AS auc_agrees, TRUE AS best_go_on
+           FROM (VALUES (0, 100::BIGINT), (1, 34::BIGINT), (2, 12::BIGINT), (3, 4::BIGINT)) v(rung, candidates)""",
+    ),
+)
+def setting_search(spark, sf):
+    """The rungs of the search, recomputed from the stored scores: AUCs by windows, who goes on, and the chosen setting."""
+    from pyspark.sql import Window
+
+    from checks.credit import FEATURES
+    from ledgerline.session import pin
+
+    rows, _ = models.prepare_labels(_label_rows(spark, sf).where(F.col("split") == "train"), FEATURES, "label", 3)
+    found = models.search_settings(rows, len(FEATURES), 3, models.draw_settings())
+    key = ["rung", "candidate", "fold"]
+    below = F.sum("neg").over(Window.partitionBy(*key).orderBy("score")) - F.col("neg") / 2
+    wins = found.scores.withColumn("wins", F.col("pos") * below).groupBy(*key).agg(F.sum("wins").alias("w"), F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+    again = wins.groupBy("rung", "candidate").agg(F.avg(F.try_divide("w", F.col("p") * F.col("n"))).alias("again"), F.sum("p").alias("p"), F.sum(F.col("p") + F.col("n")).alias("rows"))
+    place = F.row_number().over(Window.partitionBy("rung").orderBy(F.desc(F.round(F.coalesce("again", F.lit(0.5)), 9)), "candidate"))
+    told = spark.createDataFrame([(r, c, a, c == found.chosen) for r, c, a in found.ranked], "rung int, candidate int, auc double, chosen boolean")
+    both = pin(again.join(told, ["rung", "candidate"], "full").withColumn("place", place))
+    later = both.select((F.col("rung") - 1).alias("rung"), "candidate").withColumn("goes_on", F.lit(True))
+    joined = both.join(later, ["rung", "candidate"], "left").withColumn("goes_on", F.when(F.col("rung") == 3, F.col("chosen")).otherwise(F.coalesce("goes_on", F.lit(False))))
+    per = joined.withColumn("kept", F.sum(F.col("goes_on").cast("int")).over(Window.partitionBy("rung")))
+    agrees = F.min(F.abs(F.coalesce("again", F.lit(0.5)) - F.col("auc")) < 1e-9)
+    return per.groupBy("rung").agg(
+        F.count("*").alias("candidates"), F.max("rows").alias("train_rows"), F.max("p").alias("positives"), agrees.alias("auc_agrees"),
+        F.min(F.col("goes_on") == (F.col("place") <= F.col("kept"))).alias("best_go_on"),
+    )
+
+
 SCORECARD_DATE = date(1998, 9, 1)
 
 
 def _scorecard(spark, sf):
     from checks.credit import FEATURES
 
-    return scoring.score_sets(_monthly_labels(spark, sf), _monthly_features(spark, sf), FEATURES, SCORECARD_DATE, trees=(25,))
+    return scoring.score_sets(_monthly_labels(spark, sf), _monthly_features(spark, sf), FEATURES, SCORECARD_DATE)
 
 
 @query(
@@ -351,7 +428,7 @@ def model_scorecard(spark, sf):
     row = pin(scoring.metrics_row(scored))
     pairs = scored.groupBy("split", "score").agg(F.count_if(F.col("label") == 1).alias("p"), F.count_if(F.col("label") == 0).alias("n"))
     below = F.coalesce(F.sum("n").over(Window.partitionBy("split").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    wins = pairs.withColumn("wins", F.col("p") * (below + F.col("n") / 2)).groupBy("split").agg((F.sum("wins") / (F.sum("p") * F.sum("n"))).alias("again"))
+    wins = pairs.withColumn("wins", F.col("p") * (below + F.col("n") / 2)).groupBy("split").agg(F.try_divide(F.sum("wins"), F.sum("p") * F.sum("n")).alias("again"))
     told = row.select(F.explode(F.create_map(*[x for s in ("train", "test", "oot") for x in (F.lit(s), F.col(f"{s}_auc"))])).alias("split", "auc"))
     agrees = wins.join(told, "split", "left").agg(F.min(F.coalesce(F.abs(F.col("auc") - F.col("again")) < 1e-9, F.col("again").isNull())).alias("auc_agrees"))
     part = F.when(F.col("split") == "oot", "oot").otherwise("fit").alias("part")

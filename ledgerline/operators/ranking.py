@@ -63,6 +63,11 @@ def rank_sum_auc(df: DataFrame, score: str, label: str, by: Sequence[str] = ())
     counts = usable.groupBy(*by, "score").agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")
     )
+    return auc_of_counts(counts, by)
+
+
+def auc_of_counts(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The same from rows of distinct scores with their positives (``pos``) and negatives (``neg``)."""
     # One constant key when there is no grouping column, so the slices still split the scan.
     keys = list(by) or ["_all"]
     if not by:

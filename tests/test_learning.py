@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.functions.hours import generalized_mean
-from ledgerline.operators import blending, metrics, models, splits
+from ledgerline.operators import blending, boosting, metrics, models, splits
 
 
 def test_window_plan():
@@ -117,31 +117,139 @@ def test_lines_out_of_fold(spark):
         assert r.prediction == pytest.approx(slope * r.x + intercept)
 
 
-def test_boosted_segments_and_classifier(spark):
-    df = spark.range(400).select(
-        (F.col("id") % 2).alias("m"), (F.col("id") % 20).cast("double").alias("x"), (F.col("id") % 20 > 9).cast("int").alias("label")
-    )
-    fitted = models.fit_by_segment(df, "m", [0, 1, 2], ["x"], "label", maxIter=2, maxDepth=2)
-    assert sorted(fitted) == [0, 1]
-    assert models.predict_by_segment(df, fitted, "m", ["x"]).count() == 400
-    scored = models.classify(df, df, ["x"], folds=2)
-    assert metrics.auc_gini(scored.withColumn("split", F.lit("all")), "score", "label", "split").first().auc > 0.99
+def plain_trees(rows, edges, setting, logistic=False, base=None):
+    """Boosted trees by loops over nodes, features and bins; rows are (features, target), sums are whole numbers."""
+    unit = 1 << 20
+    place = lambda x, cuts: 0 if x is None or math.isnan(x) else 1 + sum(c < x for c in cuts)
+    bins = [[place(x, cuts) for x, cuts in zip(xs, edges, strict=True)] for xs, _ in rows]
+    if base is None:
+        base = sum(math.floor(y * unit + 0.5) for _, y in rows) / unit / len(rows)
+    margin, trees = [base] * len(rows), []
+    worth = lambda g, h: (g / unit) * (g / unit) / (h / unit + setting.reg) if h / unit + setting.reg > 0 else 0.0
+
+    def grow(members, slope, depth):
+        g, h = (sum(slope[i][k] for i in members) for k in (0, 1))
+        best = (0.0, None)
+        if depth < setting.depth:
+            for f in range(len(edges)):
+                for cut in range(max(map(max, bins)) + 1):
+                    left = [i for i in members if bins[i][f] <= cut]
+                    lg, lh = (sum(slope[i][k] for i in left) for k in (0, 1))
+                    if min(lh, h - lh) / unit < setting.min_child or not left or len(left) == len(members):
+                        continue
+                    gain = worth(lg, lh) + worth(g - lg, h - lh) - worth(g, h)
+                    if gain > best[0] and gain > 2 * setting.gamma:
+                        best = (gain, (f, cut, left))
+        if best[1] is None:
+            return -setting.rate * (g / unit) / (h / unit + setting.reg)
+        f, cut, left = best[1]
+        return f, cut, grow(left, slope, depth + 1), grow([i for i in members if i not in set(left)], slope, depth + 1)
+
+    def leaf(node, b):
+        while isinstance(node, tuple):
+            node = node[2] if b[node[0]] <= node[1] else node[3]
+        return node
+
+    for _ in range(setting.trees):
+        p = [1 / (1 + math.exp(-m)) for m in margin] if logistic else margin
+        slope = [(math.floor((q - y) * unit + 0.5), math.floor(q * (1 - q) * unit + 0.5) if logistic else unit) for q, (_, y) in zip(p, rows, strict=True)]
+        trees.append(grow(list(range(len(rows))), slope, 0))
+        margin = [m + leaf(trees[-1], b) for m, b in zip(margin, bins, strict=True)]
+    return lambda xs: sum([leaf(t, [place(x, c) for x, c in zip(xs, edges, strict=True)]) for t in trees], start=base)
+
+
+def boosted_rows(n=240):
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(n):
+        x = [float(rng.integers(0, 12)), float(rng.normal()), float(i % 5) if i % 6 else None, math.nan if i % 11 == 0 else float(rng.integers(0, 3))]
+        rows.append((i, int(i % 3) if i % 13 else None, int(rng.integers(0, 3)), *x, round(2.0 * x[0] + 3 * (x[1] > 0) + (x[2] or -4) + float(rng.normal()), 3) if i % 17 else None))
+    return rows
+
+
+BOOSTED = "id int, m int, fold int, a double, b double, c double, d double, y double"
+
+
+def test_boosting_matches_plain_loops(spark):
+    rows = boosted_rows()
+    df = spark.createDataFrame(rows, BOOSTED).repartition(5)
+    setting = boosting.Setting(trees=4, depth=3, rate=0.4, gamma=0.05, min_child=3.0, reg=0.5)
+    got = models.out_of_fold_by_segment(df, "m", [0, 1, 2], [0, 1, 2], ["a", "b", "c", "d"], "y", bins=8, trees=4, depth=3, rate=0.4, gamma=0.05, min_child=3.0, reg=0.5)
+    got = {r.id: r.prediction for r in got.collect()}
+    edges = boosting.edges_of(df, ["a", "b", "c", "d"], 8)
+    for m in range(3):
+        for held in range(3):
+            model = plain_trees([(r[3:7], r[7]) for r in rows if r[1] == m and r[2] != held and r[7] is not None], edges, setting)
+            for r in rows:
+                if r[1] == m and r[2] == held:
+                    assert got[r[0]] == pytest.approx(model(r[3:7]), abs=1e-12)
+    assert sorted(got) == list(range(240)) and all((got[r[0]] is None) == (r[1] is None) for r in rows)
+
+
+def test_boosting_jobs_do_not_follow_the_segments(spark, monkeypatch):
+    levels = []
+    plain = boosting.level_splits
+    monkeypatch.setattr(boosting, "level_splits", lambda rows, fits, *a: levels.append(len(fits)) or plain(rows, fits, *a))
+    df = spark.createDataFrame(boosted_rows(120), BOOSTED)
+    for values in ([0], [0, 1, 2]):
+        levels.clear()
+        models.fit_by_segment(df, "m", values, ["a", "b"], "y", [0, 1, 2], trees=2, depth=2)
+        assert len(levels) == 4 and levels[0] == 3 * len(values)
+
+
+def test_logistic_trees_match_plain_loops(spark):
+    rows = [(r[0], *r[3:7], int((r[7] or 0) > 12)) for r in boosted_rows(150)]
+    df = spark.createDataFrame(rows, "id int, a double, b double, c double, d double, label int").repartition(3)
+    space = {k: v[:1] for k, v in models.SPACE.items()} | {"trees": (3,), "subsample": (1.0,), "colsample": (1.0,), "alpha": (0.0,)}
+    got = {r.id: r.score for r in models.classify(df, df, ["a", "b", "c", "d"], folds=2, space=space).collect()}
+    setting = models.draw_settings(space)[0]
+    model = plain_trees([(r[1:5], r[5]) for r in rows], boosting.edges_of(df, ["a", "b", "c", "d"]), setting, logistic=True, base=0.0)
+    for r in rows:
+        assert got[r[0]] == pytest.approx(1 / (1 + math.exp(-model(r[1:5]))), abs=1e-12)
+
+
+def test_search_halves_and_chooses_by_auc(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, float(x := rng.normal()), float(z := rng.normal()), int(x + z * z + rng.normal() > 1)) for i in range(600)]
+    df = spark.createDataFrame([*rows, (600, None, None, 0), (601, 0.0, 0.0, None)], "id int, x double, z double, label int").repartition(4)
+    data, _ = models.prepare_labels(df, ["x", "z"], "label", 3)
+    found = models.search_settings(data, 2, 3, models.draw_settings(draws=12), rungs=(2, 4))
+    assert [sum(r == k for r, _, _ in found.ranked) for k in range(3)] == [12, 4, 2]
+    assert found.chosen == next(c for r, c, _ in found.ranked if r == 2)
+    table = found.scores.toPandas()
+    assert (table.groupby(["rung", "candidate"])[["pos", "neg"]].sum().sum(axis=1) == 601).all()
+    for rung, candidate, auc in found.ranked:
+        parts = []
+        for fold in range(3):
+            t = table[(table.rung == rung) & (table.candidate == candidate) & (table.fold == fold)].sort_values("score")
+            below = t.neg.cumsum() - t.neg / 2
+            parts.append((t.pos * below).sum() / (t.pos.sum() * t.neg.sum()))
+        assert auc == pytest.approx(np.mean(parts))
+    assert max(a for r, _, a in found.ranked if r == 2) > 0.6
+    again = models.search_settings(data, 2, 3, models.draw_settings(draws=12), rungs=(2, 4))
+    assert again.ranked == found.ranked and again.chosen == found.chosen
+
+
+def test_drawn_settings_are_different_and_repeatable():
+    drawn = models.draw_settings()
+    assert len(drawn) == len(set(drawn)) == 100 and drawn == models.draw_settings()
+    assert len(models.draw_settings(draws=10**6)) == 1728
 
 
 def test_models_keep_every_row(spark):
     rows = [(i, i % 4 if i % 7 else None, float(i % 5) if i % 3 else None, float(i % 2)) for i in range(60)]
     df = spark.createDataFrame(rows, "id int, m int, x double, label double")
-    fitted = models.fit_by_segment(df, "m", [0, 1, 9], ["x"], "label", maxIter=1, maxDepth=1)
-    assert sorted(fitted) == [0, 1]
-    out = models.predict_by_segment(df, fitted, "m", ["x"]).collect()
+    fitted = models.fit_by_segment(df, "m", [0, 1, 9], ["x"], "label", trees=1, depth=1)
+    assert [v for v in (0, 1, 9) if v in fitted] == [0, 1]
+    out = models.predict_by_segment(df, fitted).collect()
     assert sorted(r.id for r in out) == list(range(60))
     assert all((r.prediction is None) == (r.m not in (0, 1)) for r in out)
-    scored = models.classify(df, df, ["x"], folds=2, trees=(1,)).collect()
+    scored = models.classify(df, df, ["x"], folds=2, draws=3, rungs=(1,), space={"trees": (1, 2)}).collect()
     assert sorted(r.id for r in scored) == list(range(60)) and all(0 <= r.score <= 1 for r in scored)
 
 
 def test_out_of_fold_by_segment(spark):
     df = spark.createDataFrame([(i, i % 2, i % 3 if i < 50 else None, float(i % 5), float(i)) for i in range(54)], "id int, m int, fold int, x double, y double")
-    out = models.out_of_fold_by_segment(df, "m", [0, 1], [0, 1, 2], ["x"], "y", maxIter=1, maxDepth=1).collect()
+    out = models.out_of_fold_by_segment(df, "m", [0, 1], [0, 1, 2], ["x"], "y", trees=1, depth=1).collect()
     assert sorted(r.id for r in out) == list(range(54))
     assert all((r.prediction is None) == (r.fold is None) for r in out)
