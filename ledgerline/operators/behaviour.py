@@ -53,7 +53,7 @@ def sequence_in_key(df: DataFrame, key: str, day: str, tie: Sequence[str], hot_r
     numbered = split_hot(
         df,
         [key],
-        F.col(day),
+        [day, *tie],
         lambda rows, slice_by: scan(rows, [key], [day, *tie], slice_by, number="row_num_by_customer"),
         hot_rows,
     )

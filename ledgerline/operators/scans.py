@@ -1,10 +1,11 @@
 """Ordered scans over keyed rows that stay parallel when one key owns a large share of the table.
 
-A plain window sends all rows of a key to one task. Here a key with more than ``HOT_ROWS`` rows is
-cut into slices, where a slice is a value computed from the row itself (a date, an hour) that never
-decreases along the scan order. Each slice is scanned on its own, and what the earlier slices hand
-over - a sum, a count, a last value, the length of an open run - comes from a small table with one
-row per (key, slice). Keys below the limit take the plain window.
+A plain window sends all rows of a key to one task. Here a long key is cut along its scan order, at
+the places of rows that a hash of key and place picks, about one in ``HOT_ROWS``. Each slice is scanned
+on its own, and what the earlier slices hand over - a sum, a count, a last value, the length of an open
+run - comes from a small table with one row per (key, slice). Keys that no cut falls into take the
+plain window. Cuts follow from the rows alone: nothing is counted beforehand, both parts are one lazy
+plan, and every reader sees the same slices.
 """
 
 from __future__ import annotations
@@ -43,32 +44,37 @@ def slice_of(keys: Sequence[str], at: Column) -> Column:
 def split_hot(
     df: DataFrame,
     keys: Sequence[str],
-    slice_expr: Column,
+    order: Sequence[str],
     build: Build,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Run ``build(rows, slice_by)`` on ordinary keys (``slice_by=None``) and on sliced hot keys.
+    """Run ``build(rows, slice_by)`` on keys without a cut (``slice_by=None``) and on the slices of the others.
 
-    Hot keys are counted first, reading the key columns only. Usually there are none, and the plan is
-    just ``build(df, None)``. Otherwise their list is joined; it holds at most ``rows / hot_rows`` entries, and
-    the planner or adaptive execution broadcasts it if its size is below the session's limit.
+    ``order`` is the scan order, total within a key. The cuts are broadcast: one place for about every ``hot_rows``
+    rows of the table, some 40 MB for 10^12 rows. A short key is rarely cut, and is as right in slices as without. Without
+    any cut the part with slices is empty, and adaptive execution drops it.
     """
-    hot = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > hot_rows)
-        .select(*keys)
-    )
-    if hot.count() == 0:
-        return build(df, None)
-    ordinary = build(match_null_safe(df, hot, keys, "left_anti"), None)
-    sliced_rows = (
-        match_null_safe(df, hot, keys, "left_semi")
-        .withColumn(SLICE, slice_of(keys, slice_expr))
-        .repartition(SLICE)
-    )
-    sliced = build(sliced_rows, SLICE).drop(SLICE)
-    return ordinary.unionByName(sliced)
+    picked = F.pmod(F.xxhash64(*[F.col(c) for c in (*keys, *order)]), F.lit(max(1, hot_rows))) == 0
+    cuts = df.where(picked).groupBy(*keys).agg(F.sort_array(F.collect_set(F.struct(*order))).alias("_cuts"))
+    ordinary = build(match_null_safe(df, F.broadcast(cuts.select(*keys)), keys, "left_anti"), None)
+    sliced_rows = match_null_safe(df, F.broadcast(_in_chunks(cuts)), keys, "inner")
+    sliced_rows = sliced_rows.withColumn(SLICE, slice_of(keys, _cuts_upto(F.struct(*order)))).drop("_cuts", "_firsts").repartition(SLICE)
+    return ordinary.unionByName(build(sliced_rows, SLICE).drop(SLICE))
+
+
+#: Cuts of a key that are compared one by one; a longer list is entered by the first cut of each such chunk.
+CHUNK = 256
+
+
+def _in_chunks(cuts: DataFrame) -> DataFrame:
+    chunks = F.sequence(F.lit(0), F.floor((F.size("_cuts") - 1) / CHUNK).cast("int"))
+    return cuts.withColumn("_firsts", F.transform(chunks, lambda i: F.get("_cuts", i * CHUNK)))
+
+
+def _cuts_upto(place: Column) -> Column:
+    """How many cuts lie at or before the place."""
+    whole = F.greatest(F.size(F.filter("_firsts", lambda c: c <= place)) - 1, F.lit(0)) * CHUNK
+    return whole + F.size(F.filter(F.slice("_cuts", whole + 1, F.lit(CHUNK)), lambda c: c <= place))
 
 
 def scan(

@@ -85,8 +85,8 @@ def zero_streak(df: DataFrame, slice_by: str | None = None, out: str = "zero_str
 
 
 def by_series(df: DataFrame, build: Build, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Run a series operator with series of more than ``hot_rows`` rows cut by day."""
-    return split_hot(df, SERIES, F.to_date("timestamp"), build, hot_rows)
+    """Run a series operator with long series cut into slices of about ``hot_rows`` rows."""
+    return split_hot(df, SERIES, ["timestamp"], build, hot_rows)
 
 
 def run_ids(df: DataFrame, value: Column, slice_by: str | None = None, out: str = "run_id") -> DataFrame:

@@ -30,13 +30,11 @@ SCHEMAS: Mapping[str, str] = {
     " amount_invested_monthly string, payment_behaviour string, monthly_balance string, snapshot_date string",
     "clickstream": ", ".join(f"{f} double" for f in FEATURES) + ", customer_id string, snapshot_date string",
 }
-# Installments in a slice of a hot loan.
-SLICE_LENGTH = 4096
 DATE_COLUMNS = {"loan_daily": ["loan_start_date", "snapshot_date"]}
 
 
 def _silver_loan(bronze: DataFrame) -> DataFrame:
-    return split_hot(bronze, ["loan_id"], F.floor(F.col("installment_num") / SLICE_LENGTH), lending.silver_ledger)
+    return split_hot(bronze, ["loan_id"], lending.by_installment(bronze), lending.silver_ledger)
 
 
 def _silver_clicks(bronze: DataFrame) -> DataFrame:

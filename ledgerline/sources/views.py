@@ -127,7 +127,7 @@ def ledger(spark: SparkSession, sf_dir: str, then=None, hot_rows: int = HOT_ROWS
         rows = number_installments(lines, heads, slice_by)
         return then(rows, slice_by) if then else rows
 
-    return split_hot(loan_lines(spark, sf_dir), ["loan_id"], F.col("snapshot_date"), build, hot_rows)
+    return split_hot(loan_lines(spark, sf_dir), ["loan_id"], LOAN_ORDER, build, hot_rows)
 
 
 def _every(key: Column, step: int) -> Column:

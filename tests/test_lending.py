@@ -52,7 +52,7 @@ def test_silver_ledger_is_the_same_when_sliced(spark, seed):
     df = spark.createDataFrame(rows, COLUMNS)
     for mode in ("reset", "legacy"):
         plain = lending.silver_ledger(df, None, mode)
-        sliced = split_hot(df, ["loan_id"], F.col("snapshot_date"), lambda r, s: lending.silver_ledger(r, s, mode), hot_rows=3)
+        sliced = split_hot(df, ["loan_id"], lending.by_installment(df), lambda r, s: lending.silver_ledger(r, s, mode), hot_rows=3)
         key = lambda r: (r.loan_id, r.installment_num)
         assert sorted(plain.collect(), key=key) == sorted(sliced.select(plain.columns).collect(), key=key)
 

@@ -24,7 +24,7 @@ def test_missed_run_restarts(spark, misses, limit):
     def build(part, slice_by):
         return lending.consecutive_missed(lending.payment_flags(part), "reset", slice_by)
 
-    got = split_hot(df, ["loan_id"], F.floor(F.col("installment_num") / 3), build, limit).orderBy("installment_num").collect()
+    got = split_hot(df, ["loan_id"], ["installment_num"], build, limit).orderBy("installment_num").collect()
     expected, run = [], 0
     for i, missed in enumerate(misses):
         run = run + 1 if missed and i > 0 else 0

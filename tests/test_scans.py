@@ -1,6 +1,7 @@
 """Running values: sliced hot keys give what the plain window gives, and both equal a plain loop."""
 
 import random
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -57,15 +58,57 @@ def build(rows, slice_by):
 def test_scan_equals_loop(spark, seed, limit):
     rows = make_rows(seed)
     df = spark.createDataFrame(rows, SCHEMA)
-    got = split_hot(df, ["k"], F.col("t"), build, hot_rows=limit).collect()
+    got = split_hot(df, ["k"], ["t", "u"], build, hot_rows=limit).collect()
     assert len(got) == len(rows)
     assert {(r.k, r.t, r.u): (r.number, r.total, r["last"], r.lag, r.run, r.whole) for r in got} == loop(rows)
 
 
-def test_no_hot_key_adds_no_branch(spark):
+def jobs_of(spark, build_plan):
+    """Jobs that Spark starts while the plan is built."""
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        plan = build_plan()
+        return plan, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_plans_are_built_without_a_job(spark):
+    from ledgerline.plans import credit
+    from ledgerline.sources import views
+
     df = spark.createDataFrame(make_rows(5), SCHEMA)
-    plan = split_hot(df, ["k"], F.col("t"), build)._jdf.queryExecution().optimizedPlan().toString()
-    assert "Union" not in plan and "Join" not in plan
+    assert jobs_of(spark, lambda: split_hot(df, ["k"], ["t", "u"], build))[1] == 0
+    data = "/root/testdata/sf0.001"
+    schemas = jobs_of(spark, lambda: [views.table(spark, data, t) for t in ("lineitem", "orders")])[1]
+    assert jobs_of(spark, lambda: views.ledger(spark, data))[1] == schemas
+    assert jobs_of(spark, lambda: credit.silver_loans(spark, data))[1] == schemas
+
+
+def test_one_key_of_many_rows_on_one_day(spark):
+    """All rows share key and day; the cuts fall between rows of that day."""
+    rng = random.Random(12)
+    rows = [("a", 3, u, rng.choice([None, 1, 2]), rng.random() < 0.8) for u in range(3000)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    slices = []
+
+    def noted(part, slice_by):
+        if slice_by:
+            slices.append(part.groupBy(slice_by).count())
+        return build(part, slice_by)
+
+    got = split_hot(df, ["k"], ["t", "u"], noted, hot_rows=100).collect()
+    assert {(r.k, r.t, r.u): (r.number, r.total, r["last"], r.lag, r.run, r.whole) for r in got} == loop(rows)
+    sizes = [r["count"] for r in slices[0].collect()]
+    assert len(sizes) > 10 and max(sizes) < 1000
+
+
+def test_many_cuts_are_entered_by_chunks(spark):
+    rows = [("a", t, u, 1, True) for t in range(40) for u in range(30)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = split_hot(df, ["k"], ["t", "u"], build, hot_rows=1).collect()  # every row is a cut: 1200 of them
+    assert {(r.k, r.t, r.u): (r.number, r.total, r["last"], r.lag, r.run, r.whole) for r in got} == loop(rows)
 
 
 def test_range_positions(spark):
