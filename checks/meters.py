@@ -13,7 +13,7 @@ from ledgerline.functions import hours as hr
 from ledgerline.operators import encoders, series, tables
 from ledgerline.plans import meters
 from ledgerline.sources import views
-from ledgerline.sources.calendars import holiday_flag, site_holiday_flag, us_federal_holidays
+from ledgerline.sources.calendars import all_calendars, holiday_flag, holiday_table, site_holiday_flag, us_federal_holidays
 
 ORIGIN = "2024-01-01 00:00:00"
 KEY = ["building_id", "meter", "timestamp"]
@@ -162,19 +162,70 @@ def holiday_orders(spark, sf):
     return orders.select("o_orderkey", holiday_flag(F.col("day").cast("timestamp_ntz"), us_federal_holidays(first, last)).alias("is_holiday"))
 
 
+_CALENDARS = """
+years AS (SELECT CAST(unnest(generate_series(1990, 2035)) AS INTEGER) AS y),
+moons AS (SELECT y, y % 19 AS a, y // 100 AS b, y % 100 AS c FROM years),
+moons2 AS (SELECT y, a, b, c, (19 * a + b - b // 4 - (b - (b + 8) // 25 + 1) // 3 + 15) % 30 AS h FROM moons),
+moons3 AS (SELECT y, a, h, (32 + 2 * (b % 4) + 2 * (c // 4) - h - c % 4) % 7 AS l FROM moons2),
+moons4 AS (SELECT y, h, l, (a + 11 * h + 22 * l) // 451 AS m FROM moons3),
+sundays AS (SELECT y, make_date(y, CAST((h + l - 7 * m + 114) // 31 AS INTEGER), CAST((h + l - 7 * m + 114) % 31 + 1 AS INTEGER)) AS easter FROM moons4),
+around AS (SELECT 'england' AS calendar, easter - 2 AS day FROM sundays UNION ALL SELECT 'england', easter + 1 FROM sundays
+  UNION ALL SELECT 'ireland', easter + 1 FROM sundays UNION ALL SELECT 'canada', easter - 2 FROM sundays),
+mondays AS (
+  SELECT calendar, y, m, n, CASE WHEN n > 0 THEN CAST(f + ((8 - isodow(f)) % 7 + 7 * (n - 1)) * INTERVAL 1 DAY AS DATE)
+    ELSE CAST(last_day(f) - (isodow(last_day(f)) - 1) * INTERVAL 1 DAY AS DATE) END AS day
+  FROM (SELECT calendar, y, m, n, make_date(y, m, 1) AS f FROM years, (VALUES ('england', 5, 1, 1978), ('england', 5, -1, 0), ('england', 8, -1, 0),
+    ('ireland', 2, 1, 2023), ('ireland', 5, 1, 1994), ('ireland', 6, 1, 0), ('ireland', 8, 1, 0), ('ireland', 10, -1, 0),
+    ('canada', 2, 3, 2008), ('canada', 8, 1, 0), ('canada', 9, 1, 0), ('canada', 10, 2, 0)) r(calendar, m, n, since) WHERE y >= since)),
+kept AS (SELECT calendar, day FROM mondays WHERE NOT (calendar = 'england' AND (y, m, n) IN ((1995, 5, 1), (2020, 5, 1), (2002, 5, -1), (2012, 5, -1), (2022, 5, -1)))),
+single AS (SELECT 'england' AS calendar, unnest([DATE '1995-05-08', DATE '2020-05-08', DATE '2002-06-04', DATE '2012-06-04', DATE '2022-06-02', DATE '1999-12-31', DATE '2002-06-03',
+    DATE '2011-04-29', DATE '2012-06-05', DATE '2022-06-03', DATE '2022-09-19', DATE '2023-05-08']) AS day UNION ALL SELECT 'ireland', DATE '2022-03-18'
+  UNION ALL SELECT 'canada', CAST(make_date(y, 5, 24) - (isodow(make_date(y, 5, 24)) - 1) * INTERVAL 1 DAY AS DATE) FROM years),
+yearly AS (SELECT calendar, make_date(y, m, d) AS day FROM years, (VALUES ('england', 1, 1), ('ireland', 1, 1), ('canada', 1, 1), ('ireland', 3, 17), ('canada', 7, 1)) r(calendar, m, d)),
+christmas AS (SELECT calendar, make_date(y, 12, 25) AS day FROM years, (VALUES ('england'), ('ireland'), ('canada')) r(calendar)),
+abroad AS (
+  SELECT calendar, day FROM around UNION SELECT calendar, day FROM kept UNION SELECT calendar, day FROM single UNION SELECT calendar, day FROM yearly
+  UNION SELECT calendar, CASE isodow(day) WHEN 6 THEN day + 2 WHEN 7 THEN day + 1 ELSE day END FROM yearly
+  UNION SELECT calendar, day + k FROM christmas, (VALUES (0), (1)) v(k)
+  UNION SELECT calendar, day + 2 FROM christmas WHERE isodow(day) IN (6, 7) UNION SELECT calendar, day + 3 FROM christmas WHERE isodow(day) IN (5, 6))"""
+
+
 @query(
     "site_holiday_flag",
     using(
-        "weather",
-        f"""SELECT site_id, timestamp, CAST(CASE WHEN site_id IN (1, 5, 12, 7, 11) THEN CAST(timestamp AS DATE) = DATE '2024-01-01'
-              ELSE CAST(timestamp AS DATE) IN ({_US_DAYS}) END AS INTEGER) AS is_holiday FROM weather""",
+        "ledger",
+        "WITH "
+        + _CALENDARS
+        + """,
+           home AS (SELECT make_date(y, m, d) AS day FROM years, (VALUES (1, 1), (6, 19), (7, 4), (11, 11), (12, 25)) f(m, d) WHERE m <> 6 OR y >= 2021),
+           firsts AS (SELECT make_date(y, m, 1) AS f, w, n FROM years, (VALUES (1, 1, 3), (2, 1, 3), (9, 1, 1), (10, 1, 2), (11, 4, 4)) f(m, w, n)),
+           us AS (SELECT CASE isodow(day) WHEN 6 THEN day - 1 WHEN 7 THEN day + 1 ELSE day END AS day FROM home
+                  UNION SELECT CAST(f + ((w - isodow(f) + 7) % 7 + 7 * (n - 1)) * INTERVAL 1 DAY AS DATE) FROM firsts
+                  UNION SELECT CAST(make_date(y, 5, 31) - (isodow(make_date(y, 5, 31)) - 1) * INTERVAL 1 DAY AS DATE) FROM years),
+           every AS (SELECT calendar, day FROM abroad UNION ALL SELECT 'us', day FROM us),
+           o AS (SELECT o_orderkey, CAST(o_custkey % 16 AS INTEGER) AS site_id, CAST(CAST(o_orderdate AS DATE) + INTERVAL 25 YEAR AS DATE) AS day FROM orders),
+           placed AS (SELECT *, CASE WHEN site_id IN (1, 5) THEN 'england' WHEN site_id = 12 THEN 'ireland' WHEN site_id IN (7, 11) THEN 'canada' ELSE 'us' END AS calendar FROM o)
+           SELECT o_orderkey, site_id, CAST((calendar, day) IN (SELECT (calendar, day) FROM every) AS INTEGER) AS is_holiday FROM placed""",
     ),
 )
 def site_holidays(spark, sf):
-    new_year = [date(2024, 1, 1)]
-    calendars = {"us": us_federal_holidays(2024, 2024), "england": new_year, "ireland": new_year, "canada": new_year}
-    df = views.weather(spark, sf).select("site_id", "timestamp")
-    return df.withColumn("is_holiday", site_holiday_flag(F.col("site_id"), F.col("timestamp"), calendars))
+    """Order dates moved 25 years on, by the calendar of a site; the years are those that occur."""
+    day = F.add_months(F.to_date("o_orderdate"), 300)
+    orders = views.table(spark, sf, "orders").select("o_orderkey", (F.col("o_custkey") % 16).cast("int").alias("site_id"), day.alias("day"))
+    first, last = orders.agg(F.min(F.year("day")), F.max(F.year("day"))).first()
+    flag = site_holiday_flag(F.col("site_id"), F.col("day").cast("timestamp_ntz"), all_calendars(first, last))
+    return orders.select("o_orderkey", "site_id", flag.alias("is_holiday"))
+
+
+@query(
+    "holiday_table",
+    using("ledger", "WITH " + _CALENDARS + """, s AS (SELECT year(min(o_orderdate)) + 25 AS a, year(max(o_orderdate)) + 25 AS z FROM orders)
+      SELECT calendar, CAST(year(day) AS INTEGER) AS year, CAST(day AS DATE) AS day FROM abroad, s WHERE year(day) BETWEEN a AND z"""),
+)
+def holidays_abroad(spark, sf):
+    """The calendars beside the home one, over the years of the orders."""
+    years = views.table(spark, sf, "orders").select((F.year("o_orderdate") + 25).alias("y"))
+    return holiday_table(spark, *years.agg(F.min("y"), F.max("y")).first()).where("calendar <> 'us'")
 
 
 @query(

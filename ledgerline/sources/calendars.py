@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 from datetime import date, timedelta
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Calendar of each site that is not on the US calendar.
@@ -40,6 +41,97 @@ def us_federal_holidays(first_year: int, last_year: int) -> list[date]:
     return sorted(d for d in days if first_year <= d.year <= last_year)
 
 
+def easter(year: int) -> date:
+    """Easter Sunday of the Gregorian calendar: the Sunday after the full moon on or after 21 March."""
+    golden, century = year % 19, year // 100
+    # Age of the moon on 1 January by the lunar calendar, with its century corrections.
+    epact = (century - century // 4 - (8 * century + 13) // 25 + 19 * golden + 15) % 30
+    moon = epact - (epact // 28) * (1 - (29 // (epact + 1)) * ((21 - golden) // 11))
+    weekday = (year + year // 4 + moon + 2 - century + century // 4) % 7
+    return date(year, 3, 28) + timedelta(days=moon - weekday)
+
+
+@dataclass(frozen=True)
+class Rules:
+    """A country's holidays.
+
+    ``fixed`` are (month, day), a weekend one also kept on the next free weekday; ``floating`` (month, weekday, nth; -1 is
+    the last); ``easter`` days after Easter Sunday. ``since`` has the first year of a rule, ``before`` Mondays before a
+    (month, day), ``moved`` years whose day of a rule is another one, ``extra`` single days.
+    """
+
+    fixed: tuple[tuple[int, int], ...]
+    floating: tuple[tuple[int, int, int], ...]
+    easter: tuple[int, ...]
+    before: tuple[tuple[int, int], ...] = ()
+    since: Mapping[tuple, int] = field(default_factory=dict)
+    moved: Mapping[tuple, date] = field(default_factory=dict)
+    extra: tuple[date, ...] = ()
+
+
+# Public holidays of England, Ireland and Canada (Ontario).
+COUNTRIES = {
+    "england": Rules(
+        fixed=((1, 1), (12, 25), (12, 26)),
+        floating=((5, 0, 1), (5, 0, -1), (8, 0, -1)),
+        easter=(-2, 1),
+        since={(5, 0, 1): 1978, (5, 0, -1): 1971, (8, 0, -1): 1971, (1, 1): 1974},
+        moved={
+            (1995, (5, 0, 1)): date(1995, 5, 8), (2020, (5, 0, 1)): date(2020, 5, 8), (2002, (5, 0, -1)): date(2002, 6, 4),
+            (2012, (5, 0, -1)): date(2012, 6, 4), (2022, (5, 0, -1)): date(2022, 6, 2),
+        },
+        extra=(date(1999, 12, 31), date(2002, 6, 3), date(2011, 4, 29), date(2012, 6, 5), date(2022, 6, 3), date(2022, 9, 19), date(2023, 5, 8)),
+    ),
+    "ireland": Rules(
+        fixed=((1, 1), (3, 17), (12, 25), (12, 26)),
+        floating=((2, 0, 1), (5, 0, 1), (6, 0, 1), (8, 0, 1), (10, 0, -1)),
+        easter=(1,),
+        since={(2, 0, 1): 2023, (5, 0, 1): 1994, (10, 0, -1): 1977},
+        extra=(date(2022, 3, 18),),
+    ),
+    "canada": Rules(
+        fixed=((1, 1), (7, 1), (12, 25), (12, 26)),
+        floating=((2, 0, 3), (8, 0, 1), (9, 0, 1), (10, 0, 2)),
+        easter=(-2,),
+        before=((5, 25),),
+        since={(2, 0, 3): 2008},
+    ),
+}
+
+
+def country_holidays(country: str, first_year: int, last_year: int) -> list[date]:
+    """Holidays and their substitute days that fall in the given years, in date order."""
+    rules = COUNTRIES[country]
+    days: set[date] = set()
+    for year in range(first_year - 1, last_year + 1):
+        holds = lambda rule, year=year: year >= rules.since.get(rule, 0)
+        days |= {rules.moved.get((year, r), _nth(year, *r)) for r in rules.floating if holds(r)}
+        days |= {easter(year) + timedelta(days=n) for n in rules.easter}
+        for month, day in rules.before:
+            last = date(year, month, day) - timedelta(days=1)
+            days.add(last - timedelta(days=last.weekday()))
+        days |= {d for d in rules.extra if d.year == year}
+        fixed = [date(year, *r) for r in rules.fixed if holds(r)]
+        days |= set(fixed)
+        for day in fixed:
+            if day.weekday() >= 5:
+                while day.weekday() >= 5 or day in days:
+                    day += timedelta(days=1)
+                days.add(day)
+    return sorted(d for d in days if first_year <= d.year <= last_year)
+
+
+def all_calendars(first_year: int, last_year: int) -> dict[str, list[date]]:
+    """The calendars of all sites over these years."""
+    return {DEFAULT_CALENDAR: us_federal_holidays(first_year, last_year)} | {c: country_holidays(c, first_year, last_year) for c in COUNTRIES}
+
+
+def holiday_table(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
+    """One row per calendar and day: calendar, year, day."""
+    rows = [(name, d.year, d) for name, days in all_calendars(first_year, last_year).items() for d in days]
+    return spark.createDataFrame(rows, "calendar string, year int, day date")
+
+
 def holiday_flag(ts: Column, days: Sequence[date], legacy: bool = False) -> Column:
     """1 on a listed day; ``legacy`` flags its midnight row only. A few days a year: a literal list, no join."""
     listed = [F.lit(d) for d in days]
