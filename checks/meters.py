@@ -933,6 +933,19 @@ def segment_cardinality(spark, sf):
 # ---------------------------------------------------------------- whole job
 
 
+_PART = "building_id, meter, timestamp, is_bad, target, hour_index, site_id, year_built, building_weekday_hour, " + ", ".join(ENCODED)
+
+
+def _applied_sql(source: str) -> str:
+    """The fitted encodings on other rows."""
+    text, previous = [], source
+    for i, (keys, priors) in enumerate(encoders.ENCODINGS):
+        prior = "(SELECT row_mean FROM means)" if priors is None else "(" + " + ".join(priors) + ") / 2"
+        text.append(f"a{i} AS (SELECT p.*, coalesce(s.fit, {prior}) AS {encoders.encoding_name(keys)} FROM {previous} p LEFT JOIN s{i} s USING ({', '.join(keys)}))")
+        previous = f"a{i}"
+    return ", ".join(text)
+
+
 def _job_sql() -> str:
     rolled = {}
     for rows in (7, 73):
@@ -953,18 +966,28 @@ cleaned AS (
 featured AS (
   SELECT *, ln(1 + meter_reading) AS target, CAST(hour(timestamp) AS INTEGER) AS hour, CAST(isodow(timestamp) - 1 AS INTEGER) AS weekday,
     CAST(month(timestamp) AS INTEGER) AS month, building_id || '-' || meter || '-' || (isodow(timestamp) - 1) || '-' || hour(timestamp) AS building_weekday_hour
-  FROM cleaned), {_stack_sql("featured", "TRUE", "NOT is_bad")}
-SELECT e.building_id, e.meter, e.timestamp, e.is_bad, round(e.target + 1.3e-7, 5) AS target, round(cos(2 * pi() * e.hour_index / 24) + 1.3e-7, 5) + 0.0 AS hour_x, e.year_built,
+  FROM cleaned), {_stack_sql("featured", "TRUE", "NOT is_bad")},
+moved AS (
+  SELECT CASE WHEN r.building_id % 9 = 0 THEN r.building_id + 1000000 ELSE r.building_id END AS building_id, CAST((r.meter + 1) % 4 AS INTEGER) AS meter, r.timestamp,
+    CAST(floor(epoch(r.timestamp - TIMESTAMP '2024-01-01') / 3600) AS BIGINT) AS hour_index FROM readings r),
+a_ AS (
+  SELECT m.*, b.site_id, b.primary_use, b.year_built - 1900 AS year_built, CAST(NULL AS BOOLEAN) AS is_bad, CAST(NULL AS DOUBLE) AS target, CAST(hour(timestamp) AS INTEGER) AS hour,
+    CAST(isodow(timestamp) - 1 AS INTEGER) AS weekday, CAST(month(timestamp) AS INTEGER) AS month,
+    m.building_id || '-' || m.meter || '-' || (isodow(timestamp) - 1) || '-' || hour(timestamp) AS building_weekday_hour
+  FROM moved m LEFT JOIN buildings b USING (building_id)), {_applied_sql("a_")},
+parts AS (
+  SELECT 'train' AS part, {_PART} FROM e15 UNION ALL SELECT 'test', {_PART} FROM a15)
+SELECT e.part, e.building_id, e.meter, e.timestamp, e.is_bad, round(e.target + 1.3e-7, 5) AS target, round(cos(2 * pi() * e.hour_index / 24) + 1.3e-7, 5) + 0.0 AS hour_x, e.year_built,
   e.building_weekday_hour, {", ".join(f"round(e.{c} + 1.3e-7, 5) AS {c}" for c in ENCODED)}, round(w.air_temperature + 1.3e-7, 5) AS air_temperature, w.had_wind_speed,
   round(w.dew_diff + 1.3e-7, 5) + 0.0 AS dew_diff, round(w.air_temperature_max_lag7 + 1.3e-7, 5) AS air_temperature_max_lag7, round(w.dew_temperature_std_lag73 + 1.3e-7, 5) AS dew_temperature_std_lag73
-FROM e15 e LEFT JOIN weather_table w ON w.site_id = e.site_id AND w.hour_index = e.hour_index"""
+FROM parts e LEFT JOIN weather_table w ON w.site_id = e.site_id AND w.hour_index = e.hour_index"""
 
 
 @query("meter_feature_table", using("bad_zero local_smooth", _job_sql()))
 def meter_feature_table(spark, sf):
     df = meters.from_test_tables(spark, sf)
     df = df.select(
-        *KEY, "is_bad", "target", "hour_x", "year_built", "building_weekday_hour", *ENCODED, "air_temperature", "had_wind_speed",
+        "part", *KEY, "is_bad", "target", "hour_x", "year_built", "building_weekday_hour", *ENCODED, "air_temperature", "had_wind_speed",
         "dew_diff", "air_temperature_max_lag7", "dew_temperature_std_lag73",
     )
     return rounded(df, 5)

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators.ranking import range_positions
@@ -115,25 +116,58 @@ def encoding_name(keys: Sequence[str]) -> str:
     return "gte_" + "_".join(keys)
 
 
-def target_encode_stack(
+@dataclass(frozen=True)
+class TargetEncodings:
+    """Fitted encodings: a small table (keys, fit) of each, and one row with the means that stand in for unseen groups.
+
+    The state can be saved and applied to any table with the cell columns, rows of later periods among them.
+    """
+
+    tables: Mapping[str, DataFrame]
+    means: DataFrame
+    encodings: Sequence[Encoding] = ENCODINGS
+    cell: Sequence[str] = tuple(CELL)
+
+    def save(self, path: str) -> None:
+        """One Parquet folder per encoding below ``path``, and one for the means."""
+        for name, table in self.tables.items():
+            table.write.mode("overwrite").parquet(f"{path}/{name}")
+        self.means.write.mode("overwrite").parquet(f"{path}/means")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str, encodings: Sequence[Encoding] = ENCODINGS, cell: Sequence[str] = tuple(CELL)) -> TargetEncodings:
+        tables = {encoding_name(keys): spark.read.parquet(f"{path}/{encoding_name(keys)}") for keys, _ in encodings}
+        return TargetEncodings(tables, spark.read.parquet(f"{path}/means"), encodings, cell)
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        """All rows with all encodings; a group that wasn't fitted falls back to its prior, the first to the mean of all rows.
+
+        The chain runs on the distinct cells, which the rows meet in a single join.
+        """
+        cells = df.select(*self.cell).distinct().withColumn("_row", self.means.select("row").scalar())
+        for keys, priors in self.encodings:
+            name = encoding_name(keys)
+            prior = F.col("_row") if priors is None else sum((F.col(p) for p in priors[1:]), F.col(priors[0])) / len(priors)
+            cells = cells.join(self.tables[name], list(keys), "left").withColumn(name, F.coalesce("_fit", prior)).drop("_fit")
+        names = [encoding_name(keys) for keys, _ in self.encodings]
+        return match_null_safe(df, cells.select(*self.cell, *names), list(self.cell), "left")
+
+
+def fit_target_encodings(
     train: DataFrame,
-    test: DataFrame | None = None,
     *,
     target: str = "target",
     good: Column | None = None,
     encodings: Sequence[Encoding] = ENCODINGS,
     cell: Sequence[str] = CELL,
     tau: float = PRIOR_PRECISION,
-) -> tuple[DataFrame, DataFrame | None]:
-    """All encodings, fitted on the good training rows and attached to train and test.
-
-    Every encoding depends on a row only through its cell (the combination of all key columns), so the
-    rows are reduced once to cell moments, the whole chain runs on the cell table, and the rows meet it
-    in a single join instead of one join per encoding. Encodings that do not build on each other are
-    fitted together, by one grouping-sets pass per level.
+) -> TargetEncodings:
+    """Fit all encodings on the good training rows.
 
-    A group without a usable variance falls back to the prior. The first prior is the mean of the good
-    rows while fitting, and the mean of all training rows for the features; a test row uses the latter.
+    Every encoding depends on a row only through its cell (the combination of all key columns), so the rows are reduced
+    once to cell moments and the chain runs on those. Encodings that do not build on each other are fitted together, by
+    one grouping-sets pass per level. A group without a usable variance has no fit. The first prior is the mean of the
+    good rows while fitting, and the mean of all training rows where the encodings are applied.
     """
     y = F.col(target) if good is None else F.when(F.coalesce(good, F.lit(False)), F.col(target))
     cells = train.groupBy(*cell).agg(
@@ -143,17 +177,19 @@ def target_encode_stack(
         F.min(y).alias("_low"),
         F.max(y).alias("_high"),
     )
-    if test is not None:
-        both = cells.unionByName(test.select(*cell).distinct(), allowMissingColumns=True)
-        cells = both.groupBy(*cell).agg(*[F.max(c).alias(c) for c in ("_n", "_sum", "_m2", "_low", "_high")])
-    means = train.agg(F.avg(y).alias("fit"), F.avg(target).alias("row")).select(F.struct("fit", "row")).scalar()
-    cells = pin(cells.fillna({"_n": 0}).withColumn("_means", means))
-    for level in _levels(encodings):
-        cells = _encode_cells(cells, level, tau)
-    table = cells.select(*cell, *[encoding_name(keys) for keys, _ in encodings])
-    encoded_train = match_null_safe(train, table, list(cell), "left")
-    encoded_test = match_null_safe(test, table, list(cell), "left") if test is not None else None
-    return encoded_train, encoded_test
+    means = pin(train.agg(F.avg(y).alias("fit"), F.avg(target).alias("row")), "means")
+    cells = pin(cells.where("_n > 0").withColumn("_mean_fit", means.select("fit").scalar()), "cells")
+    levels = _levels(encodings)
+    tables: dict[str, DataFrame] = {}
+    for at, level in enumerate(levels):
+        cells = _encode_cells(cells, level, tau, tables, last=at == len(levels) - 1)
+    return TargetEncodings(tables, means, encodings, cell)
+
+
+def target_encode_stack(train: DataFrame, test: DataFrame | None = None, **options) -> tuple[DataFrame, DataFrame | None]:
+    """All encodings, fitted on the good training rows and attached to train and test."""
+    fitted = fit_target_encodings(train, **options)
+    return fitted.apply(train), None if test is None else fitted.apply(test)
 
 
 def _levels(encodings: Sequence[Encoding]) -> list[list[Encoding]]:
@@ -169,23 +205,23 @@ def _levels(encodings: Sequence[Encoding]) -> list[list[Encoding]]:
     return levels
 
 
-def _encode_cells(cells: DataFrame, level: Sequence[Encoding], tau: float) -> DataFrame:
-    """The encodings of one level: ``name`` for the features, ``_f_name`` as the fitting rows see it.
+def _encode_cells(cells: DataFrame, level: Sequence[Encoding], tau: float, tables: dict[str, DataFrame], last: bool) -> DataFrame:
+    """Fit the encodings of one level into ``tables``; the cells get ``_f_name`` as the next level's fit sees it.
 
     Cell moments (count, sum, squared deviations) combine to the moments of the group.
     """
-    def prior(priors: Sequence[str] | None, prefix: str, first: str) -> Column:
+
+    def prior(priors: Sequence[str] | None) -> Column:
         if priors is None:
-            return F.col("_means")[first]
-        return sum((F.col(prefix + p) for p in priors[1:]), F.col(prefix + priors[0])) / len(priors)
+            return F.col("_mean_fit")
+        return sum((F.col("_f_" + p) for p in priors[1:]), F.col("_f_" + priors[0])) / len(priors)
 
     names = [encoding_name(keys) for keys, _ in level]
     columns = list(dict.fromkeys(c for keys, _ in level for c in keys))
     n = F.col("_n")
-    priors_of = {f"_prior_{name}": prior(priors, "_f_", "fit") for name, (_, priors) in zip(names, level, strict=True)}
+    priors_of = {f"_prior_{name}": prior(priors) for name, (_, priors) in zip(names, level, strict=True)}
     groups = pin(
-        cells.where(n > 0)
-        .withColumns(priors_of)
+        cells.withColumns(priors_of)
         .groupingSets([list(keys) for keys, _ in level], *columns)
         .agg(
             F.grouping_id().alias("_set"),
@@ -205,14 +241,9 @@ def _encode_cells(cells: DataFrame, level: Sequence[Encoding], tau: float) -> Da
         # A grouping-set id has a 1 for every column left out, the first column being the highest bit.
         set_id = int("".join("0" if c in keys else "1" for c in columns), 2)
         fit = posterior(total, mean, variance, F.col(f"_prior_{name}"), tau).alias("_fit")
-        fitted = groups.where(F.col("_set") == set_id).select(*keys, fit)
-        joined = cells.join(fitted, list(keys), "left")
-        cells = joined.withColumns(
-            {
-                name: F.coalesce(F.col("_fit"), prior(priors, "", "row")),
-                f"_f_{name}": F.coalesce(F.col("_fit"), prior(priors, "_f_", "fit")),
-            }
-        ).drop("_fit")
+        tables[name] = groups.where(F.col("_set") == set_id).select(*keys, fit)
+        if not last:
+            cells = cells.join(tables[name], list(keys), "left").withColumn(f"_f_{name}", F.coalesce("_fit", prior(priors))).drop("_fit")
     return cells
 
 

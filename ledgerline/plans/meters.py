@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import hours as hr
 from ledgerline.operators import encoders, series, tables
-from ledgerline.session import pin
+from ledgerline.session import pin, stage_path
 from ledgerline.sources import views
 
 ROLL_COLUMNS = ["air_temperature", "dew_temperature"]
@@ -59,27 +59,72 @@ def weather_features(weather: DataFrame, origin: str, windows: Sequence[int] = (
     return clean
 
 
-def meter_features(
+def with_weather(rows: DataFrame, weather: DataFrame, origin: str) -> DataFrame:
+    """Rows that carry building columns, with base features and the weather of their site and hour."""
+    return base_features(rows, origin).join(weather_features(weather, origin), ["site_id", "hour_index"], "left")
+
+
+def fit_meter_features(
     readings: DataFrame, buildings: DataFrame, weather: DataFrame, origin: str = hr.HOUR_ORIGIN, **zero_rules
-) -> DataFrame:
-    """The whole feature table of one set of readings, bad rows flagged and left out of the encodings."""
+) -> tuple[DataFrame, encoders.TargetEncodings]:
+    """The feature table of the training readings, bad rows flagged and left out of the encodings, and the fitted state."""
     clean = clean_readings(readings, buildings, origin, **zero_rules)
-    joined = clean.drop("hour_index")
-    featured = base_features(joined, origin)
-    with_weather = featured.join(weather_features(weather, origin), ["site_id", "hour_index"], "left")
+    featured = with_weather(clean.drop("hour_index"), weather, origin)
     # The encodings read the rows several times: write them once.
-    staged = pin(with_weather.withColumn("target", hr.log_target(F.col("meter_reading"))))
-    encoded, _ = encoders.target_encode_stack(staged, good=~F.col("is_bad"))
-    return encoded
+    staged = pin(featured.withColumn("target", hr.log_target(F.col("meter_reading"))), "features")
+    fitted = encoders.fit_target_encodings(staged, good=~F.col("is_bad"))
+    return fitted.apply(staged), fitted
+
+
+def apply_meter_features(
+    rows: DataFrame, buildings: DataFrame, weather: DataFrame, fitted: encoders.TargetEncodings, origin: str = hr.HOUR_ORIGIN
+) -> DataFrame:
+    """The feature table of rows without a reading: the weather of their own period, the encodings of the training rows.
+
+    No reading rule applies; all rows stay. Encodings of groups that training didn't see fall back to their priors.
+    """
+    with_buildings = tables.attach_checked(rows.drop("meter_reading"), buildings, ["building_id"])
+    return fitted.apply(pin(with_weather(with_buildings, weather, origin), "features"))
+
+
+def meter_features(
+    train: DataFrame,
+    test: DataFrame | None,
+    buildings: DataFrame,
+    train_weather: DataFrame,
+    test_weather: DataFrame | None = None,
+    origin: str = hr.HOUR_ORIGIN,
+    state_path: str | None = None,
+    **zero_rules,
+) -> tuple[DataFrame, DataFrame | None]:
+    """Feature tables of the training readings and of the rows to predict.
+
+    With ``state_path`` the fitted encodings are saved there, and the test rows get what was read back.
+    """
+    table, fitted = fit_meter_features(train, buildings, train_weather, origin, **zero_rules)
+    if state_path:
+        fitted.save(state_path)
+        fitted = encoders.TargetEncodings.load(train.sparkSession, state_path)
+    if test is None:
+        return table, None
+    return table, apply_meter_features(test, buildings, train_weather if test_weather is None else test_weather, fitted, origin)
 
 
 def from_test_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return meter_features(
-        views.readings(spark, sf_dir),
+    """Both parts; the test rows are the readings' hours at the building's next meter, every ninth at a building unseen."""
+    readings = views.readings(spark, sf_dir)
+    bid = F.when(F.col("building_id") % 9 == 0, F.col("building_id") + 1_000_000).otherwise(F.col("building_id"))
+    test = readings.select(bid.cast(readings.schema["building_id"].dataType).alias("building_id"), ((F.col("meter") + 1) % 4).alias("meter"), "timestamp")
+    train_part, test_part = meter_features(
+        readings,
+        test,
         views.buildings(spark, sf_dir),
         views.weather(spark, sf_dir),
-        "2024-01-01 00:00:00",
+        origin="2024-01-01 00:00:00",
+        state_path=stage_path(spark, "encodings"),
         min_interval=2,
         summer=(200, 500),
         year_ends=(0, 10, 700, 719),
     )
+    parts = train_part.withColumn("part", F.lit("train")), test_part.withColumn("part", F.lit("test"))
+    return parts[0].unionByName(parts[1], allowMissingColumns=True)
