@@ -52,6 +52,24 @@ def split_tag(spark, sf):
     )
 
 
+@query(
+    "stratified_split_told",
+    """SELECT o_orderstatus AS label, ceil(0.8 * count(*))::BIGINT AS train, (count(*) - ceil(0.8 * count(*)))::BIGINT AS test, TRUE AS repeatable, TRUE AS seeded, TRUE AS members
+       FROM orders GROUP BY 1""",
+)
+def stratified_split_told(spark, sf):
+    """Sizes per label; the same rows are train however the table lies, others with another seed; every row is in once."""
+    rows = views.table(spark, sf, "orders").select("o_orderkey", F.col("o_orderstatus").alias("label"))
+    make = lambda df, seed=88: splits.stratified_split(df, "label", ["o_orderkey"], seed=seed)
+    first = make(rows)
+    train = lambda df: df.where("split = 'train'").select("o_orderkey")
+    same = train(first).exceptAll(train(make(rows.repartition(7)))).isEmpty()
+    seeded = not train(first).exceptAll(train(make(rows, 1))).isEmpty()
+    whole = first.select("o_orderkey", "label").exceptAll(rows).isEmpty() and rows.exceptAll(first.select("o_orderkey", "label")).isEmpty()
+    counted = first.groupBy("label").agg(F.count_if(F.col("split") == "train").alias("train"), F.count_if(F.col("split") == "test").alias("test"))
+    return counted.select("*", F.lit(same).alias("repeatable"), F.lit(seeded).alias("seeded"), F.lit(whole).alias("members"))
+
+
 @query("stratified_split")
 def stratified_split(spark, sf):
     labels = views.table(spark, sf, "orders").select("o_orderkey", F.col("o_orderstatus").alias("label"))
@@ -481,16 +499,17 @@ def generalized_mean(spark, sf):
 
 
 _SIXTEEN = [f"m{i}" for i in range(16)]
-_FINAL_INNER = " + ".join(
-    f"{w}::DOUBLE * pow(ln(1 + {SAFE[i % 3]} * {1 + i / 10}::DOUBLE), {blending.FINAL_POWER!r}::DOUBLE)" for i, w in enumerate(blending.FINAL_WEIGHTS)
-)
+# The twin has the weights and factors of the final blend written out, not the library's.
+_WEIGHTS = (0.01782498, 0.03520153, 0.03286305, 0.00718961, 0.01797213, 0.0004982, 0.14172883, 0.12587602, 0.08538773, 0.09482115, 0.09476288, 0.10101228, 0.15306998, 0.03358389, 0.00719679, 0.05101097)
+_POWER, _INNER, _OUTER = 0.11375872112626925, 0.99817730007820798, 0.99576627605010293
+_FINAL_INNER = " + ".join(f"{w}::DOUBLE * pow(ln(1 + {SAFE[i % 3]} * {1 + i / 10}::DOUBLE), {_POWER!r}::DOUBLE)" for i, w in enumerate(_WEIGHTS))
 
 
 @query(
     "final_blend",
     using(
         "predictions",
-        f"""WITH b AS (SELECT row_id, {blending.FINAL_OUTER!r}::DOUBLE * (exp({blending.FINAL_INNER!r}::DOUBLE * pow({_FINAL_INNER}, {1 / blending.FINAL_POWER!r}::DOUBLE)) - 1) AS v FROM predictions)
+        f"""WITH b AS (SELECT row_id, {_OUTER!r}::DOUBLE * (exp({_INNER!r}::DOUBLE * pow({_FINAL_INNER}, {1 / _POWER!r}::DOUBLE)) - 1) AS v FROM predictions)
             SELECT row_id, round(coalesce(r.meter_reading, CASE WHEN v < 0 THEN 0 ELSE v END) + 1.3e-7, 5) + 0.0 AS meter_reading FROM b
             LEFT JOIN (SELECT x.row_id, f.meter_reading FROM reference f JOIN keyed x USING (building_id, meter, timestamp)) r USING (row_id)""",
     ),

@@ -480,7 +480,7 @@ def dedupe(spark, sf):
     using("ledger", "SELECT loan_id, installment_num, snapshot_date FROM ledger WHERE snapshot_date BETWEEN DATE '1997-01-01' AND DATE '1997-06-30'"),
 )
 def date_window(spark, sf):
-    df = views.ledger(spark, sf).where(F.col("snapshot_date").between("1997-01-01", "1997-06-30"))
+    df = tables.date_window(views.ledger(spark, sf), "snapshot_date", date(1997, 1, 1), date(1997, 6, 30))
     return df.select("loan_id", "installment_num", "snapshot_date")
 
 

@@ -702,10 +702,43 @@ def layer_report(spark, sf):
     return rounded(df)
 
 
-@query("run_summary")
+_BRONZE = {
+    "ledger": "loan_id, customer_id, loan_start_date, snapshot_date, tenure, installment_num, loan_amt, due_amt, paid_amt, overdue_amt, balance",
+    "financials": "customer_id, annual_income, outstanding_debt, amount_invested_monthly, changed_credit_limit, monthly_balance, num_of_loan, num_of_delayed_payment, "
+    "credit_history_age, payment_of_min_amount, credit_mix, payment_behaviour, type_of_loan, monthly_inhand_salary, num_bank_accounts, num_credit_card, interest_rate, "
+    "delay_from_due_date, num_credit_inquiries, credit_utilization_ratio, total_emi_per_month, snapshot_date",
+    "attributes": "customer_id, name, age, ssn, occupation, snapshot_date",
+    "clicks": "click_id, customer_id, snapshot_date, " + ", ".join(f"fe_{i}" for i in range(1, 21)),
+}
+_COUNTS = " UNION ALL ".join(
+    f"SELECT '{t}' AS source, '{c}' AS \"column\", count(*) AS row_count, count(*) - count({c}) AS nulls FROM {t}" for t, cols in _BRONZE.items() for c in cols.split(", ")
+)
+
+
+@query(
+    "run_summary",
+    using(
+        "ledger financials attributes clicks",
+        f"""WITH counted AS ({_COUNTS}), sizes AS (SELECT source, max(row_count) AS row_count FROM counted GROUP BY 1), bad AS (SELECT source, "column", nulls FROM counted WHERE nulls > 0)
+            SELECT sizes.source, sizes.row_count, CASE source WHEN 'financials' THEN 'branch' ELSE '' END AS missing, "column", nulls,
+              (SELECT count(*) FROM sizes) AS tables_processed, (SELECT sum(row_count)::BIGINT FROM sizes) AS total_rows_processed, TRUE AS timed
+            FROM sizes LEFT JOIN bad USING (source)""",
+    ),
+)
 def run_summary(spark, sf):
-    expected = ["customer_id", "annual_income", "type_of_loan", "snapshot_date", "branch"]
-    return quality.run_summary("financials", views.financials(spark, sf), expected)
+    """The four bronze tables, written as one JSON document and read back; one row per column with NULLs."""
+    from ledgerline.session import stage_path
+
+    made = {"ledger": views.ledger, "financials": views.financials, "attributes": views.attributes, "clicks": views.clicks}
+    tables = {n: view(spark, sf) for n, view in made.items()}
+    path = stage_path(spark, "run-summary")
+    quality.write_run_summary(quality.run_summary({n: (df, [*df.columns, "branch"] if n == "financials" else df.columns) for n, df in tables.items()}, 1.5), path)
+    rows = quality.read_run_summary(spark, path).select("pipeline_run", F.explode("table_summaries").alias("t"))
+    timed = F.col("t.validation_timestamp").isNotNull() & F.col("pipeline_run.timestamp").isNotNull() & (F.col("pipeline_run.runtime_seconds") == 1.5)
+    return rows.select(
+        "t.source", "t.row_count", F.array_join("t.missing_columns", ",").alias("missing"), F.explode_outer("t.null_counts").alias("column", "nulls"),
+        "pipeline_run.tables_processed", "pipeline_run.total_rows_processed", timed.alias("timed"),
+    )
 
 
 @query(
@@ -781,6 +814,32 @@ def sample_rows(spark, sf):
     return sampling.sample_n(rows, 5000, ["loan_id", "installment_num"])
 
 
+def _told(sample, again, other, of, size):
+    """Size, whether all sampled rows are rows of the table, no row twice, the same again, and others with another seed."""
+    missing = sample.exceptAll(of).isEmpty()
+    same = sample.exceptAll(again).isEmpty() and again.exceptAll(sample).isEmpty()
+    return of.agg(
+        F.lit(sample.count()).cast("bigint").alias("sampled"), F.lit(missing and sample.distinct().count() == size).alias("members"),
+        F.lit(same).alias("repeatable"), F.lit(not sample.exceptAll(other).isEmpty()).alias("seeded"), F.count("*").alias("of_rows"),
+    )
+
+
+@query("pick_one_told", "SELECT 1::BIGINT AS sampled, TRUE AS members, TRUE AS repeatable, TRUE AS seeded, count(*) AS of_rows FROM orders")
+def pick_one_told(spark, sf):
+    rows = views.table(spark, sf, "orders").select("o_orderkey")
+    one = sampling.pick_one(rows, ["o_orderkey"], seed=1)
+    return _told(one, sampling.pick_one(rows.repartition(5), ["o_orderkey"], seed=1), sampling.pick_one(rows, ["o_orderkey"], seed=2), rows, 1)
+
+
+@query("sample_rows_told", "SELECT least(500, count(*)) AS sampled, TRUE AS members, TRUE AS repeatable, TRUE AS seeded, count(*) AS of_rows FROM lineitem")
+def sample_rows_told(spark, sf):
+    key = ["l_orderkey", "l_linenumber"]
+    rows = views.table(spark, sf, "lineitem").select(*key, "l_quantity", "l_partkey", "l_suppkey")
+    of = [*key, "l_partkey", "l_suppkey"]
+    some = sampling.sample_n(rows, 500, of)
+    return _told(some, sampling.sample_n(rows.repartition(5), 500, of), sampling.sample_n(rows, 500, of, seed=3), rows, 500)
+
+
 @query("ordered_groups", using("silver", "SELECT payment_status, count(*) AS row_count FROM silver GROUP BY 1 ORDER BY 1"))
 def ordered_groups(spark, sf):
     counts = credit.silver_loans(spark, sf).groupBy("payment_status").agg(F.count("*").alias("row_count"))

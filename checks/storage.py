@@ -93,9 +93,16 @@ def materialize(spark, sf):
     return files.materialize(views.readings(spark, sf), "readings")
 
 
-@query("load_named", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+@query("load_named", "SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS o_orderdate, 'parquet' AS kind FROM orders UNION ALL SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE), 'csv' FROM orders")
 def load_named(spark, sf):
-    return files.load_named(spark, {"nations": f"{sf}/nation.parquet", "regions": f"{sf}/region.parquet"}, "nations")
+    """The same orders by a Parquet and by a CSV name; the CSV columns come back with their types."""
+    path = f"{stage_path(spark, 'named')}.csv"
+    views.table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("o_orderdate")).write.option("header", True).csv(path)
+    names = {"stored": f"{sf}/orders.parquet", "listed": path}
+    stored = files.load_named(spark, names, "stored").select(F.col("o_orderkey"), "o_custkey", F.to_date("o_orderdate").alias("o_orderdate"), F.lit("parquet").alias("kind"))
+    listed = files.load_named(spark, names, "listed")
+    cast = [F.col(c).cast(stored.schema[c].dataType).alias(c) for c in listed.columns if listed.schema[c].dataType.typeName() != "string"]
+    return stored.unionByName(listed.select(*cast, F.lit("csv").alias("kind")))
 
 
 @query(
@@ -109,10 +116,18 @@ def metadata_stamp(spark, sf):
 
 @query(
     "require_non_empty",
-    "SELECT r_regionkey, r_name FROM region",
+    "SELECT l_returnflag, count(*) AS row_count, TRUE AS emptied_raises FROM lineitem GROUP BY 1",
 )
 def require_non_empty(spark, sf):
-    return files.require_non_empty(views.table(spark, sf, "region"), "region")
+    """Every group of the table passes as it is; emptied, each is refused."""
+    lines = views.table(spark, sf, "lineitem")
+    counted = files.require_non_empty(lines, "lineitem").groupBy("l_returnflag").agg(F.count("*").alias("row_count"))
+    try:
+        files.require_non_empty(lines.where("l_quantity < 0"), "lineitem")
+        refused = False
+    except files.EmptySourceError:
+        refused = True
+    return counted.withColumn("emptied_raises", F.lit(refused))
 
 
 @query(
@@ -166,3 +181,31 @@ def label_store_backfill(spark, sf):
     root, source = stage_path(spark, "store"), f"{_write_sources(spark, sf)}/loan_daily.csv"
     layers.backfill_labels(spark, root, source)
     return files.read_partitions(spark, layers.backfill_labels(spark, root, source, [date(1997, 2, 1)]))
+
+
+@query(
+    "backfill_manifest",
+    using(
+        "labels_store",
+        """WITH months AS (SELECT count(DISTINCT date_trunc('month', snapshot_date)) AS n FROM ledger)
+           SELECT run, CASE run WHEN 1 THEN n WHEN 2 THEN 0 ELSE 1 END::BIGINT AS months_made, CASE run WHEN 4 THEN n - 1 ELSE n END::BIGINT AS months_held
+           FROM months, (SELECT unnest([1, 2, 3, 4]) AS run)""",
+    ),
+)
+def backfill_manifest(spark, sf):
+    """A first run, a second one that finds nothing to do, one month with a changed row, and one month less."""
+    root, source = stage_path(spark, "manifest"), f"{_write_sources(spark, sf)}/loan_daily.csv"
+    rows = spark.read.option("header", True).csv(source)
+    month = F.col("snapshot_date").startswith("1997-02")
+    changed, less = (f"{stage_path(spark, 'again')}/loan_daily.csv" for _ in range(2))
+    rows.withColumn("paid_amt", F.when(month, "0.5").otherwise(F.col("paid_amt"))).write.option("header", True).csv(changed)
+    rows.where(~month).write.option("header", True).csv(less)
+    told, seen = [], 0
+    for run, path in enumerate((source, source, changed, less), 1):
+        layers.backfill_labels(spark, root, path)
+        entries = spark.read.parquet(f"{root}/manifest/label_store")
+        count = entries.count()
+        held = layers.read_manifest(spark, f"{root}/manifest/label_store").where("row_count > 0").count()
+        told.append((run, count - seen, held))
+        seen = count
+    return spark.createDataFrame(told, "run int, months_made bigint, months_held bigint")

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators.aggregates import share_of
@@ -214,21 +213,46 @@ def layer_report(attributes: DataFrame, financials: DataFrame, loans: DataFrame,
     return reduce(DataFrame.unionByName, parts)
 
 
-def run_summary(source: str, df: DataFrame, expected_columns: Sequence[str]) -> DataFrame:
-    """One row per ingested table: row count, missing columns, NULL counts above zero as JSON, timestamp."""
-    missing = [c for c in expected_columns if c not in df.columns]
-    nulls = [F.count_if(F.col(c).isNull()).alias(c) for c in df.columns]
-    one_row = df.agg(F.count(F.lit(1)).alias("_n"), *nulls)
-    shown = F.struct(*[F.when(F.col(c) > 0, F.col(c)).alias(c) for c in df.columns])
+def table_summary(source: str, df: DataFrame, expected_columns: Sequence[str]) -> DataFrame:
+    """One row: row count, missing columns, NULL counts above zero (column -> count), time; one pass over the table."""
+    missing = [F.lit(c) for c in expected_columns if c not in df.columns]
+    one_row = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(df.columns)])
+    nulls = F.create_map(*[x for i, c in enumerate(df.columns) for x in (F.lit(c), F.col(f"_null_{i}"))])
     return one_row.select(
         F.lit(source).alias("source"),
         F.col("_n").alias("row_count"),
-        F.lit(json.dumps(missing)).alias("missing_columns"),
-        F.to_json(shown).alias("null_counts"),
-        F.current_timestamp().alias("validated_at"),
+        F.array(*missing).cast("array<string>").alias("missing_columns"),
+        F.map_filter(nulls, lambda _, n: n > 0).alias("null_counts"),
+        F.current_timestamp().alias("validation_timestamp"),
     )
 
 
+def run_summary(tables: Mapping[str, tuple[DataFrame, Sequence[str]]], seconds: float = 0.0) -> DataFrame:
+    """One row for a run over several tables (name -> table and the columns it should have): totals, and a list of table summaries."""
+    parts = reduce(DataFrame.unionByName, [table_summary(name, df, expected) for name, (df, expected) in tables.items()])
+    fields = ("source", "row_count", "missing_columns", "null_counts", "validation_timestamp")
+    by_name = lambda a, b: F.when(a["source"] < b["source"], -1).otherwise(1)
+    totals = F.struct(
+        F.current_timestamp().alias("timestamp"), F.lit(float(seconds)).alias("runtime_seconds"), F.count(F.lit(1)).alias("tables_processed"), F.sum("row_count").alias("total_rows_processed")
+    )
+    return parts.agg(totals.alias("pipeline_run"), F.array_sort(F.collect_list(F.struct(*fields)), by_name).alias("table_summaries"))  # one entry per table
+
+
+def write_run_summary(summary: DataFrame, path: str) -> None:
+    """The run as one JSON document."""
+    summary.coalesce(1).write.mode("overwrite").json(path)
+
+
+SUMMARY = (
+    "pipeline_run struct<timestamp: timestamp, runtime_seconds: double, tables_processed: bigint, total_rows_processed: bigint>, "
+    "table_summaries array<struct<source: string, row_count: bigint, missing_columns: array<string>, null_counts: map<string, bigint>, validation_timestamp: timestamp>>"
+)
+
+
+def read_run_summary(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(SUMMARY).json(path)
+
+
 def non_null_compare(before: DataFrame, after: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """Non-NULL values of column pairs before and after cleaning, and the share kept."""
     left = before.agg(*[F.count(c).alias(f"b{i}") for i, c in enumerate(columns)])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +36,18 @@ def override_with_reference(predictions: DataFrame, reference: DataFrame, value:
     return joined.withColumn(value, F.coalesce("_known", value)).drop("_known")
 
 
+def date_window(df: DataFrame, column: str, first: date, last: date) -> DataFrame:
+    """Rows whose day lies in the window, both ends included; NULL days are out.
+
+    The bounds are literals of the column's own type, so a partition column prunes folders and any other column is
+    compared while the file is read.
+    """
+    kind = df.schema[column].dataType.simpleString()
+    if kind == "date":
+        return df.where(F.col(column).between(F.lit(first), F.lit(last)))
+    return df.where((F.col(column) >= F.lit(first).cast(kind)) & (F.col(column) < F.lit(last + timedelta(days=1)).cast(kind)))
+
+
 def map_counts(df: DataFrame, fitted: DataFrame, column: str, out: str) -> DataFrame:
     """How often the value occurs in ``fitted``; NULL for a value not seen there."""
     counts = fitted.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias(out))

@@ -100,9 +100,28 @@ def run(spark: SparkSession, root: str, source: str, layer: str = "all", table:
 MONTH = "snapshot_month"
 
 
-def _by_month(spark: SparkSession, path: str, months: Sequence[date] | None) -> DataFrame:
-    rows = files.read_partitions(spark, path)
-    return rows if months is None else rows.where(F.col(MONTH).isin(*[F.lit(m) for m in months]))
+MANIFEST = "snapshot_month date, row_count bigint, mark decimal(38,0), run bigint"
+
+
+def _in_months(rows: DataFrame, months: Sequence[date | None] | None) -> DataFrame:
+    if months is None:
+        return rows
+    known = F.col(MONTH).isin(*[F.lit(m) for m in months if m is not None])
+    return rows.where(F.coalesce(known, F.lit(None in months)))
+
+
+def fingerprints(rows: DataFrame, columns: Sequence[str], *settings) -> DataFrame:
+    """Rows and a mark of every month: a sum of row hashes, which doesn't depend on their order."""
+    mark = F.xxhash64(*[F.lit(x) for x in settings], *[F.col(c) for c in columns]).cast("decimal(38,0)")
+    return rows.groupBy(MONTH).agg(F.count(F.lit(1)).alias("row_count"), F.sum(mark).alias("mark"))
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The latest entry of every month; empty before the first run."""
+    if not files.exists(spark, path):
+        return spark.createDataFrame([], MANIFEST)
+    entry = F.max_by(F.struct("row_count", "mark"), "run").alias("entry")
+    return spark.read.schema(MANIFEST).parquet(path).groupBy(MONTH).agg(entry, F.max("run").alias("run")).select(MONTH, "entry.*", "run")
 
 
 def backfill_labels(
@@ -110,17 +129,38 @@ def backfill_labels(
 ) -> str:
     """Ledger file to bronze, silver and gold label partitions, one per month; returns the path of the label store.
 
-    All months, or the first days given, are made by one job per layer. Only partitions of these months are replaced,
-    so a run can be repeated, and a month can be made again on its own.
+    A manifest beside the layers has a fingerprint of every month's rows and of the settings. Without ``months`` only
+    months whose fingerprint has changed are made, by one job per layer, and months that the source no longer has are
+    removed; a repeated run writes nothing. Months that are given are made in any case. A partition is swapped in when
+    all of it is written, and its month is noted after that, so a run that broke off is made good by the next.
     """
     paths = {layer: files.layer_path(root, layer, "label_store") for layer in LAYERS}
+    manifest = f"{root.rstrip('/')}/manifest/label_store"
     raw = files.ingest_bronze(spark, source, SCHEMAS["loan_daily"], "loan_daily", DATE_COLUMNS["loan_daily"])
     bronze = raw.withColumn(MONTH, F.trunc("snapshot_date", "month"))
-    if months is not None:
-        bronze = bronze.where(F.col(MONTH).isin(*[F.lit(m) for m in months]))
-    files.ingest_snapshots(bronze, paths["bronze"], MONTH)
-    typed = customers.enforce_types(_by_month(spark, paths["bronze"], months), LEDGER_TYPES)
-    files.ingest_snapshots(files.metadata_stamp(lending.days_past_due(typed)), paths["silver"], MONTH)
-    labels = lending.dpd_label(_by_month(spark, paths["silver"], months), dpd, mob)
-    files.ingest_snapshots(labels.withColumn(MONTH, F.trunc("snapshot_date", "month")), paths["gold"], MONTH)
+    columns = [c.split()[0] for c in SCHEMAS["loan_daily"].split(", ")]
+    known = read_manifest(spark, manifest)
+    now = fingerprints(_in_months(bronze, months), columns, dpd, mob)
+    before = known.select(F.col(MONTH).alias("_month"), F.col("row_count").alias("_rows"), F.col("mark").alias("_mark"))
+    both = now.join(before, F.col(MONTH).eqNullSafe(F.col("_month")), "left" if months else "full")
+    if months is None:
+        both = both.where(~(F.col("row_count").eqNullSafe(F.col("_rows")) & F.col("mark").eqNullSafe(F.col("_mark"))))
+        both = both.where(F.col("row_count").isNotNull() | (F.col("_rows") > 0))
+    found = both.collect()  # one row per month
+    gone = [r["_month"] for r in found if r["row_count"] is None]
+    made = [r for r in found if r["row_count"] is not None]
+    for month in gone:
+        for path in paths.values():
+            files.drop_partition(spark, path, MONTH, month)
+    if made:
+        chosen = [r[MONTH] for r in made]
+        files.ingest_snapshots(_in_months(bronze, chosen), paths["bronze"], MONTH)
+        typed = customers.enforce_types(_in_months(files.read_partitions(spark, paths["bronze"]), chosen), LEDGER_TYPES)
+        files.ingest_snapshots(files.metadata_stamp(lending.days_past_due(typed)), paths["silver"], MONTH)
+        labels = lending.dpd_label(_in_months(files.read_partitions(spark, paths["silver"]), chosen), dpd, mob)
+        files.ingest_snapshots(labels.withColumn(MONTH, F.trunc("snapshot_date", "month")), paths["gold"], MONTH)
+    if found:
+        run = 1 + (known.agg(F.max("run")).first()[0] or 0)
+        entries = [(r[MONTH], r["row_count"], r["mark"], run) for r in made] + [(m, 0, None, run) for m in gone]
+        spark.createDataFrame(entries, MANIFEST).coalesce(1).write.mode("append").parquet(manifest)
     return paths["gold"]

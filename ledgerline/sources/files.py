@@ -110,9 +110,16 @@ def ingest_snapshot(df: DataFrame, snapshot: date, path: str, day: str = SNAPSHO
     return ingest_snapshots(rows, path, day)
 
 
-def drop_partition(spark: SparkSession, path: str, day: str, snapshot: date) -> None:
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is such a file or folder, on whatever file system."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def drop_partition(spark: SparkSession, path: str, day: str, snapshot: date | None) -> None:
     """Remove one snapshot's folder, on whatever file system it lies."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{day}={snapshot.isoformat()}")
+    name = snapshot.isoformat() if snapshot else "__HIVE_DEFAULT_PARTITION__"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{day}={name}")
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
@@ -136,10 +143,10 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def load_named(spark: SparkSession, registry: Mapping[str, str], name: str) -> DataFrame:
-    """A table by its logical name; the format follows from the file ending."""
+    """A table by its logical name; the format follows from the file ending. Column types of a CSV file are inferred."""
     if name not in registry:
         raise KeyError(f"unknown table {name!r}; known: {sorted(registry)}")
     path = registry[name]
     if path.endswith(".csv"):
-        return spark.read.option("header", True).csv(path)
+        return spark.read.option("header", True).option("inferSchema", True).csv(path)
     return spark.read.parquet(path)

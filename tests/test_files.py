@@ -1,7 +1,6 @@
 """Ingest, snapshot partitions, layer runs and streaming on small files."""
 
 import datetime as dt
-import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -126,11 +125,10 @@ def test_whole_run(spark, tmp_path):
         layers.run(spark, root, str(source), "platinum")
 
 
-def test_run_summary(spark):
+def test_table_summary(spark):
     df = spark.createDataFrame([(1, None), (2, "x")], "a int, b string")
-    row = quality.run_summary("t", df, ["a", "b", "c"]).first()
-    assert (row.source, row.row_count) == ("t", 2)
-    assert json.loads(row.missing_columns) == ["c"] and json.loads(row.null_counts) == {"b": 1}
+    row = quality.table_summary("t", df, ["a", "b", "c"]).first()
+    assert (row.source, row.row_count, row.missing_columns, row.null_counts) == ("t", 2, ["c"], {"b": 1}) and row.validation_timestamp
 
 
 def test_quality_checks(spark):
@@ -165,3 +163,68 @@ def test_rows_that_do_not_fit_are_kept(spark, tmp_path):
     spark.createDataFrame([("1", "x"), ("oops", "y")], "a string, b string").coalesce(1).write.option("header", True).csv(path)
     got = {r.b: (r.a, r._corrupt_record) for r in files.read_bronze_csv(spark, path, files.with_corrupt("a int, b string")).collect()}
     assert got == {"x": (1, None), "y": (None, "oops,y")}
+
+
+def test_date_window_prunes(spark, tmp_path):
+    from ledgerline.operators.tables import date_window
+
+    rows = [(i, dt.date(2024, 1, 1) + dt.timedelta(days=i)) for i in range(60)] + [(99, None)]
+    df = spark.createDataFrame(rows, "id int, day date")
+    df.withColumn("month", F.trunc("day", "month")).write.partitionBy("month").parquet(f"{tmp_path}/t")
+    stored = spark.read.parquet(f"{tmp_path}/t")
+    window = date_window(stored, "month", dt.date(2024, 2, 1), dt.date(2024, 2, 29))
+    assert sorted(r.id for r in window.collect()) == list(range(31, 60))
+    plan = window._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan
+    inner = date_window(stored, "day", dt.date(2024, 1, 5), dt.date(2024, 1, 6))
+    assert sorted(r.id for r in inner.collect()) == [4, 5]
+    assert "GreaterThanOrEqual(day" in inner._jdf.queryExecution().executedPlan().toString()
+    timed = df.withColumn("at", F.col("day").cast("timestamp_ntz") + F.expr("INTERVAL 23 HOURS"))
+    assert sorted(r.id for r in date_window(timed, "at", dt.date(2024, 1, 5), dt.date(2024, 1, 6)).collect()) == [4, 5]
+
+
+def test_backfill_leaves_unchanged_months_alone(spark, tmp_path):
+    from ledgerline.plans import layers
+
+    names = [c.split()[0] for c in layers.SCHEMAS["loan_daily"].split(", ")]
+    day = {"loan_start_date": "2023-01-05", "tenure": "10", "loan_amt": "100", "due_amt": "10", "paid_amt": "10", "overdue_amt": "0", "balance": "5"}
+
+    def write(path, rows):
+        made = [tuple({**day, "loan_id": f"L{i}", "customer_id": f"c{i}", "installment_num": "6", "snapshot_date": d, **more}[c] for c in names) for i, d, more in rows]
+        spark.createDataFrame(made, ", ".join(f"{c} string" for c in names)).write.mode("overwrite").option("header", True).csv(path)
+        return path
+
+    rows = [(i, f"2023-0{1 + i % 3}-11", {}) for i in range(12)]
+    source = write(f"{tmp_path}/a.csv", rows)
+
+    def files_of():
+        return {str(p): p.stat().st_mtime_ns for p in (tmp_path / "lake").rglob("part-*")}
+
+    store = layers.backfill_labels(spark, f"{tmp_path}/lake", source)
+    first = files_of()
+    layers.backfill_labels(spark, f"{tmp_path}/lake", source)
+    layers.backfill_labels(spark, f"{tmp_path}/lake", write(f"{tmp_path}/b.csv", rows[::-1]))  # the order of rows changes nothing
+    assert files_of() == first
+    rows[4] = (4, rows[4][1], {"overdue_amt": "40"})
+    layers.backfill_labels(spark, f"{tmp_path}/lake", write(f"{tmp_path}/c.csv", rows))
+    second = files_of()
+    new = {p for p in second if p not in first and "manifest" not in p}
+    assert new and all("snapshot_month=2023-02-01" in p for p in new)
+    assert {r.snapshot_month for r in spark.read.parquet(store).collect()} == {dt.date(2023, k, 1) for k in (1, 2, 3)}
+    layers.backfill_labels(spark, f"{tmp_path}/lake", write(f"{tmp_path}/d.csv", [r for r in rows if "-03-" not in r[1]]))
+    assert {r.snapshot_month for r in spark.read.parquet(store).collect()} == {dt.date(2023, k, 1) for k in (1, 2)}
+    third = files_of()
+    layers.backfill_labels(spark, f"{tmp_path}/lake", f"{tmp_path}/c.csv", [dt.date(2023, 1, 1)])  # asked for: made in any case
+    made = {p for p in files_of() if p not in third and "manifest" not in p}
+    assert made and all("snapshot_month=2023-01-01" in p for p in made)
+
+
+def test_run_summary_is_one_document(spark, tmp_path):
+    from ledgerline.operators import quality
+
+    a = spark.createDataFrame([(1, None), (2, "x")], "k int, v string")
+    tables = {"b": (a, ["k", "v", "w"]), "a": (a.limit(0), ["k"])}
+    quality.write_run_summary(quality.run_summary(tables, 2.0), f"{tmp_path}/s")
+    row = quality.read_run_summary(spark, f"{tmp_path}/s").first()
+    assert (row.pipeline_run.tables_processed, row.pipeline_run.total_rows_processed, row.pipeline_run.runtime_seconds) == (2, 2, 2.0)
+    assert [(t.source, t.row_count, t.missing_columns, t.null_counts) for t in row.table_summaries] == [("a", 0, [], {}), ("b", 2, ["w"], {"v": 1})]

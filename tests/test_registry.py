@@ -24,7 +24,7 @@ def test_names():
     assert set(sql) <= set(queries)
     assert set(registry.QUERIES) <= set(queries)
     assert set(registry.QUERIES) - set(registry.SQL) == {
-        "approximate_profile", "boosted_by_segment", "classify", "pick_one", "run_summary", "sample_rows", "stratified_split",
+        "approximate_profile", "classify", "pick_one", "sample_rows", "stratified_split",
     }
 
 
