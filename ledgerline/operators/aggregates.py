@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -59,37 +59,26 @@ def five_number(df: DataFrame, column: str) -> DataFrame:
     return quantiles.select("column", "n", *[F.col(f"q{i}").alias(name) for i, name in enumerate(names)])
 
 
+def _by_column(df: DataFrame, columns: Sequence[str], stats: Mapping[str, Callable[[Column], Column]]) -> DataFrame:
+    """All statistics of all columns in one row, no row being copied per column, then one row per column."""
+    kept = [known.cast("double").alias(f"_{i}") for i, known in enumerate(F.col(c) for c in columns)]
+    one_row = df.select(*kept).agg(*[make(F.col(f"_{i}")).alias(f"_{i}_{name}") for i in range(len(columns)) for name, make in stats.items()])
+    cells = [F.struct(F.lit(c).alias("column"), *[F.col(f"_{i}_{name}").alias(name) for name in stats]) for i, c in enumerate(columns)]
+    return one_row.select(F.inline(F.array(*cells)))
+
+
+MOMENTS = {"min": F.min, "max": F.max, "mean": F.avg, "stddev": F.stddev_samp}
+
+
 def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Min, max, mean, sample deviation and exact median: one row per column."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
-    moments = (
-        df.select(F.inline(pairs))
-        .groupBy("column")
-        .agg(
-            F.min("value").alias("min"),
-            F.max("value").alias("max"),
-            F.avg("value").alias("mean"),
-            F.stddev_samp("value").alias("stddev"),
-        )
-    )
     medians = exact_quantiles(df, columns, [0.5]).select("column", F.col("q0").alias("median"))
-    return moments.join(medians, "column", "left")
+    return _by_column(df, columns, MOMENTS).join(medians, "column", "left")
 
 
 def approximate_profile(df: DataFrame, columns: Sequence[str], accuracy: int = 10000) -> DataFrame:
     """Like :func:`column_profile` with a sketched median, in a single pass."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
-    return (
-        df.select(F.inline(pairs))
-        .groupBy("column")
-        .agg(
-            F.min("value").alias("min"),
-            F.max("value").alias("max"),
-            F.avg("value").alias("mean"),
-            F.stddev_samp("value").alias("stddev"),
-            F.percentile_approx("value", 0.5, accuracy).alias("median"),
-        )
-    )
+    return _by_column(df, columns, MOMENTS | {"median": lambda c: F.percentile_approx(c, 0.5, accuracy)})
 
 
 def records_per_key(df: DataFrame, key: str) -> DataFrame:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+SHIPPED_KEY = "ledgerline.shipped"
 
 
 def build_session(app_name: str = "ledgerline", master: str | None = None, **conf: str) -> SparkSession:
@@ -29,6 +32,16 @@ def build_session(app_name: str = "ledgerline", master: str | None = None, **con
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per session: they may be started where it can't be imported."""
+    if spark.conf.get(SHIPPED_KEY, None):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="ledgerline-package-"), "ledgerline"), "zip", os.path.dirname(package), os.path.basename(package))
+    spark.sparkContext.addPyFile(archive)
+    spark.conf.set(SHIPPED_KEY, "true")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
