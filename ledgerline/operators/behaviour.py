@@ -49,15 +49,18 @@ def months_between_first(day: str, first: str):
 
 
 def sequence_in_key(df: DataFrame, key: str, day: str, tie: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Row number of each key by date (``tie`` makes the order total) and months since its first date."""
-    numbered = split_hot(
+    """Row number of each key by date (``tie`` makes the order total), its first date and the months since.
+
+    The first date comes out of the same scan, so there is no join.
+    """
+    first = {"first_snapshot_date": F.col(day)}
+    dated = split_hot(
         df,
         [key],
         [day, *tie],
-        lambda rows, slice_by: scan(rows, [key], [day, *tie], slice_by, number="row_num_by_customer"),
+        lambda rows, slice_by: scan(rows, [key], [day, *tie], slice_by, number="row_num_by_customer", mins=first),
         hot_rows,
     )
-    dated = join_first_seen(numbered, key, day)
     return dated.withColumns(
         {
             "month": F.month(day),

@@ -89,6 +89,7 @@ def scan(
     lags: Mapping[str, Column] | None = None,
     runs: Mapping[str, Column] | None = None,
     totals: Mapping[str, Column] | None = None,
+    mins: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Add running values along ``order`` (ascending, total within a key) for each key.
 
@@ -96,9 +97,10 @@ def scan(
 
     ``number`` row number from 1; ``sums`` running sum; ``lasts`` latest non-NULL value up to and
     including the row; ``lags`` value of the row before; ``runs`` length of the run of rows, ending
-    here, on which the condition holds (0 where it does not); ``totals`` sum over the whole key.
+    here, on which the condition holds (0 where it does not); ``totals`` sum over the whole key;
+    ``mins`` smallest value of the whole key.
     """
-    sums, lasts, lags, runs, totals = (dict(x or {}) for x in (sums, lasts, lags, runs, totals))
+    sums, lasts, lags, runs, totals, mins = (dict(x or {}) for x in (sums, lasts, lags, runs, totals, mins))
     part = [slice_by] if slice_by else list(keys)
     ordered = Window.partitionBy(*part).orderBy(*order)
     so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -111,6 +113,7 @@ def scan(
     local |= {name: F.last(c, ignorenulls=True).over(so_far) for name, c in lasts.items()}
     local |= {name: F.lag(c).over(ordered) for name, c in lags.items()}
     local |= {name: F.sum(c).over(Window.partitionBy(*part)) for name, c in totals.items()}
+    local |= {name: F.min(c).over(Window.partitionBy(*part)) for name, c in mins.items()}
     # NULL counts as "does not hold", so it breaks a run.
     broken = {name: F.coalesce(~c, F.lit(True)) for name, c in runs.items()}
     local |= {f"_cut_{name}": F.when(broken[name], F.lit(1)) for name in runs}
@@ -124,7 +127,7 @@ def scan(
             }
         )
     if slice_by:
-        out = _add_carry(out, keys, order, slice_by, sums, lasts, lags, runs, totals)
+        out = _add_carry(out, keys, order, slice_by, sums, lasts, lags, runs, totals, mins)
     named = {name: F.col(name).cast("bigint") for name in runs}
     if number:
         named[number] = F.col("_pos").cast("bigint")
@@ -141,6 +144,7 @@ def _add_carry(
     lags: Mapping[str, Column],
     runs: Mapping[str, Column],
     totals: Mapping[str, Column],
+    mins: Mapping[str, Column],
 ) -> DataFrame:
     place = F.struct(*[F.col(c) for c in order])
     parts = [F.count(F.lit(1)).alias("_n")]
@@ -149,6 +153,7 @@ def _add_carry(
     parts += [F.max_by(F.struct(c.alias("v")), place).alias(f"_c_{name}") for name, c in lags.items()]
     parts += [F.max_by(F.col(name), place).alias(f"_c_{name}") for name in runs]
     parts += [F.sum(c).alias(f"_c_{name}") for name, c in totals.items()]
+    parts += [F.min(c).alias(f"_c_{name}") for name, c in mins.items()]
     per_slice = local.groupBy(slice_by).agg(*parts)
     per_slice = per_slice.withColumns({k: F.col(slice_by)[k] for k in keys})
 
@@ -178,6 +183,7 @@ def _add_carry(
         for name in runs
     ]
     handed += [F.sum(f"_c_{name}").over(Window.partitionBy(*keys)).alias(f"_h_{name}") for name in totals]
+    handed += [F.min(f"_c_{name}").over(Window.partitionBy(*keys)).alias(f"_h_{name}") for name in mins]
     joined = local.join(per_slice.select(slice_by, *handed), slice_by, "left")
     merged: dict[str, Column] = {}
     for name in sums:
@@ -188,7 +194,7 @@ def _add_carry(
         merged[name] = F.when(F.col("_pos") == 1, F.col(f"_h_{name}")).otherwise(F.col(name))
     for name in runs:
         merged[name] = F.col(name) + F.when(F.col(name) == F.col("_pos"), F.col(f"_h_{name}")).otherwise(0)
-    for name in totals:
+    for name in (*totals, *mins):
         merged[name] = F.col(f"_h_{name}")
     merged["_pos"] = F.col("_pos") + F.col("_h_pos")
-    return joined.withColumns(merged).drop("_h_pos", *[f"_h_{n}" for n in (*sums, *lasts, *lags, *runs, *totals)])
+    return joined.withColumns(merged).drop("_h_pos", *[f"_h_{n}" for n in (*sums, *lasts, *lags, *runs, *totals, *mins)])

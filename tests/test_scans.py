@@ -29,12 +29,13 @@ def loop(rows):
         number = total = run = 0
         seen, last, lag = False, None, None
         whole = sum(r[3] or 0 for r in rows if r[0] == key) if any(r[3] is not None for r in rows if r[0] == key) else None
+        least = min((r[3] + r[1] for r in rows if r[0] == key and r[3] is not None), default=None)
         for r in sorted((r for r in rows if r[0] == key), key=lambda r: (r[1], r[2])):
             number += 1
             if r[3] is not None:
                 total, seen, last = total + r[3], True, r[3]
             run = run + 1 if r[4] else 0
-            out[(key, r[1], r[2])] = (number, total if seen else None, last, lag, run, whole)
+            out[(key, r[1], r[2])] = (number, total if seen else None, last, lag, run, whole, least)
             lag = r[3]
     return out
 
@@ -51,6 +52,7 @@ def build(rows, slice_by):
         lags={"lag": F.col("v")},
         runs={"run": F.col("flag")},
         totals={"whole": F.col("v")},
+        mins={"least": F.col("v") + F.col("t")},
     )
 
 
@@ -60,7 +62,7 @@ def test_scan_equals_loop(spark, seed, limit):
     df = spark.createDataFrame(rows, SCHEMA)
     got = split_hot(df, ["k"], ["t", "u"], build, hot_rows=limit).collect()
     assert len(got) == len(rows)
-    assert {(r.k, r.t, r.u): (r.number, r.total, r["last"], r.lag, r.run, r.whole) for r in got} == loop(rows)
+    assert {(r.k, r.t, r.u): (r.number, r.total, r["last"], r.lag, r.run, r.whole, r.least) for r in got} == loop(rows)
 
 
 def jobs_of(spark, build_plan):
@@ -99,7 +101,7 @@ def test_one_key_of_many_rows_on_one_day(spark):
         return build(part, slice_by)
 
     got = split_hot(df, ["k"], ["t", "u"], noted, hot_rows=100).collect()
-    assert {(r.k, r.t, r.u): (r.number, r.total, r["last"], r.lag, r.run, r.whole) for r in got} == loop(rows)
+    assert {(r.k, r.t, r.u): (r.number, r.total, r["last"], r.lag, r.run, r.whole, r.least) for r in got} == loop(rows)
     sizes = [r["count"] for r in slices[0].collect()]
     assert len(sizes) > 10 and max(sizes) < 1000
 
@@ -108,7 +110,7 @@ def test_many_cuts_are_entered_by_chunks(spark):
     rows = [("a", t, u, 1, True) for t in range(40) for u in range(30)]
     df = spark.createDataFrame(rows, SCHEMA)
     got = split_hot(df, ["k"], ["t", "u"], build, hot_rows=1).collect()  # every row is a cut: 1200 of them
-    assert {(r.k, r.t, r.u): (r.number, r.total, r["last"], r.lag, r.run, r.whole) for r in got} == loop(rows)
+    assert {(r.k, r.t, r.u): (r.number, r.total, r["last"], r.lag, r.run, r.whole, r.least) for r in got} == loop(rows)
 
 
 def test_range_positions(spark):
