@@ -11,7 +11,8 @@ Chains are at most ``CHAIN`` words long; longer texts are several chains, none i
 
 The fit sees a bounded sample (``Limits``), drawn per language, of the rows that aren't held out; prediction reads every whole text and
 nothing but the text. Null texts and texts without a letter are ``und`` with score 0, as is everything when no row has a
-language. Repeated rows are judged alike; an empty table gives an empty result; further columns are ignored.
+language. Languages with equal shares go by their order in the alphabet. Repeated rows are judged alike; an empty table gives
+an empty result; further columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -40,9 +41,10 @@ UNKNOWN = "und"
 
 @dataclass(frozen=True)
 class Limits:
-    """Bounds of the training sample: documents, characters of a sampled text, and words of the lexicon."""
+    """Bounds of the training sample: documents, languages (those of most rows), characters of a text, words of the lexicon."""
 
     documents: int = 1_200
+    languages: int = 200
     characters: int = 20_000
     lexicon: int = 20_000
 
@@ -214,7 +216,8 @@ def quotas(have: dict[str, int], rows: int) -> dict[str, int]:
 def fit(docs: DataFrame, limits: Limits = Limits()) -> Model:
     """Learn from documents with a language that aren't held out."""
     usable = docs.where(~held_out("doc_id") & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= limits.characters))
-    have = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
+    most = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(limits.languages)
+    have = {r["lang"]: r["count"] for r in most.collect()}
     if not have:
         return train([], [], limits)
     wanted, steps = quotas(have, limits.documents), 1 << 30

@@ -400,3 +400,12 @@ def test_toxicity_sample_is_bounded_and_column_is_replaced(spark):
     assert toxicity.score(docs.limit(0), model, "score").count() == 0
     nothing = toxicity.fit(docs.limit(0), labels.limit(0))
     assert nothing.features == () and toxicity.score(docs, nothing, "score").count() == 91
+
+
+def test_languages_learned_are_bounded(spark):
+    df = language_frame(spark)
+    rare = [(10_000 + i, "only text of its kind", f"code{i}") for i in range(40)]
+    both = df.select("doc_id", "text", "lang").unionByName(spark.createDataFrame(rare, "doc_id bigint, text string, lang string"))
+    names = [r["lang"] for r in df.where("lang IS NOT NULL AND text IS NOT NULL").groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(2).collect()]
+    model = language.fit(both, language.Limits(documents=60, languages=2))
+    assert sorted(model.languages) == sorted(names)
