@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -50,7 +51,7 @@ def test_hosts_agree_on_a_path(spark):
     texts = {r.page_id: r.text for r in got}
     assert len(got) == 19 and texts[0] == WANTED and texts[100] == texts[101] == ""
     assert texts[99] == "Brief."  # alone, the page would give its teaser
-    assert html_text.main_text(odd, []).startswith("long teaser")
+    assert html_text.main_text(odd, []).startswith("Brief. long teaser")  # nothing is left out without the host
     assert html_text.extract(pages.where("page_id < 0")).count() == 0
 
 
@@ -65,10 +66,61 @@ def test_articles_of_several_parts_stay_whole(spark):
     first, second = body(f"<div class=text><p>{lead}</div>"), body(f"<div class=text><p>Few words.</div><div class=long><p>{rest}</div>")
     rows = [(i, "http://h.org/1", first if i < 7 else second) for i in range(10)] + [(i, "http://g.org/1", parts) for i in range(10, 13)]
     got = {r.page_id: r.text.split() for r in html_text.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
-    assert all(got[i] == (lead if i < 7 else rest).split() for i in range(10))
+    assert all(got[i] == (lead if i < 7 else f"Few words. {rest}").split() for i in range(10))
     assert all(got[i] == both for i in range(10, 13))
 
 
+def test_nothing_of_the_article_is_lost():
+    text = "words of the text go on here. " * 20
+    short = body(f"<div class=post><p>A first paragraph of forty-eight characters, so.<div class=inner><p>{text}</div></div>")
+    linked = body(f"<div class=post><p>See <a href=/x>{'a long link of many words ' * 9}</a></p><div class=inner><p>{text}</div></div>")
+    classes = body(f"<article><h1>T</h1><section class=popular-science><p>{text}</section><div class=tags-explained>tags</div><div class='share-buttons'>s</div></article>")
+    menu = body(f"<div><a href=/>Home</a>&nbsp;| <a href=/a>About</a></div><div class=inner><p>{text}</div>")
+    assert html_text.main_text(short, []).split() == f"A first paragraph of forty-eight characters, so. {text}".split()
+    assert html_text.main_text(linked, []).split() == f"See {'a long link of many words ' * 9} {text}".split()
+    assert html_text.main_text(classes, []).split() == f"T {text} tags".split()
+    assert html_text.main_text(menu, []).split() == text.split()
+
+
+def test_teasers_of_one_page_fall_to_its_host(spark):
+    text, teasers = "words of the text go on here. " * 20, "<div class=more><p>another story of the day</div>"
+    rows = [(i, "http://h.org/1", body(f"<div class=main><p>{text}</div>{teasers * 9 if i == 20 else ''}")) for i in range(21)]
+    got = html_text.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert len(got) == 21 and all(r.text.split() == text.split() for r in got)
+    assert "another story" in html_text.main_text(rows[20][2], [])
+
+
+@pytest.mark.parametrize("tag", ["div", "b", "a", "li"])
+def test_deep_pages_take_linear_time(tag):
+    began = time.process_time()
+    assert html_text.main_text(body(f"<{tag}>" * 40_000 + "deep" + f"</{tag}>" * 40_000), []) == "deep"
+    assert html_text.main_text(body(f"<p>t<{tag}>" * 10_000), []).split() == ["t"] * 10_000
+    assert time.process_time() - began < 20
+
+
+def test_random_pages_against_their_plan():
+    """Pages are built from a tree whose article blocks are known while it is written."""
+    for seed in range(200):
+        draw, wanted = random.Random(seed), []
+
+        def block(draw=draw, wanted=wanted):
+            words = " ".join(f"w{draw.randrange(999)}" for _ in range(draw.randint(1, 30)))
+            wanted.append(words)
+            return draw.choice(["<p>{}</p>", "<p>\n {} ", "<p class=notice-of-death>{}</p>", "<ul><li>{}</ul>", "<h2>{}</h2>", "<blockquote><p>{}</blockquote>"]).format(words.replace(" ", draw.choice([" ", "\t", "&#32;", "<b> </b>"])))
+
+        def clutter(draw=draw):
+            return draw.choice(["<nav><p>n</nav>", "<div class='ad-box'><p>a</div>", "<aside>s", "<form><p>f</form>", "<div id=comments><p>c</div>", "<script>'<p>x</p>'</script>", "<!-- <p>x -->", "<div class='share links'>l</div>"]).replace("<aside>s", "<aside>s</aside>")
+
+        def box(depth, draw=draw):
+            parts = [block() if draw.random() < 0.6 else box(depth - 1) if depth else block() for _ in range(draw.randint(1, 4))]
+            parts.insert(draw.randrange(len(parts) + 1), clutter())
+            tag = draw.choice(["div", "section", "div class=x1"])
+            return f"<{tag}>{''.join(parts)}</{tag.split()[0]}>"
+
+        page = body(f"<header><p>site</header>{clutter()}{box(3)}<footer>f</footer>")
+        assert html_text.main_text(page, []) == " ".join(wanted), seed
+
+
 def test_split_url_and_rules(spark):
     cases = {
         "http://A.Org/x/1?q#f": ("a.org", "/x/1", "a.org/x/"), "https://sub.a.org/x/": ("sub.a.org", "/x/", "a.org/x/"),
