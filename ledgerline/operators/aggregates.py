@@ -24,6 +24,29 @@ def share_of(flag: Column) -> Column:
     return F.try_divide(F.count_if(flag), F.count(F.lit(1))) * 100
 
 
+def distinct_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """``by..., column, values``: distinct non-NULL values of every column (in every group), long form.
+
+    One pass in two levels: the values of all columns are merged, each in its own type, before the shuffle, then counted.
+    Without ``by`` a column of NULLs counts 0; a group without values has no row.
+    """
+    kinds = {c: df.select(F.col(c)).schema[0].dataType for c in columns}
+    fields = {kind.simpleString(): f"v{i}" for i, kind in enumerate({k.simpleString(): k for k in kinds.values()}.values())}
+
+    def cell(index: int, column: str) -> Column:
+        own = kinds[column].simpleString()
+        values = [(F.col(column) if kind == own else F.lit(None).cast(kind)).alias(name) for kind, name in fields.items()]
+        return F.when(F.col(column).isNotNull(), F.struct(F.lit(index).alias("at"), *values))
+
+    cells = F.filter(F.array(*[cell(i, c) for i, c in enumerate(columns)]), lambda x: x.isNotNull())
+    merged = df.select(*by, F.inline(cells)).distinct()
+    named = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("at") + 1).alias("column")
+    if by:
+        return merged.groupBy(*by, "at").agg(F.count(F.lit(1)).alias("values")).select(*by, named, "values")
+    one_row = merged.agg(*[F.count_if(F.col("at") == i).alias(f"n{i}") for i in range(len(columns))])
+    return one_row.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("values")) for i, c in enumerate(columns)])))
+
+
 def rate_by(
     df: DataFrame,
     keys: Mapping[str, Column],
@@ -46,10 +69,16 @@ def portfolio_summary(
 ) -> DataFrame:
     """One row: records, distinct counts, mean and sample deviation of each measure, flag share."""
     aggregates = [F.count(F.lit(1)).alias("total_records")]
-    aggregates += [F.count_distinct(column).alias(name) for name, column in distinct.items()]
     for measure in measures:
         aggregates += [F.avg(measure).alias(f"avg_{measure}"), F.stddev_samp(measure).alias(f"stddev_{measure}")]
-    return df.agg(*aggregates, share_of(flag).alias(rate))
+    one_row = df.agg(*aggregates, share_of(flag).alias(rate))
+    if not distinct:
+        return one_row
+    wide = [F.max(F.when(F.col("column") == column, F.col("values"))).alias(name) for name, column in distinct.items()]
+    counts = distinct_counts(df, list(dict.fromkeys(distinct.values()))).agg(*wide).select(F.struct("*")).scalar()
+    found = {name: F.col("_distinct")[name] for name in distinct}
+    ordered = ["total_records", *distinct, *[c for c in one_row.columns if c != "total_records"]]
+    return one_row.withColumn("_distinct", counts).withColumns(found).select(*ordered)
 
 
 def five_number(df: DataFrame, column: str) -> DataFrame:
@@ -151,14 +180,7 @@ def bad_rate_by_mob(df: DataFrame, dpd: int = 30) -> DataFrame:
 
 def segment_cardinality(df: DataFrame, segment: str, columns: Sequence[str]) -> DataFrame:
     """Number of categories of every column in each segment, long form."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
-    return (
-        df.select(segment, F.inline(pairs))
-        .where(F.col("value").isNotNull())
-        .distinct()
-        .groupBy(segment, "column")
-        .agg(F.count(F.lit(1)).alias("categories"))
-    )
+    return distinct_counts(df, columns, [segment]).withColumnRenamed("values", "categories")
 
 
 def condition_counts(df: DataFrame, conditions: Mapping[str, Column]) -> DataFrame:

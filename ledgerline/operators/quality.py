@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.operators.aggregates import share_of
+from ledgerline.operators.aggregates import distinct_counts, share_of
 
 
 def null_profile(df: DataFrame) -> DataFrame:
@@ -33,9 +33,7 @@ def distinct_profile(df: DataFrame, columns: Sequence[str] | None = None, approx
         return one_row.select(
             F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("values")) for c in columns]))
         )
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
-    values = df.select(F.inline(pairs)).distinct()
-    return values.groupBy("column").agg(F.count("value").alias("values"))
+    return distinct_counts(df, columns)
 
 
 def key_overlap(tables: Mapping[str, DataFrame], key: str) -> DataFrame:

@@ -162,3 +162,19 @@ def test_auc_matches_pairs(spark):
         neg = [s for p, s, l in rows if p == row.split and l == 0]
         wins = sum((a > b) + 0.5 * (a == b) for a in pos for b in neg)
         assert row.auc == pytest.approx(wins / (len(pos) * len(neg)))
+
+
+def test_distinct_counts_keep_types(spark):
+    from ledgerline.operators.aggregates import distinct_counts, portfolio_summary, segment_cardinality
+    from ledgerline.operators.quality import distinct_profile
+
+    rows = [("a", 1, 0.0, "1", None), ("a", 1, -0.0, "1.0", None), ("b", 2, None, "", None), (None, None, float("nan"), None, None), ("a", 1, float("nan"), "1", None)]
+    df = spark.createDataFrame(rows, "k string, at int, v0 double, value string, e string")
+    want = {"k": 2, "at": 2, "v0": 2, "value": 3, "e": 0}
+    assert {r["column"]: r["values"] for r in distinct_profile(df).collect()} == want
+    assert {r["column"]: r["values"] for r in distinct_counts(df.limit(0), df.columns).collect()} == dict.fromkeys(want, 0)
+    got = {(r.k, r["column"]): r.categories for r in segment_cardinality(df, "k", ["at", "value", "e"]).collect()}
+    assert got == {("a", "at"): 1, ("a", "value"): 2, ("b", "at"): 1, ("b", "value"): 1}
+    summary = portfolio_summary(df, {"keys": "k", "texts": "value"}, ["at"], df.at == 1)
+    assert "Expand" not in summary._jdf.queryExecution().toString()
+    assert summary.columns[:3] == ["total_records", "keys", "texts"] and summary.first()[:4] == (5, 2, 3, 1.25)
