@@ -13,8 +13,8 @@ is cut there into units, and each distinct unit is tokenised and aligned once fo
 
 A pair's count is the number of documents that hold it linked. Documents are dealt into as many groups as the shuffle has
 partitions. The first pass reads the texts of a group and writes three things: its pairs and in how many documents they
-are, its units with their pairs, and its documents as lists of units. Totals go back to the groups that hold a pair, so
-that each task of the second pass gets the counts of its own pairs only: it sums them per unit and per document, without
+are, its units with their pairs, and its documents as lists of units. Windows add the pairs up where they lie, without a join,
+and each row goes back to its group, so that each task of the second pass gets the counts of its own pairs only: it sums them per unit and per document, without
 the texts, and no table of all pairs is sent to everyone.
 
 Texts that are null or empty, or whose joined bytes of A or B differ from space+text (such as those with U+2581), have no
@@ -381,10 +381,10 @@ def align_tokens(docs: DataFrame, a_path: str | None = None, b_path: str | None
     groups = partitions_for(docs.sparkSession)
     shift = Tokens(a_path, b_path).shift
     read = pin(read_groups(docs, groups, a_path, b_path), "aligned")
-    held = read.where("kind = 0").select("g", "kind", "first", "a", "b", "n")
-    totals = held.groupBy("a", "b").agg(F.sum("n").alias("count"))
-    best = F.col("count") == F.max("count").over(Window.partitionBy("a"))
-    asked = held.drop("n").join(totals.withColumn("best", best), ["a", "b"])
+    # One row per group and pair; an id of A has no more of them than there are groups and ids of B, however many documents.
+    held = read.where("kind = 0").select("g", "kind", "first", "a", "b", "n").repartition("a")
+    counted_pairs = held.withColumn("count", F.sum("n").over(Window.partitionBy("a", "b"))).drop("n")
+    asked = counted_pairs.withColumn("best", F.col("count") == F.max("count").over(Window.partitionBy("a")))
     rest = read.where("kind > 0").drop("a", "b", "n")
     both = asked.unionByName(rest, allowMissingColumns=True).repartitionById(groups, F.col("g")).sortWithinPartitions("g", "kind", "first")
     return both.mapInArrow(lambda batches: counted(batches, shift), ALIGNED)

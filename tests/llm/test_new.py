@@ -246,3 +246,10 @@ def test_alignment_of_texts_without_tokens(spark):
 
 def test_alignment_of_an_empty_table(spark):
     assert alignment.align_tokens(doc_frame(spark, [(1, "x")]).limit(0)).collect() == []
+
+
+def test_pairs_are_counted_without_a_join(spark):
+    rows = [(i, t) for i, t in enumerate(["one two", "one two three", "two", "three three", "one"] * 4)]
+    df = alignment.align_tokens(doc_frame(spark, rows))
+    assert "Join" not in df._jdf.queryExecution().toString()
+    assert order(tuple(r) for r in df.collect()) == order(plain_alignment(rows, alignment.tokens_of(None, None)))
