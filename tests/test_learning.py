@@ -5,6 +5,7 @@ import itertools
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -253,3 +254,29 @@ def test_out_of_fold_by_segment(spark):
     out = models.out_of_fold_by_segment(df, "m", [0, 1], [0, 1, 2], ["x"], "y", trees=1, depth=1).collect()
     assert sorted(r.id for r in out) == list(range(54))
     assert all((r.prediction is None) == (r.fold is None) for r in out)
+
+
+def test_a_leaf_is_found_without_a_matrix_of_row_numbers():
+    """Trees read their bins by columns: every step of a row costs a byte's comparison, and any depth gives the same leaf."""
+    rng = np.random.default_rng(3)
+    for depth in (1, 3, 8):
+        nodes = (1 << (depth + 1)) - 1
+        feature = np.where(np.arange(nodes) < nodes // 2, rng.integers(-1, 4, nodes), -1)
+        cut = rng.integers(0, 32, nodes)
+        fit = boosting.Fit(0, None, boosting.Setting(depth=depth), trees=[(feature, cut, rng.normal(size=nodes))])
+        bins = rng.integers(0, 33, (500, 4)).astype(np.uint8)
+        want = []
+        for row in bins:
+            node = 0
+            while feature[node] >= 0:
+                node = 2 * node + 1 + int(row[feature[node]] > cut[node])
+            want.append(node)
+        assert fit.leaf(fit.trees[0], bins).tolist() == want
+        assert fit.margin(bins).tolist() == fit.trees[0][2][want].tolist()
+
+
+def test_bins_are_read_where_they_lie():
+    rows = [bytes([k, k + 1, 255]) for k in range(9)]
+    column = pa.array(rows, pa.binary()).slice(2, 5)
+    assert boosting.bytes_of(column).tobytes() == b"".join(rows[2:7])
+    assert boosting.bytes_of(column.slice(0, 0)).size == 0
