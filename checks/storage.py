@@ -147,14 +147,15 @@ def streamed(spark, sf):
 
 
 
-def _write_sources(spark, sf) -> str:
-    """The four raw tables as CSV, columns in the order of their schemas."""
+def _write_sources(spark, sf, names=layers.TABLES) -> str:
+    """The raw tables (all four, or the named ones) as CSV, columns in the order of their schemas."""
     folder = stage_path(spark, "raw")
     tables = {
         "loan_daily": views.ledger(spark, sf), "attributes": views.attributes(spark, sf),
         "financials": views.financials(spark, sf), "clickstream": views.clicks(spark, sf),
     }
-    for name, df in tables.items():
+    for name in names:
+        df = tables[name]
         columns = [c.split()[0] for c in layers.SCHEMAS[name].split(", ")]
         df.select(*columns).write.option("header", True).csv(f"{folder}/{name}.csv")
     return folder
@@ -178,7 +179,7 @@ def layer_run(spark, sf):
 )
 def label_store_backfill(spark, sf):
     """All months from a ledger file, then one month again: the store stays the same."""
-    root, source = stage_path(spark, "store"), f"{_write_sources(spark, sf)}/loan_daily.csv"
+    root, source = stage_path(spark, "store"), f"{_write_sources(spark, sf, layers.SELECTIONS['loan'])}/loan_daily.csv"
     layers.backfill_labels(spark, root, source)
     return files.read_partitions(spark, layers.backfill_labels(spark, root, source, [date(1997, 2, 1)]))
 
@@ -194,7 +195,7 @@ def label_store_backfill(spark, sf):
 )
 def backfill_manifest(spark, sf):
     """A first run, a second one that finds nothing to do, one month with a changed row, and one month less."""
-    root, source = stage_path(spark, "manifest"), f"{_write_sources(spark, sf)}/loan_daily.csv"
+    root, source = stage_path(spark, "manifest"), f"{_write_sources(spark, sf, layers.SELECTIONS['loan'])}/loan_daily.csv"
     rows = spark.read.option("header", True).csv(source)
     month = F.col("snapshot_date").startswith("1997-02")
     changed, less = (f"{stage_path(spark, 'again')}/loan_daily.csv" for _ in range(2))

@@ -156,7 +156,7 @@ def backfill_labels(
         chosen = [r[MONTH] for r in made]
         files.ingest_snapshots(_in_months(bronze, chosen), paths["bronze"], MONTH)
         typed = customers.enforce_types(_in_months(files.read_partitions(spark, paths["bronze"]), chosen), LEDGER_TYPES)
-        files.ingest_snapshots(files.metadata_stamp(lending.days_past_due(typed)), paths["silver"], MONTH)
+        files.ingest_snapshots(files.metadata_stamp(lending.days_past_due(typed)), paths["silver"], MONTH, laid_out=True)
         labels = lending.dpd_label(_in_months(files.read_partitions(spark, paths["silver"]), chosen), dpd, mob)
         files.ingest_snapshots(labels.withColumn(MONTH, F.trunc("snapshot_date", "month")), paths["gold"], MONTH)
     if found:

@@ -91,13 +91,15 @@ def month_starts(spark: SparkSession, start: date, end: date) -> DataFrame:
     return spark.range(1).select(F.explode(months).alias(SNAPSHOT))
 
 
-def ingest_snapshots(df: DataFrame, path: str, day: str = SNAPSHOT) -> str:
+def ingest_snapshots(df: DataFrame, path: str, day: str = SNAPSHOT, laid_out: bool = False) -> str:
     """Write every snapshot present in ``df`` to its own partition; a re-run replaces those partitions only.
 
     Adaptive execution splits a snapshot with most of the rows by its size and merges small ones, so a
-    snapshot is written by as many tasks as it needs.
+    snapshot is written by as many tasks as it needs. Rows read from a table that is partitioned in the same way
+    are ``laid_out``: the files that a task reads hold few snapshots each, so they are written without a shuffle.
     """
-    df.hint("rebalance", day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
+    spread = df if laid_out else df.hint("rebalance", day)
+    spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
     return path
 
 

@@ -228,3 +228,15 @@ def test_run_summary_is_one_document(spark, tmp_path):
     row = quality.read_run_summary(spark, f"{tmp_path}/s").first()
     assert (row.pipeline_run.tables_processed, row.pipeline_run.total_rows_processed, row.pipeline_run.runtime_seconds) == (2, 2, 2.0)
     assert [(t.source, t.row_count, t.missing_columns, t.null_counts) for t in row.table_summaries] == [("a", 0, [], {}), ("b", 2, ["w"], {"v": 1})]
+
+
+def test_rows_that_lie_by_month_are_written_without_a_shuffle(spark, tmp_path, monkeypatch):
+    hints, kind = [], type(spark.range(1))
+    plain = kind.hint
+    monkeypatch.setattr(kind, "hint", lambda df, *a: hints.append(a[0]) or plain(df, *a))
+    rows = spark.createDataFrame([(i, dt.date(2023, 1 + i % 3, 1)) for i in range(30)], "id int, snapshot_date date")
+    first = files.ingest_snapshots(rows, f"{tmp_path}/a")
+    assert hints == ["rebalance"]
+    second = files.ingest_snapshots(files.read_partitions(spark, first), f"{tmp_path}/b", laid_out=True)
+    assert hints == ["rebalance"]
+    assert sorted(map(tuple, files.read_partitions(spark, second).collect())) == sorted(map(tuple, rows.collect()))
