@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 # Date layouts tried in order, category placeholder, national-id pattern.
 DATE_FORMATS = ("yyyy-MM-dd", "d/MM/yyyy")
+ISO_DAY = r"^(19|20)\d\d-(0[1-9]|1[0-2])-(0[1-9]|1\d|2[0-8])\z"
 CATEGORY_JUNK = ("_______", "")
 SSN_PATTERN = r"^\d{3}-\d{2}-\d{4}$"
 
@@ -33,9 +34,13 @@ LOAN_KINDS = (
 
 
 def parse_date(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """First layout that reads the text wins; the plain cast is the last resort."""
+    """First layout that reads the text wins; the plain cast is the last resort.
+
+    Where the first layout is the ISO one, plain ISO days take the cast, which gives the same day in less time.
+    """
     text = text.cast("string")
-    return F.coalesce(*[F.try_to_date(text, f) for f in formats], text.try_cast("date"))
+    read = F.coalesce(*[F.try_to_date(text, f) for f in formats], text.try_cast("date"))
+    return F.when(text.rlike(ISO_DAY), text.try_cast("date")).otherwise(read) if tuple(formats[:1]) == DATE_FORMATS[:1] else read
 
 
 def _keep_number(text: Column, dropped: str, shape: str, kind: str) -> Column:

@@ -59,3 +59,14 @@ def test_lists(spark):
     assert apply(spark, lambda c: F.size(cl.split_list(c, null_as_empty=False)), texts) == [1, 1, 2, 2]
     assert apply(spark, lambda c: cl.has_item(cl.split_list(c), "Payday Loan"), texts) == [False, False, True, False]
     assert cl.flag_name("Credit-Builder Loan") == "has_credit_builder_loan"
+
+
+def test_plain_days_are_read_like_any_other(spark):
+    """Plain ISO days take the cast; the result is that of the layouts for every text."""
+    texts = [None, "", "2023-02-28", "2023-02-29", "2024-02-29", "1999-12-31", "2023-13-01", "2023-1-5", " 2023-01-05", "2023-01-05 ", "2023-01-05\n",
+             "5/01/2023", "05/01/2023", "2023-01-05 10:00:00", "2023-01-05T01:00:00Z", "0001-01-01", "12023-01-05", "20230105", "1900-01-01", "x"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    layouts = F.coalesce(*[F.try_to_date("t", f) for f in cl.DATE_FORMATS], F.col("t").try_cast("date"))
+    for r in df.select("t", cl.parse_date(F.col("t")).cast("string").alias("got"), layouts.cast("string").alias("want")).collect():
+        assert r.got == r.want, r.t
+    assert "RLIKE" in df.select(cl.parse_date(F.col("t")))._jdf.queryExecution().toString()
