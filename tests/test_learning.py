@@ -99,6 +99,44 @@ def test_assemble_keeps_missing_rows(spark):
     assert [tuple(r) for r in got] == [(1, 0.0, None), (2, 5.0, 6.0), (3, None, 7.0)]
 
 
+def test_assemble_groups_after_the_shuffle(spark):
+    """No row of all columns is built before the sets are dealt out by key; repeated and missing keys are merged as ever."""
+    a = spark.createDataFrame([(1, -4.0), (2, 5.0), (2, 8.0), (None, 1.0)], "row_id int, meter_reading double")
+    b = spark.createDataFrame([(2, None), (3, 7.0), (None, 2.0)], "row_id int, meter_reading double")
+    for deal in (lambda df: df, lambda df: df.repartition("row_id")):
+        for sets in ({"a": deal(a), "b": deal(b)}, {"a": deal(a), "b": b}):
+            made = blending.assemble_predictions(sets)
+            plan = made._jdf.queryExecution().executedPlan().toString()
+            assert plan.rindex("Aggregate") < plan.index("Exchange")
+            rows = sorted((tuple(r) for r in made.collect()), key=str)
+            assert rows == [(1, 0.0, None), (2, 8.0, None), (3, None, 7.0), (None, 1.0, 2.0)]
+
+
+def test_final_blend_deals_readings_out_once(spark, tmp_path):
+    """The sixteen sets are stacked without a shuffle of their own."""
+    from checks.learning import final_blend
+
+    rows = [(i, dt.datetime(2024, 1, 1 + i % 3, i % 24), 7 * i % 90, "view" if i % 5 else "error", float(i)) for i in range(300)]
+    events = spark.createDataFrame(rows, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double")
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    made = final_blend(spark, str(tmp_path))
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan[: plan.index("Union")]
+    keys = {(r[2] // 15, r[0] % 4, r[1]) for r in rows}
+    got = {r.row_id: r.meter_reading for r in made.collect()}
+    assert len(got) == made.count() == len(keys)
+    hours = lambda ts: (ts.day - 1) * 24 + ts.hour
+    for building, meter, ts in keys:
+        y = sum(r[4] for r in rows if (r[2] // 15, r[0] % 4, r[1]) == (building, meter, ts) and r[3] != "error")
+        row = (building * 4 + meter) * 100000 + hours(ts)
+        known = None if row % 3 == 1 or row % 10 == 0 else -y if row % 7 == 0 else y * 1.05
+        preds = (0.9 * y, max(y - 5, 0.0), 3 * math.sqrt(y))
+        p = blending.FINAL_POWER
+        power = sum(w * math.log1p(preds[i % 3] * (1 + i / 10)) ** p for i, w in enumerate(blending.FINAL_WEIGHTS)) ** (1 / p)
+        blend = blending.FINAL_OUTER * math.expm1(blending.FINAL_INNER * power)
+        assert got[row] == pytest.approx(blend if known is None else known, abs=1e-4)
+
+
 def test_final_blend_formula(spark):
     names = [f"m{i}" for i in range(16)]
     df = spark.createDataFrame([tuple(float(i + 1) for i in range(16))], ", ".join(f"{n} double" for n in names))
