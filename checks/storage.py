@@ -11,7 +11,7 @@ from checks.helpers import rounded
 from checks.registry import query
 from checks.views_sql import using
 from ledgerline.plans import credit, layers
-from ledgerline.session import stage_path
+from ledgerline.session import lean_writes, stage_path
 from ledgerline.sources import files, views
 from ledgerline.streaming.snapshots import stream_snapshots
 
@@ -147,17 +147,17 @@ def streamed(spark, sf):
 
 
 
+def _raw(spark, sf, name: str):
+    """A raw table, columns in the order of its schema."""
+    view = {"loan_daily": views.ledger, "attributes": views.attributes, "financials": views.financials, "clickstream": views.clicks}[name]
+    return view(spark, sf).select(*[c.split()[0] for c in layers.SCHEMAS[name].split(", ")])
+
+
 def _write_sources(spark, sf, names=layers.TABLES) -> str:
-    """The raw tables (all four, or the named ones) as CSV, columns in the order of their schemas."""
+    """The raw tables (all four, or the named ones) as CSV."""
     folder = stage_path(spark, "raw")
-    tables = {
-        "loan_daily": views.ledger(spark, sf), "attributes": views.attributes(spark, sf),
-        "financials": views.financials(spark, sf), "clickstream": views.clicks(spark, sf),
-    }
     for name in names:
-        df = tables[name]
-        columns = [c.split()[0] for c in layers.SCHEMAS[name].split(", ")]
-        df.select(*columns).write.option("header", True).csv(f"{folder}/{name}.csv")
+        _raw(spark, sf, name).write.option("header", True).csv(f"{folder}/{name}.csv")
     return folder
 
 
@@ -194,15 +194,24 @@ def label_store_backfill(spark, sf):
     ),
 )
 def backfill_manifest(spark, sf):
-    """A first run, a second one that finds nothing to do, one month with a changed row, and one month less."""
-    root, source = stage_path(spark, "manifest"), f"{_write_sources(spark, sf, layers.SELECTIONS['loan'])}/loan_daily.csv"
-    rows = spark.read.option("header", True).csv(source)
-    month = F.col("snapshot_date").startswith("1997-02")
-    changed, less = (f"{stage_path(spark, 'again')}/loan_daily.csv" for _ in range(2))
-    rows.withColumn("paid_amt", F.when(month, "0.5").otherwise(F.col("paid_amt"))).write.option("header", True).csv(changed)
-    rows.where(~month).write.option("header", True).csv(less)
+    """A first run, a second one that finds nothing to do, one month with a changed row, and one month less.
+
+    The rows that all ledgers have are written once, in a folder of their own, and the files are compressed: three full
+    ledgers as plain text would take most of the disk. A run reads all folders of its ledger.
+    """
+    root, raw = stage_path(spark, "manifest"), stage_path(spark, "raw")
+    ledger = _raw(spark, sf, "loan_daily")
+    month = F.col("snapshot_date").cast("string").startswith("1997-02")
+    # Rows without a day go with the changed month: the last ledger is without them as well.
+    parts = ledger.withColumn("loan_daily", F.when(~month, "kept").otherwise("first"))
+    with lean_writes(spark):
+        parts.write.partitionBy("loan_daily").options(header=True, compression="gzip").csv(raw)
+    first = spark.read.option("header", True).csv(raw).where("loan_daily = 'first'").drop("loan_daily")
+    changed = first.withColumn("paid_amt", F.when(month, "0.5").otherwise(F.col("paid_amt")))
+    changed.write.options(header=True, compression="gzip").csv(f"{raw}/loan_daily=changed")
     told, seen = [], 0
-    for run, path in enumerate((source, source, changed, less), 1):
+    for run, held_in in enumerate(("{kept,first}", "{kept,first}", "{kept,changed}", "kept"), 1):
+        path = f"{raw}/loan_daily={held_in}"
         layers.backfill_labels(spark, root, path)
         entries = spark.read.parquet(f"{root}/manifest/label_store")
         count = entries.count()

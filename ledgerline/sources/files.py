@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerline.functions.cleaning import DATE_FORMATS, parse_date
-from ledgerline.session import pin
+from ledgerline.session import lean_writes, pin
 
 SNAPSHOT = "snapshot_date"
 CORRUPT = "_corrupt_record"
@@ -97,9 +97,11 @@ def ingest_snapshots(df: DataFrame, path: str, day: str = SNAPSHOT, laid_out: bo
     Adaptive execution splits a snapshot with most of the rows by its size and merges small ones, so a
     snapshot is written by as many tasks as it needs. Rows read from a table that is partitioned in the same way
     are ``laid_out``: the files that a task reads hold few snapshots each, so they are written without a shuffle.
+    The shuffle carries all rows; its files go when the snapshots are written, and rows aren't sorted by snapshot.
     """
     spread = df if laid_out else df.hint("rebalance", day)
-    spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
+    with lean_writes(df.sparkSession):
+        spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
     return path
 
 

@@ -1,6 +1,8 @@
 """Ingest, snapshot partitions, layer runs and streaming on small files."""
 
 import datetime as dt
+import itertools
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -240,3 +242,63 @@ def test_rows_that_lie_by_month_are_written_without_a_shuffle(spark, tmp_path, m
     second = files.ingest_snapshots(files.read_partitions(spark, first), f"{tmp_path}/b", laid_out=True)
     assert hints == ["rebalance"]
     assert sorted(map(tuple, files.read_partitions(spark, second).collect())) == sorted(map(tuple, rows.collect()))
+
+
+def test_snapshots_leave_no_shuffle_files(spark, tmp_path):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        found = disk.getAllFiles()
+        return {n for n in (found.apply(i).getName() for i in range(found.length())) if n.startswith("shuffle_")}
+
+    keys = ("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "spark.sql.maxConcurrentOutputFileWriters")
+    before, settings = shuffled(), [spark.conf.get(k) for k in keys]
+    rows = spark.range(3000).select("id", F.date_add(F.lit(dt.date(2023, 1, 1)), (F.col("id") % 3).cast("int")).alias("snapshot_date"))
+    files.ingest_snapshots(rows, f"{tmp_path}/a")
+    until = time.time() + 5  # they are removed in the background
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not shuffled() - before
+    assert files.read_partitions(spark, f"{tmp_path}/a").count() == 3000
+    assert [spark.conf.get(k) for k in keys] == settings
+
+
+def test_more_snapshots_than_a_task_keeps_open(spark, tmp_path):
+    rows = spark.range(0, 3000, 1, 1).select("id", F.date_add(F.lit(dt.date(2023, 1, 1)), (F.col("id") % 130).cast("int")).alias("snapshot_date"))
+    files.ingest_snapshots(rows, f"{tmp_path}/a", laid_out=True)
+    assert sorted(map(tuple, files.read_partitions(spark, f"{tmp_path}/a").collect())) == sorted(map(tuple, rows.collect()))
+
+
+def test_backfill_manifest_stages_the_ledger_once_and_reads_whole_ledgers(spark, tmp_path, monkeypatch):
+    from checks import storage
+
+    names = [c.split()[0] for c in layers.SCHEMAS["loan_daily"].split(", ")]
+    days = [dt.date(1997, 1 + i % 4, 1 + i % 28) if i % 50 else None for i in range(4000)]
+    made = [(i, i % 700, dt.date(1996, 12, 5), 10, 6, *((i * k) % 99991 / 100 for k in (7, 11, 13, 17, 19)), days[i]) for i in range(4000)]
+    kinds = ("bigint", "bigint", "date", "int", "int", *["double"] * 5, "date")
+    ledger = spark.createDataFrame(made, ", ".join(f"{n} {k}" for n, k in zip(names, kinds, strict=True)))
+    for view in ("ledger", "attributes", "financials", "clicks"):
+        monkeypatch.setattr(storage.views, view, lambda *_: ledger)
+    numbers = itertools.count()
+    monkeypatch.setattr(storage, "stage_path", lambda _, name: f"{tmp_path}/{name}-{next(numbers)}")
+    read, plain = [], layers.backfill_labels
+
+    def backfill(spark, root, path):
+        read.append(sorted(map(str, map(tuple, spark.read.option("header", True).csv(path).select("loan_id", "paid_amt", "snapshot_date").collect()))))
+        return plain(spark, root, path)
+
+    monkeypatch.setattr(storage.layers, "backfill_labels", backfill)
+    told = sorted(map(tuple, storage.backfill_manifest(spark, "").collect()))
+    # Rows without a day are a month of their own, which the last ledger doesn't have either.
+    assert told == [(1, 5, 5), (2, 0, 5), (3, 1, 5), (4, 2, 3)]
+    paid = names.index("paid_amt")
+
+    def rows(keep=lambda day: True, february=None):
+        of_day = lambda d: february if february and d and d.month == 2 else None
+        return sorted(str((str(r[0]), of_day(r[-1]) or str(r[paid]), r[-1] and str(r[-1]))) for r in made if keep(r[-1]))
+
+    assert read == [rows(), rows(), rows(february="0.5"), rows(lambda d: d is not None and d.month != 2)]
+    staged = sum(p.stat().st_size for p in tmp_path.rglob("*.csv*") if p.is_file() and not p.name.startswith("."))
+    once = f"{tmp_path}/once"
+    ledger.write.option("header", True).csv(once)
+    assert staged < sum(p.stat().st_size for p in (tmp_path / "once").glob("*.csv"))
